@@ -49,7 +49,7 @@ SETTLEMENT_SCHEMA = (
 KEEP_BLANKS = {"header": "true", "nullValue": "\\N", "emptyValue": ""}
 
 
-def readread_csv(spark: SparkSession, path: str, schema: str | T.StructType, separator: str = ",") -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, separator: str = ",") -> DataFrame:
     return spark.read.schema(schema).options(**KEEP_BLANKS).option("sep", separator).csv(path)
 
 
