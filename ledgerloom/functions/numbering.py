@@ -21,18 +21,23 @@ def rank_copies(
     """Number the rows of each ``group`` from 1.
 
     Equal rows are counted on the map side first, so a line repeated a billion times travels as one
-    row with its count. The window then only sums counts over the distinct rows of a group, and the
-    copies are unfolded again afterwards: rows with few copies in place, rows with many in pieces of
-    ``copies_per_row`` spread over all tasks.
+    row with its count. A window then only sums counts over the distinct rows of a group, and the
+    copies are unfolded again. Rows with more than ``copies_per_row`` copies come first in their group,
+    so their numbers depend on no other rows: they take a branch of their own, in which they are cut
+    into pieces and dealt out to all tasks before they unfold.
     """
     columns = df.columns
     counted = df.groupBy(*columns).agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy(*group).orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
-    counted = counted.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    often = F.col("_n") > copies_per_row
+
+    def placed(rows: DataFrame) -> DataFrame:
+        earlier = Window.partitionBy(*group).orderBy(often.desc(), *columns).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+
     first, last = F.col("_before") + 1, F.col("_before") + F.col("_n")
-    few = counted.where(F.col("_n") <= copies_per_row).select(*columns, F.explode(F.sequence(first, last)).alias(name))
+    few = placed(counted).where(~often).select(*columns, F.explode(F.sequence(first, last)).alias(name))
     pieces = (
-        counted.where(F.col("_n") > copies_per_row)
+        placed(counted.where(often))
         .select("*", F.explode(F.sequence(first, last, F.lit(copies_per_row).cast("bigint"))).alias("_from"))
         .repartition(_tasks(df), "_from", *columns)
     )
@@ -42,18 +47,24 @@ def rank_copies(
 
 
 def number_within(
-    df: DataFrame, partition: list[str], order: list[str], name: str = "id", rows_per_window: int = ROWS_PER_WINDOW
+    df: DataFrame,
+    partition: list[str],
+    order: list[str],
+    name: str = "id",
+    rows_per_window: int = ROWS_PER_WINDOW,
+    counted_from: DataFrame | None = None,
 ) -> DataFrame:
     """``row_number`` per ``partition`` along ``order``, which has to be a total order.
 
     A count per partition value finds the ones too large for one window task (at most
-    rows / ``rows_per_window`` of them). The rest take a plain window. The large ones are range
+    rows / ``rows_per_window`` of them). It reads ``counted_from``, a cheaper frame with as many rows
+    per partition value, where there is one. The rest take a plain window. The large ones are range
     partitioned along the order, and a row's number is its number inside its range plus the rows in
     earlier ranges. Range bounds are sampled, so the ranges are checkpointed before they are read twice.
     """
     spark = df.sparkSession
     whole = Window.partitionBy(*partition).orderBy(*order)
-    sizes = df.groupBy(*partition).agg(F.count("*").alias("_size")).where(F.col("_size") > rows_per_window)
+    sizes = (df if counted_from is None else counted_from).groupBy(*partition).agg(F.count("*").alias("_size")).where(F.col("_size") > rows_per_window)
     large = sizes.collect()
     if not large:
         return df.withColumn(name, F.row_number().over(whole).cast("bigint"))

@@ -72,14 +72,17 @@ LEDGER_ORDER = [
 ]
 
 
-def line_numbers(ranked: DataFrame) -> DataFrame:
-    """Sequence number of each line inside its settlement, by posting time, order and SKU."""
-    return number_within(ranked, ["account_name", "settlement_id"], LEDGER_ORDER)
+def line_numbers(ranked: DataFrame, lines: DataFrame | None = None) -> DataFrame:
+    """Sequence number of each line inside its settlement, by posting time, order and SKU.
+
+    ``lines`` are the lines before ranking; settlements are counted there when they are given.
+    """
+    return number_within(ranked, ["account_name", "settlement_id"], LEDGER_ORDER, counted_from=lines)
 
 
 def fee_ledger(settlements: DataFrame, reference: DataFrame) -> DataFrame:
-    ranked = duplicate_ranks(ledger_lines(settlements))
-    classed = classify(line_numbers(ranked), reference).drop("credit_memo_sub_class")
+    lines = ledger_lines(settlements)
+    classed = classify(line_numbers(duplicate_ranks(lines), lines), reference).drop("credit_memo_sub_class")
     return classed.withColumn("line_count", F.coalesce("line_count", F.lit(1).cast("bigint")))
 
 

@@ -47,11 +47,11 @@ def stock_lookup(inventory: DataFrame) -> DataFrame:
     return by_upc.unionByName(by_asin)
 
 
-def _ranked(candidates: DataFrame, lookup: DataFrame, owner: list[str]) -> DataFrame:
-    """Candidate keys (owner, rung, key) to ``struct(rung, upc, value)`` per attribute, not yet reduced."""
-    found = candidates.where(F.col("key").isNotNull()).distinct().join(lookup, "key")
+def _ranked(candidates: DataFrame, lookup: DataFrame, kept: list[str], how: str = "inner") -> DataFrame:
+    """Candidates (kept columns, rung, key) to ``struct(rung, upc, value)`` per attribute, not yet reduced."""
+    found = candidates.join(lookup, "key", how)
     return found.select(
-        *owner,
+        *kept,
         *[F.when(F.col(a).isNotNull(), F.struct(F.col("rung"), F.col(f"{a}.upc").alias("upc"), F.col(f"{a}.value").alias("value"))).alias(a)
           for a in ATTRIBUTES],
     )
@@ -79,9 +79,10 @@ def asin_upcs(product_data: DataFrame, marketplace_only: bool = False, any_upc:
 
 def _by_asin(pairs: DataFrame, lookup: DataFrame, rungs: dict[str, Column]) -> DataFrame:
     """One row per ASIN that has a pair: its smallest UPC and the rungs that go through the ASIN."""
-    listed = pairs.groupBy("asin_key").agg(F.min("asin").alias("listed_asin"), F.min("upc").alias("listed_upc"))
-    found = _first_rung(_ranked(_candidates(pairs, ["asin_key"], rungs), lookup, ["asin_key"]), ["asin_key"])
-    return listed.join(found, "asin_key", "left")
+    ranked = _ranked(_candidates(pairs, ["asin_key", "asin", "upc"], rungs), lookup, ["asin_key", "asin", "upc"], "left")
+    return ranked.groupBy("asin_key").agg(
+        F.min("asin").alias("listed_asin"), F.min("upc").alias("listed_upc"), *[F.min(a).alias(a) for a in ATTRIBUTES]
+    )
 
 
 def resolve_products(
@@ -103,7 +104,9 @@ def resolve_products(
     wanted = skus.where(~is_blank("sku")).withColumn("sku_key", fold("sku"))
     wanted = wanted.select(*product_key, "sku").distinct()
     listed = product_data.withColumn("sku_key", fold("sku")).select(*product_key, "asin", "upc").distinct()
-    products = wanted.join(listed, product_key, "left").select("sku_key", "sku", "asin", "upc").distinct()
+    products = wanted.join(listed, product_key, "left").select("sku_key", "sku", "asin", "upc")
+    if "account_name" in product_key:
+        products = products.distinct()
     products = products.withColumn("asin_key", fold("asin"))
 
     asin, upc = F.col("asin"), F.col("upc")
@@ -129,10 +132,8 @@ def resolve_products(
     about = {"sku": "sku", "upc": "product_id", "asin": "product_asin", "listed_asin": "listed_asin", "listed_upc": "listed_upc"}
     found = through_asin.select("sku_key", *about, *ATTRIBUTES)
     keyed = []
-    if product_rungs:
-        keyed.append(_candidates(products, ["sku_key"], product_rungs))
-    if sku_rungs:
-        keyed.append(_candidates(wanted.select("sku_key").distinct(), ["sku_key"], sku_rungs))
+    if product_rungs or sku_rungs:
+        keyed.append(_candidates(products, ["sku_key"], {**product_rungs, **sku_rungs}))
     if variant == "inventory" and events is not None:
         seen = events.select(fold("sku").alias("sku_key"), F.col("fnsku").alias("seen_asin")).distinct()
         unlisted = through_asin.where(F.col("listed_asin").isNull()).select("sku_key").distinct()

@@ -36,16 +36,17 @@ def _measures(field: T.StructField) -> dict[str, Column]:
     text = value.cast("string")
     measures = {"nulls": F.count_if(value.isNull()), "chars": none, "texts": none, "fractions": none, "whole": none, "depth": none, "times": none, "nonzero": none}
     if isinstance(kind, T.StringType):
+        # Most columns are no numbers: one pattern decides, the others are only tried on numbers.
         number = text.rlike(NUMBER_TEXT)
         blank = value.isNull() | F.lower(text).isin("nan")
         measures |= {
             # An unknown value prints as "None", four characters.
             "chars": F.max(F.when(value.isNull(), F.lit(4)).otherwise(F.char_length(text))),
             "texts": F.count_if(~blank & ~number),
-            "fractions": F.count_if(~blank & text.rlike(r"\.[0-9]*[1-9]")),
+            "fractions": F.count_if(number & text.rlike(r"\.[0-9]*[1-9]")),
             "whole": F.max(F.when(number, _whole_part(text))),
             "depth": F.max(F.when(number, _fraction(text))),
-            "nonzero": F.count_if(~blank & ~text.rlike(r"^[+-]?[0.]+$")),
+            "nonzero": F.count_if(number & ~text.rlike(r"^[+-]?[0.]+$")),
         }
     elif isinstance(kind, (T.DecimalType, T.DoubleType, T.FloatType)):
         text = value.cast("decimal(38,6)").cast("string")

@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.params import PREPACK_SLOTS
+from ledgerloom.sources.feeds import read_table, spread
 
 MONEY = "decimal(12,2)"
 AS_OF = "2001-10-31"
@@ -74,11 +75,11 @@ class Dataset:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
     def settlements(self) -> DataFrame:
-        item = self.table("lineitem").selectExpr(
+        item = spread(self.table("lineitem")).selectExpr(
             *_settlement_keys("l_suppkey", "l_shipdate"),
             "l_shipdate + make_dt_interval(0, l_linenumber) as posted_date",
             "cast(l_orderkey as string) as order_id",
@@ -97,16 +98,16 @@ class Dataset:
             return (f"case when {when} then struct({category} as amount_type, '{fee_type}' as amount_description, "
                     f"cast({amount} as {MONEY}) as amount, cast({quantity} as int) as quantity_purchased) end")
 
-        fees = "filter(array(" + ", ".join([
+        fees = "array(" + ", ".join([
             fee("case when transaction_type = 'Liquidations' then 'PRICE_TYPE' else 'ItemPrice' end", "Principal", f"price * {sign}", "qty"),
             fee("'ItemPrice'", "Tax", f"round(price * tax, 2) * {sign}"),
             fee("'ItemFees'", "Commission", "-round(price * disc, 2)"),
             fee("'ItemFees'", "Commission", "-round(price * disc, 2)", when="tax = 0"),
             fee("'Promotion'", "Principal", "-round(price * cast(0.01 as decimal(4,2)), 2)", "qty", "disc = 0.10"),
             fee("'ItemFees'", "FBAPerUnitFulfillmentFee", "-qty * cast(0.50 as decimal(4,2))", when="fulfilled"),
-        ]) + "), x -> x is not null)"
+        ]) + ")"
         kept = [c for c in SETTLEMENT_COLUMNS if c not in ("amount_type", "amount_description", "amount", "quantity_purchased")]
-        items = item.selectExpr(*kept, f"inline({fees}) as (amount_type, amount_description, amount, quantity_purchased)")
+        items = item.selectExpr(*kept, f"inline({fees}) as (amount_type, amount_description, amount, quantity_purchased)").where("amount is not null")
         account_fees = self.table("orders").where("o_orderstatus = 'P' and o_orderpriority in ('1-URGENT', '3-MEDIUM', '5-LOW')").selectExpr(
             *_settlement_keys("o_custkey", "o_orderdate"),
             "o_orderdate as posted_date",
@@ -180,7 +181,7 @@ class Dataset:
 
     @cached_property
     def all_orders(self) -> DataFrame:
-        return self.table("lineitem").selectExpr(
+        return spread(self.table("lineitem")).selectExpr(
             "cast(l_orderkey as string) as order_id",
             f"{sku_of('l_partkey')} as sku",
             "case l_orderkey % 5 when 0 then 'Merchant' when 1 then null else 'Amazon' end as fulfillment_channel",

@@ -101,6 +101,15 @@ def read_table(spark: SparkSession, source: str | dict[str, str]) -> DataFrame:
     return spark.read.format("jdbc").options(**source).load()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A fact table that arrives in fewer splits than there are cores, dealt out to all of them.
+
+    Tables stored as many files or row groups already fill the cluster and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def union_store_codes(spark: SparkSession, sheets: dict[str, str]) -> DataFrame:
     """All sheets (store name -> CSV path) under each other, store name first, columns aligned by name."""
     frames = [
