@@ -16,10 +16,10 @@ def shared_dir(spark: SparkSession) -> str:
     Only a session that runs inside one process (tests, benchmarks) may go without it; it gets one
     temporary folder of its own.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return _local_dirs.setdefault(context.applicationId, tempfile.mkdtemp(prefix="ledgerloom-"))
