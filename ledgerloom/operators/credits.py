@@ -12,6 +12,9 @@ from ledgerloom.operators.sales import customer_code, is_principal, principal_qu
 from ledgerloom.params import EXCLUDED_CLASS, LAYOUT, NOT_IMPORTED, ORDER_TYPES, STOCK_ATTRIBUTES, ErpLayout
 
 
+EXTRACT_ATTRIBUTES = ["division", "sub_div"]
+
+
 def order_revenue() -> Column:
     """Principal or tax of an order; null (neither true nor false) for an order line without fee names."""
     return one_of("transaction_type", ORDER_TYPES) & (is_principal() | contains_tax("fee_type"))
@@ -52,7 +55,7 @@ def credit_extract(
     classed = classify(lines.where(is_credit()), reference).where(~same("credit_memo_class", EXCLUDED_CLASS))
     keys = ["account_name", "settlement_id", "currency", "end_date", "credit_memo_class", "credit_memo_sub_class", "transaction_type"]
     by_sku = classed.groupBy(*keys, "sku").agg(F.sum("amount").alias("total"))
-    merged = attach_products(by_sku, resolved, ["division", "sub_div"])
+    merged = attach_products(by_sku, resolved, EXTRACT_ATTRIBUTES)
     division = F.coalesce("division", F.lit(layout.default_division))
     sub_division = F.coalesce(F.col("sub_div").cast("string"), F.lit(layout.default_sub_division))
     grouped = merged.groupBy(*keys, division.alias("division"), sub_division.alias("sub_division")).agg(

@@ -8,6 +8,7 @@ list once.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -23,7 +24,7 @@ def canonical_inventory(inventory: DataFrame) -> DataFrame:
     rest = [c for c in inventory.columns if c not in ("upc", "warehouse")]
     row = F.min(F.struct("warehouse", *rest)).alias("row")
     best = inventory.where(nonzero_number("upc")).groupBy(fold("upc").alias("upc_key")).agg(F.min("upc").alias("upc"), row)
-    return best.select("upc", *[F.col(f"row.{c}").alias(c) for c in inventory.columns if c != "upc"])
+    return best.selectExpr("upc", *[f"row.{c} as {c}" for c in inventory.columns if c != "upc"])
 
 
 def _upc_key(value: Column) -> Column:
@@ -34,10 +35,10 @@ def _asin_key(value: Column) -> Column:
     return F.concat(F.lit("a"), fold(value))
 
 
-def stock_lookup(inventory: DataFrame) -> DataFrame:
+def stock_lookup(inventory: DataFrame, attributes: Sequence[str] = ATTRIBUTES) -> DataFrame:
     """``key`` (kind and folded text) with, per attribute, the smallest UPC that has a value and the value."""
     stock = canonical_inventory(inventory).withColumn("erp_upc", F.col("upc"))
-    entry = {a: F.when(F.col(a).isNotNull(), F.struct(F.col("upc"), F.col(a).alias("value"))) for a in ATTRIBUTES}
+    entry = {a: F.expr(f"case when {a} is not null then struct(upc, {a} as value) end") for a in attributes}
     by_upc = stock.select(_upc_key(F.col("upc")).alias("key"), *[e.alias(a) for a, e in entry.items()])
     by_asin = (
         stock.where(F.col("asin").isNotNull())
@@ -49,16 +50,8 @@ def stock_lookup(inventory: DataFrame) -> DataFrame:
 
 def _ranked(candidates: DataFrame, lookup: DataFrame, kept: list[str], how: str = "inner") -> DataFrame:
     """Candidates (kept columns, rung, key) to ``struct(rung, upc, value)`` per attribute, not yet reduced."""
-    found = candidates.join(lookup, "key", how)
-    return found.select(
-        *kept,
-        *[F.when(F.col(a).isNotNull(), F.struct(F.col("rung"), F.col(f"{a}.upc").alias("upc"), F.col(f"{a}.value").alias("value"))).alias(a)
-          for a in ATTRIBUTES],
-    )
-
-
-def _first_rung(ranked: DataFrame, owner: list[str]) -> DataFrame:
-    return ranked.groupBy(*owner).agg(*[F.min(a).alias(a) for a in ATTRIBUTES])
+    values = [f"case when {a} is not null then struct(rung, {a}.upc as upc, {a}.value as value) end as {a}" for a in lookup.columns if a != "key"]
+    return candidates.join(lookup, "key", how).selectExpr(*kept, *values)
 
 
 def _candidates(df: DataFrame, owner: list[str], rungs: dict[str, Column]) -> DataFrame:
@@ -81,7 +74,7 @@ def _by_asin(pairs: DataFrame, lookup: DataFrame, rungs: dict[str, Column]) -> D
     """One row per ASIN that has a pair: its smallest UPC and the rungs that go through the ASIN."""
     ranked = _ranked(_candidates(pairs, ["asin_key", "asin", "upc"], rungs), lookup, ["asin_key", "asin", "upc"], "left")
     return ranked.groupBy("asin_key").agg(
-        F.min("asin").alias("listed_asin"), F.min("upc").alias("listed_upc"), *[F.min(a).alias(a) for a in ATTRIBUTES]
+        F.min("asin").alias("listed_asin"), F.min("upc").alias("listed_upc"), *[F.min(a).alias(a) for a in lookup.columns if a != "key"]
     )
 
 
@@ -91,6 +84,7 @@ def resolve_products(
     inventory: DataFrame,
     variant: str = "orders",
     events: DataFrame | None = None,
+    attributes: Sequence[str] = STOCK_ATTRIBUTES,
 ) -> DataFrame:
     """One row per SKU of ``skus`` with the matched ERP attributes and the rung of ``erp_upc``.
 
@@ -98,8 +92,10 @@ def resolve_products(
     account and SKU when ``skus`` has an account), ``inventory`` (adjustments and the diagnostic; an
     ASIN may come from the events), ``two_rung`` (through the UPC only, marketplace-channel products or
     ``two_rung_any_channel``) and ``status`` (the later status marking of orders).
+    Only the ``attributes`` asked for are carried.
     """
-    lookup = stock_lookup(inventory)
+    carried = ["erp_upc", *[a for a in attributes if a != "erp_upc"]]
+    lookup = stock_lookup(inventory, carried)
     product_key = ["account_name", "sku_key"] if "account_name" in skus.columns else ["sku_key"]
     wanted = skus.where(~is_blank("sku")).withColumn("sku_key", fold("sku"))
     wanted = wanted.select(*product_key, "sku").distinct()
@@ -130,7 +126,7 @@ def resolve_products(
     pairs = asin_upcs(product_data, marketplace_only=variant == "two_rung", any_upc=variant == "status")
     through_asin = products.join(_by_asin(pairs, lookup, asin_rungs), "asin_key", "left")
     about = {"sku": "sku", "upc": "product_id", "asin": "product_asin", "listed_asin": "listed_asin", "listed_upc": "listed_upc"}
-    found = through_asin.select("sku_key", *about, *ATTRIBUTES)
+    found = through_asin.select("sku_key", *about, *carried)
     keyed = []
     if product_rungs or sku_rungs:
         keyed.append(_candidates(products, ["sku_key"], {**product_rungs, **sku_rungs}))
@@ -142,11 +138,9 @@ def resolve_products(
         ranked = _ranked(reduce(DataFrame.unionByName, keyed), lookup, ["sku_key"])
         found = found.unionByName(ranked, allowMissingColumns=True)
     best = found.groupBy("sku_key").agg(
-        *[F.min(c).alias(name) for c, name in about.items()], *[F.min(a).alias(a) for a in ATTRIBUTES]
-    )
-    return best.select(
-        "sku_key", *about.values(), F.col("erp_upc.rung").alias("rung"), *[F.col(f"{a}.value").alias(a) for a in ATTRIBUTES]
+        *[F.min(c).alias(name) for c, name in about.items()], *[F.min(a).alias(a) for a in carried]
     )
+    return best.selectExpr("sku_key", *about.values(), "erp_upc.rung as rung", *[f"{a}.value as {a}" for a in carried])
 
 
 def attach_products(facts: DataFrame, resolved: DataFrame, columns: list[str]) -> DataFrame:
@@ -164,7 +158,7 @@ def resolve_by_asin(product_data: DataFrame, inventory: DataFrame) -> DataFrame:
     """ERP UPC per ASIN through the product list's UPC or its tail (the draft adjustment rule)."""
     upc = F.col("upc")
     rungs = {"E": _upc_key(upc), "F": _upc_key(drop_first(upc))}
-    found = _by_asin(asin_upcs(product_data), stock_lookup(inventory), rungs)
+    found = _by_asin(asin_upcs(product_data), stock_lookup(inventory, ["erp_upc"]), rungs)
     return found.select("asin_key", F.col("erp_upc.value").alias("erp_upc"))
 
 
@@ -173,5 +167,6 @@ def stock_of_upc(upcs: DataFrame, inventory: DataFrame) -> DataFrame:
     keys = {"E": _upc_key(F.col("erp_upc")), "F": _upc_key(drop_first("erp_upc"))}
     wanted = upcs.where(F.col("erp_upc").isNotNull()).select("erp_upc").distinct().withColumnRenamed("erp_upc", "_upc")
     wanted = wanted.withColumn("erp_upc", F.col("_upc"))
-    best = _first_rung(_ranked(_candidates(wanted, ["_upc"], keys), stock_lookup(inventory), ["_upc"]), ["_upc"])
+    ranked = _ranked(_candidates(wanted, ["_upc"], keys), stock_lookup(inventory, STOCK_ATTRIBUTES), ["_upc"])
+    best = ranked.groupBy("_upc").agg(*[F.min(a).alias(a) for a in STOCK_ATTRIBUTES])
     return best.select(F.col("_upc").alias("erp_upc"), *[F.col(f"{a}.value").alias(a) for a in STOCK_ATTRIBUTES])

@@ -22,7 +22,7 @@ def listing_upc_backfill(product_data: DataFrame, all_listings: DataFrame) -> Da
 
 def missing_upc_report(skus: DataFrame, product_data: DataFrame, inventory: DataFrame) -> DataFrame:
     """SKUs that no rung and no 12-digit number in the SKU leads to stock, by SKU."""
-    resolved = resolve_products(skus, product_data, inventory, "report")
+    resolved = resolve_products(skus, product_data, inventory, "report", attributes=())
     missing = resolved.where(F.col("erp_upc").isNull()).select(
         "sku", F.col("listed_asin").alias("asin"),
         F.when(F.col("product_id") != "", F.col("product_id")).alias("product_id"), F.col("listed_upc").alias("upc"),
@@ -39,7 +39,7 @@ def missing_upc_report(skus: DataFrame, product_data: DataFrame, inventory: Data
 
 def upc_match_diagnostic(skus: DataFrame, product_data: DataFrame, inventory: DataFrame, events: DataFrame) -> DataFrame:
     """Every key of the cascade and its result, per SKU."""
-    resolved = resolve_products(skus, product_data, inventory, "inventory", events)
+    resolved = resolve_products(skus, product_data, inventory, "inventory", events, attributes=())
     seen = events.groupBy(fold("sku").alias("sku_key")).agg(F.min("fnsku").alias("seen_asin"))
     joined = resolved.join(seen, "sku_key", "left")
     return joined.select(

@@ -65,22 +65,22 @@ def recon_raw(lines: DataFrame, all_orders: DataFrame, reference: DataFrame) ->
     ).withColumn("type", F.lit(RECON_RAW)).select(*RECON_COLUMNS)
 
 
-def _labelled(df: DataFrame, prefix: str, value: Column) -> DataFrame:
-    """(account, settlement, bucket, amount) of one kind of output."""
-    return df.groupBy("account_name", "settlement_id", F.concat(F.lit(prefix + "_"), F.lower("currency")).alias("bucket")).agg(
-        money(F.sum(value)).alias("amount")
-    )
+def _labelled(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """(account, settlement, bucket, amount) of one kind of output, all its measures from one pass."""
+    sums = df.groupBy("account_name", "settlement_id", "currency").agg(*[money(F.sum(v)).alias(p) for p, v in values.items()])
+    rows = F.array(*[
+        F.struct(F.concat(F.lit(f"{p}_"), F.lower("currency")).alias("bucket"), F.col(p).alias("amount")) for p in values
+    ])
+    return sums.select("account_name", "settlement_id", F.inline(rows))
 
 
 def recon_logic(lines: DataFrame, sales: DataFrame, orders_fbm: DataFrame, credits: DataFrame) -> DataFrame:
     """The produced side: the same buckets from the extracts; settlements without output get zeros."""
     price = F.col("customer_price_1") * F.col("units").cast("decimal(12,0)")
     amounts = reduce(DataFrame.unionByName, [
-        _labelled(sales, "fba_orders", money(price, 34, 4)),
-        _labelled(sales, "fba_tax", F.col("tax")),
-        _labelled(orders_fbm, "fbm_orders", F.col("principal")),
-        _labelled(orders_fbm, "fbm_tax", F.col("tax")),
-        _labelled(credits, "credits", -F.col("amount")),
+        _labelled(sales, {"fba_orders": money(price, 34, 4), "fba_tax": F.col("tax")}),
+        _labelled(orders_fbm, {"fbm_orders": F.col("principal"), "fbm_tax": F.col("tax")}),
+        _labelled(credits, {"credits": -F.col("amount")}),
     ])
     sums = amounts.groupBy("account_name", "settlement_id").agg(
         money(F.sum("amount")).alias("total_amount"), *[_sum_where(F.col("bucket") == b, "amount").alias(b) for b in BUCKETS]

@@ -12,6 +12,7 @@ from ledgerloom.params import (
     RESERVE_TYPES, STOCK_ATTRIBUTES, ErpLayout,
 )
 
+EXTRACT_ATTRIBUTES = ["division", "sub_div", "season", "style", "color", "pack_dim", "size"]
 ORDER_KEYS = ["account_name", "settlement_id", "currency", "start_date", "end_date", "order_id", "sku"]
 
 
@@ -118,7 +119,7 @@ def sales_extract(
     by_sku = unit_prices(orders, fx).groupBy(*keys, "sku", "price_2").agg(
         F.sum("quantity").alias("units"), F.sum("tax").alias("tax"), F.min("price_4").alias("price_4")
     )
-    merged = attach_products(by_sku, resolved, ["division", "sub_div", "season", "style", "color", "pack_dim", "size"])
+    merged = attach_products(by_sku, resolved, EXTRACT_ATTRIBUTES)
     merged = merged.withColumn("style", F.coalesce("style", "sku"))
     grouped = merged.groupBy(*keys, "division", "sub_div", "style", "color", "pack_dim", "size", "price_2").agg(
         F.sum("units").alias("units"), F.sum("tax").alias("tax"), F.min("price_4").alias("price_4"), F.min("season").alias("season")

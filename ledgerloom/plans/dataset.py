@@ -77,9 +77,13 @@ class Dataset:
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
 
+    @cached_property
+    def lineitem(self) -> DataFrame:
+        return spread(self.table("lineitem"))
+
     @cached_property
     def settlements(self) -> DataFrame:
-        item = spread(self.table("lineitem")).selectExpr(
+        item = self.lineitem.selectExpr(
             *_settlement_keys("l_suppkey", "l_shipdate"),
             "l_shipdate + make_dt_interval(0, l_linenumber) as posted_date",
             "cast(l_orderkey as string) as order_id",
@@ -181,7 +185,7 @@ class Dataset:
 
     @cached_property
     def all_orders(self) -> DataFrame:
-        return spread(self.table("lineitem")).selectExpr(
+        return self.lineitem.selectExpr(
             "cast(l_orderkey as string) as order_id",
             f"{sku_of('l_partkey')} as sku",
             "case l_orderkey % 5 when 0 then 'Merchant' when 1 then null else 'Amazon' end as fulfillment_channel",

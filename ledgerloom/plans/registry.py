@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.operators import credits, drafts, inventory_events as events, ledger, products, quality, reconciliation, sales, stock
 from ledgerloom.operators.product_match import canonical_inventory, resolve_products
-from ledgerloom.params import EVENT_TYPES_SKIPPED_DRAFT
+from ledgerloom.params import EVENT_TYPES_SKIPPED_DRAFT, STOCK_ATTRIBUTES
 from ledgerloom.plans.dataset import AS_OF, SETTLEMENT_COLUMNS, Dataset
 from ledgerloom.sources import feeds, sinks
 from ledgerloom.sources.workspace import new_dir
@@ -36,9 +36,10 @@ class Jobs:
     def lines(self) -> DataFrame:
         return ledger.ledger_lines(self.data.settlements)
 
-    def products(self) -> DataFrame:
-        """Every SKU of the statements; the distinct list is built from a two-column scan."""
-        return resolve_products(self.data.settlements.select("sku").distinct(), self.data.product_data, self.data.inventory, "orders")
+    def products(self, *attributes: str) -> DataFrame:
+        """Every SKU of the statements with the attributes a job needs."""
+        return resolve_products(
+            self.data.settlements.select("sku").distinct(), self.data.product_data, self.data.inventory, "orders", attributes=attributes)
 
     def orders_fba(self) -> DataFrame:
         return sales.order_rollup_fba(self.lines(), self.data.all_orders)
@@ -48,14 +49,14 @@ class Jobs:
 
     def sales(self, *currencies: str) -> DataFrame:
         fx = self.data.fx_rates if not currencies or "MXN" in currencies else None
-        return sales.sales_extract(self.orders_fba(), self.products(), fx, currencies or None)
+        return sales.sales_extract(self.orders_fba(), self.products(*sales.EXTRACT_ATTRIBUTES), fx, currencies or None)
 
     def ranked(self) -> DataFrame:
         return ledger.duplicate_ranks(self.lines())
 
     def credits(self, *currencies: str) -> DataFrame:
         fx = self.data.fx_rates if not currencies or "MXN" in currencies else None
-        return credits.credit_extract(self.lines(), self.data.fee_reference, self.products(), fx, currencies or None)
+        return credits.credit_extract(self.lines(), self.data.fee_reference, self.products(*credits.EXTRACT_ATTRIBUTES), fx, currencies or None)
 
     def recon_raw(self) -> DataFrame:
         return reconciliation.recon_raw(self.lines(), self.data.all_orders, self.data.fee_reference)
@@ -108,8 +109,9 @@ class Jobs:
         return drafts.event_products(self.data.inventory_events, self.data.product_data, self.data.inventory)
 
     # drafts
-    def draft_products(self, variant: str = "two_rung") -> DataFrame:
-        return resolve_products(self.data.statements.select("sku").distinct(), self.data.product_data, self.data.inventory, variant)
+    def draft_products(self, *attributes: str, variant: str = "two_rung") -> DataFrame:
+        return resolve_products(
+            self.data.statements.select("sku").distinct(), self.data.product_data, self.data.inventory, variant, attributes=attributes)
 
     def buckets(self) -> DataFrame:
         return drafts.order_buckets(drafts.open_lines(self.data.statements), self.data.all_orders)
@@ -175,14 +177,14 @@ _register({
     # sales
     "order_rollup_fba": lambda j: j.orders_fba(),
     "order_rollup_fbm": lambda j: j.orders_fbm(),
-    "order_enriched": lambda j: sales.order_enriched(j.orders_fba(), j.products()),
+    "order_enriched": lambda j: sales.order_enriched(j.orders_fba(), j.products(*STOCK_ATTRIBUTES)),
     "sales_extract_usd": lambda j: j.sales("USD"),
     "sales_extract_cad": lambda j: j.sales("CAD"),
     "sales_extract_mxn": lambda j: j.sales("MXN"),
     "sales_connected_split": lambda j: sales.sales_connected_split(j.sales()),
     # credits
     "credit_rollup": lambda j: credits.credit_rollup(j.ranked()),
-    "credit_enriched": lambda j: credits.credit_enriched(credits.credit_rollup(j.ranked()), j.products()),
+    "credit_enriched": lambda j: credits.credit_enriched(credits.credit_rollup(j.ranked()), j.products(*STOCK_ATTRIBUTES)),
     "credit_extract_usd": lambda j: j.credits("USD"),
     "credit_extract_cad": lambda j: j.credits("CAD"),
     "credit_extract_mxn": lambda j: j.credits("MXN"),
@@ -210,18 +212,18 @@ _register({
     "daily_principal_total": lambda j: drafts.daily_principal_total(j.data.statements, _date(AS_OF)),
     "duplicate_lines": lambda j: drafts.duplicate_lines(j.data.statements, _date(AS_OF)),
     "order_buckets": lambda j: j.buckets(),
-    "two_rung_match": lambda j: drafts.two_rung_match(j.buckets(), j.draft_products()),
-    "order_extract_order_grain": lambda j: drafts.order_extract_order_grain(drafts.two_rung_match(j.buckets(), j.draft_products())),
+    "two_rung_match": lambda j: drafts.two_rung_match(j.buckets(), j.draft_products(*drafts.MERGED_ATTRIBUTES)),
+    "order_extract_order_grain": lambda j: drafts.order_extract_order_grain(drafts.two_rung_match(j.buckets(), j.draft_products(*drafts.MERGED_ATTRIBUTES))),
     "order_extract_with_division": lambda j: drafts.order_extract_order_grain(
         drafts.attach_products(j.buckets(), resolve_products(
             j.data.statements.select("sku").distinct(), j.data.product_data, j.data.inventory, "inventory", j.data.inventory_events),
             drafts.MERGED_ATTRIBUTES), with_division=True),
-    "sku_match_list": lambda j: drafts.sku_match_list(j.draft_products("two_rung_any_channel")),
+    "sku_match_list": lambda j: drafts.sku_match_list(j.draft_products(variant="two_rung_any_channel")),
     "orders_without_channel": lambda j: drafts.orders_without_channel(j.buckets()),
     "credit_rollup_line_grain": lambda j: j.draft_credits(),
-    "credit_extract_line_grain": lambda j: drafts.credit_extract_line_grain(j.draft_credits(), j.draft_products()),
+    "credit_extract_line_grain": lambda j: drafts.credit_extract_line_grain(j.draft_credits(), j.draft_products("division", "sub_div", "season", "style", "color")),
     "refund_rollup": lambda j: drafts.refund_rollup(drafts.open_lines(j.data.statements)),
-    "refund_extract": lambda j: drafts.refund_extract(drafts.refund_rollup(drafts.open_lines(j.data.statements)), j.draft_products()),
+    "refund_extract": lambda j: drafts.refund_extract(drafts.refund_rollup(drafts.open_lines(j.data.statements)), j.draft_products(*drafts.MERGED_ATTRIBUTES)),
     "refund_lines_open": lambda j: drafts.refund_lines_open(j.data.statements, _date(AS_OF)),
     "mark_complete": lambda j: drafts.mark_complete(drafts.open_lines(j.data.statements), j.draft_products()),
     "mark_events_complete": lambda j: drafts.mark_events_complete(j.draft_event_ledger(), j.draft_event_products()),
