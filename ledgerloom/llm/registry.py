@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontamination, line_dedup, packing, sharding, simhash, toxicity, url_filter
+from ledgerloom.llm import decontamination, line_dedup, packing, pii, sharding, simhash, toxicity, url_filter
 from ledgerloom.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digests(table(spark, sf_dir, "documents"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.detect(table(spark, sf_dir, "documents")))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -45,6 +49,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_shard": op2_shard,
     "op3_simhash": op3_simhash,
+    "op4_pii": op4_pii,
     "op5_decontaminate": op5_decontaminate,
     "op6_line_dedup": op6_line_dedup,
     "op9_url_filter": op9_url_filter,
