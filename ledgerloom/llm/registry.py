@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontamination, line_dedup, packing, pii, sharding, simhash, toxicity, url_filter
+from ledgerloom.llm import decontamination, line_dedup, packing, pii, sharding, simhash, tool_calls, toxicity, url_filter
 from ledgerloom.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tool_calls.link(*tool_calls.from_conversations(table(spark, sf_dir, "conversations")), tool_calls.SCHEMAS)
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return url_filter.judge(pages, url_filter.listed_urls(pages))
@@ -52,11 +56,13 @@ LLM_QUERIES: dict[str, Query] = {
     "op4_pii": op4_pii,
     "op5_decontaminate": op5_decontaminate,
     "op6_line_dedup": op6_line_dedup,
+    "op7_tool_calls": op7_tool_calls,
     "op9_url_filter": op9_url_filter,
     "op10_pack": op10_pack,
 }
 LLM_SQL: dict[str, str] = {
     "op2_shard": sharding.oracle(),
     "op6_line_dedup": line_dedup.ORACLE,
+    "op7_tool_calls": tool_calls.ORACLE,
     "op9_url_filter": url_filter.oracle(),
 }
