@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontamination, line_dedup, packing, pii, sharding, simhash, tool_calls, toxicity, url_filter
+import corpus_pipeline
+from ledgerloom.llm import decontamination, line_dedup, packing, pii, search, sharding, simhash, tool_calls, toxicity, url_filter
 from ledgerloom.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +41,10 @@ def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tool_calls.link(*tool_calls.from_conversations(table(spark, sf_dir, "conversations")), tool_calls.SCHEMAS)
 
 
+def op8_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.self_search(table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return url_filter.judge(pages, url_filter.listed_urls(pages))
@@ -57,12 +62,15 @@ LLM_QUERIES: dict[str, Query] = {
     "op5_decontaminate": op5_decontaminate,
     "op6_line_dedup": op6_line_dedup,
     "op7_tool_calls": op7_tool_calls,
+    "op8_search": op8_search,
     "op9_url_filter": op9_url_filter,
     "op10_pack": op10_pack,
+    "pipeline": corpus_pipeline.run,
 }
 LLM_SQL: dict[str, str] = {
     "op2_shard": sharding.oracle(),
     "op6_line_dedup": line_dedup.ORACLE,
     "op7_tool_calls": tool_calls.ORACLE,
+    "op8_search": search.ORACLE,
     "op9_url_filter": url_filter.oracle(),
 }
