@@ -81,7 +81,7 @@ def _base_valid(kind: str, match: Column) -> Column:
 def _loose_valid(kind: str, match: Column) -> Column:
     n = F.length(_digits(match))
     return {
-        "email": match.rlike(r"[A-Za-z0-9] ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}\.?\z"),
+        "email": match.rlike(r"[A-Za-z0-9] ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-][A-Za-z0-9.-]*\.[A-Za-z]{2,}\.?\z") & ~match.contains(".."),
         "ip": match.rlike(rf"^{OCTET}\.{OCTET}\.{OCTET}\.{OCTET}\z"),
         "card": F.when(n.between(13, 19), luhn(_digits(match))).otherwise(False),
         "phone": n.between(8, 15),
