@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # A text counts as a number other than zero when its leading number has a non-zero digit.
 NONZERO_PREFIX = r"^\s*[+-]?0*\.?0*[1-9]"
@@ -24,6 +24,13 @@ def fold_blank(value: Column | str) -> Column:
     return F.coalesce(F.lower(_col(value)), F.lit(""))
 
 
+def grouped(df: DataFrame, plain: list[str], text: list[str], *aggregates: Column) -> DataFrame:
+    """Aggregates per key, text keys compared without case; each text key shows its smallest spelling."""
+    keys = {f"_key_{c}": fold(c) for c in text}
+    sums = df.groupBy(*plain, *[e.alias(k) for k, e in keys.items()]).agg(*[F.min(c).alias(c) for c in text], *aggregates)
+    return sums.drop(*keys)
+
+
 def same(value: Column | str, text: str) -> Column:
     return fold(value) == text.lower()
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.money import half_up_ratio, money
-from ledgerloom.functions.text import contains_tax, one_of, same
+from ledgerloom.functions.text import contains_tax, grouped, one_of, same
 from ledgerloom.operators.ledger import classify
 from ledgerloom.operators.product_match import attach_products
-from ledgerloom.operators.sales import customer_code, is_principal, principal_quantity, store_number
+from ledgerloom.operators.sales import STATEMENT_KEYS, customer_code, is_principal, principal_quantity, store_number
 from ledgerloom.params import EXCLUDED_CLASS, LAYOUT, NOT_IMPORTED, ORDER_TYPES, STOCK_ATTRIBUTES, ErpLayout
 
 
@@ -26,10 +26,10 @@ def is_credit() -> Column:
 
 def credit_rollup(ranked: DataFrame) -> DataFrame:
     """Credits per posting time, order, SKU, fee and duplicate rank, so true duplicates stay apart."""
-    return ranked.where(is_credit()).groupBy(
-        "account_name", "settlement_id", "currency", "start_date", "end_date", "posted_date", "order_id", "sku",
-        "transaction_type", "fee_category", "fee_type", "ranking",
-    ).agg(principal_quantity().alias("quantity"), F.sum("amount").alias("total_amount"))
+    return grouped(
+        ranked.where(is_credit()), [*STATEMENT_KEYS, "posted_date", "ranking"], ["order_id", "sku", "transaction_type", "fee_category", "fee_type"],
+        principal_quantity().alias("quantity"), F.sum("amount").alias("total_amount"),
+    )
 
 
 def credit_enriched(credits: DataFrame, resolved: DataFrame) -> DataFrame:
@@ -53,20 +53,19 @@ def credit_extract(
     if currencies is not None:
         lines = lines.where(one_of("currency", currencies))
     classed = classify(lines.where(is_credit()), reference).where(~same("credit_memo_class", EXCLUDED_CLASS))
-    keys = ["account_name", "settlement_id", "currency", "end_date", "credit_memo_class", "credit_memo_sub_class", "transaction_type"]
-    by_sku = classed.groupBy(*keys, "sku").agg(F.sum("amount").alias("total"))
+    keys, names = ["account_name", "settlement_id", "currency", "end_date"], ["credit_memo_class", "credit_memo_sub_class", "transaction_type"]
+    by_sku = grouped(classed, keys, [*names, "sku"], F.sum("amount").alias("total"))
     merged = attach_products(by_sku, resolved, EXTRACT_ATTRIBUTES)
     division = F.coalesce("division", F.lit(layout.default_division))
     sub_division = F.coalesce(F.col("sub_div").cast("string"), F.lit(layout.default_sub_division))
-    grouped = merged.groupBy(*keys, division.alias("division"), sub_division.alias("sub_division")).agg(
-        F.sum("total").cast("decimal(22,2)").alias("total")
-    )
+    merged = merged.withColumns({"division": division, "sub_division": sub_division})
+    totals = grouped(merged, [*keys, "division", "sub_division"], names, F.sum("total").cast("decimal(22,2)").alias("total"))
     amount = -F.col("total")
     if fx is not None:
-        grouped = grouped.join(fx, "settlement_id", "left")
+        totals = totals.join(fx, "settlement_id", "left")
         converted = half_up_ratio(-F.col("total"), F.col("exchange_value"), 2)
         amount = F.when(same("currency", "MXN"), converted).otherwise(amount)
-    return grouped.select(
+    return totals.select(
         "account_name", "settlement_id", "currency",
         F.lit(layout.company).alias("company"), "division", F.lit("").alias("invoice_number"),
         F.date_format("end_date", "MM/dd/yy").alias("invoice_date"), F.lit(layout.credit_season).alias("season"),

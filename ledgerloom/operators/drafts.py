@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerloom.functions.dates import local_day, shift_zone
 from ledgerloom.functions.money import money
 from ledgerloom.functions.numbering import number_within, rank_copies
-from ledgerloom.functions.text import contains_tax, fold, is_blank, one_of, same
+from ledgerloom.functions.text import contains_tax, fold, grouped, is_blank, one_of, same
 from ledgerloom.operators.product_match import attach_products, resolve_by_asin, stock_of_upc
 from ledgerloom.operators.sales import blanks, is_principal, order_channels
 from ledgerloom.params import (
@@ -45,7 +45,7 @@ def order_sku_representative(statements: DataFrame, as_of: Column, days: int = 2
     """One line per order and SKU of a day: the smallest by its other columns."""
     wanted = (F.col("posted_date_1") == F.date_sub(as_of, days)) & same("transaction_type", ORDER)
     rest = [c for c in statements.columns if c not in ("order_id", "sku")]
-    best = statements.where(wanted).groupBy("order_id", "sku").agg(F.min(F.struct(*rest)).alias("row"))
+    best = grouped(statements.where(wanted), [], ["order_id", "sku"], F.min(F.struct(*rest)).alias("row"))
     return best.select("order_id", "sku", "row.*")
 
 
@@ -61,9 +61,8 @@ def refund_lines_open(statements: DataFrame, as_of: Column, days: int = 20) -> D
 
 def local_day_totals(statements: DataFrame, day: Column, zone: str = "+03:00", target: str = "+00:00") -> DataFrame:
     """Totals per company and fee of a business day kept on ``target`` clocks."""
-    return statements.where(local_day("posted_date", zone, target) == day).groupBy(
-        "company_name", "transaction_type", "fee_category", "fee_type"
-    ).agg(money(F.sum("amount")).alias("amount"))
+    wanted = statements.where(local_day("posted_date", zone, target) == day)
+    return grouped(wanted, ["company_name"], ["transaction_type", "fee_category", "fee_type"], money(F.sum("amount")).alias("amount"))
 
 
 def local_day_ledger(
@@ -93,9 +92,8 @@ def zone_comparison(statements: DataFrame, day: Column) -> DataFrame:
     shown = statements.where(local_day("posted_date", "+00:00", "-03:00") == day).withColumns({
         "posted_utc": shift_zone("posted_date", "US/Eastern", "UTC"), "posted_plus_five": shift_zone("posted_date", "+00:00", "+05:00"),
     })
-    return shown.groupBy(
-        "settlement_id", "settlement_batch", "posted_utc", "posted_date", "posted_plus_five", "order_id", "transaction_type"
-    ).agg(money(F.sum("amount")).alias("amount"))
+    keys = ["settlement_id", "settlement_batch", "posted_utc", "posted_date", "posted_plus_five"]
+    return grouped(shown, keys, ["order_id", "transaction_type"], money(F.sum("amount")).alias("amount"))
 
 
 def statement_discrepancy(statement_lines: DataFrame) -> DataFrame:
@@ -110,7 +108,8 @@ def statement_discrepancy(statement_lines: DataFrame) -> DataFrame:
 
 def order_lookup(lines: DataFrame, orders: DataFrame) -> DataFrame:
     """All lines of the wanted orders."""
-    return lines.join(orders.select("order_id").distinct(), "order_id", "left_semi")
+    wanted = orders.select(fold("order_id").alias("order_key")).distinct()
+    return lines.join(wanted, fold(lines["order_id"]) == F.col("order_key"), "left_semi")
 
 
 # Orders at order grain
@@ -140,7 +139,8 @@ def order_buckets(lines: DataFrame, all_orders: DataFrame) -> DataFrame:
     freight = same("fee_category", ITEM_FEE_TYPE) & one_of("fee_type", FREIGHT_FEES)
     tax = contains_tax("fee_type")
     wanted = same("status", NOT_IMPORTED) & same("transaction_type", ORDER)
-    sums = lines.where(wanted).groupBy("company_name", "order_id", "sku").agg(
+    sums = grouped(
+        lines.where(wanted), ["company_name"], ["order_id", "sku"],
         F.min("posted_date").alias("posted_date"), F.sum("quantity_purchased").alias("quantity"), F.sum("amount").alias("total_amount"),
         *[F.sum(F.when(cond, F.col("amount")).otherwise(0)).alias(name)
           for name, cond in (("principal", principal), ("freight", freight), ("tax", tax), ("misc", ~principal & ~freight & ~tax))],
@@ -203,9 +203,10 @@ def refund_revenue() -> Column:
 
 def credit_rollup_line_grain(ranked: DataFrame) -> DataFrame:
     wanted = same("status", NOT_IMPORTED) & ~same("transaction_type", ORDER) & ~refund_revenue()
-    return ranked.where(wanted).groupBy(
-        "company_name", "posted_date", "order_id", "sku", "transaction_type", "fee_category", "fee_type", "ranking"
-    ).agg(F.sum("quantity_purchased").alias("quantity"), money(F.sum("amount")).alias("total_amount"))
+    return grouped(
+        ranked.where(wanted), ["company_name", "posted_date", "ranking"], ["order_id", "sku", "transaction_type", "fee_category", "fee_type"],
+        F.sum("quantity_purchased").alias("quantity"), money(F.sum("amount")).alias("total_amount"),
+    )
 
 
 def credit_extract_line_grain(credits: DataFrame, resolved: DataFrame, layout: DraftLayout = DRAFT_LAYOUT) -> DataFrame:
@@ -230,7 +231,8 @@ def credit_extract_line_grain(credits: DataFrame, resolved: DataFrame, layout: D
 
 def refund_rollup(lines: DataFrame) -> DataFrame:
     """Refunded quantity, principal and tax per order and SKU."""
-    return lines.where(same("status", NOT_IMPORTED) & refund_revenue()).groupBy("company_name", "order_id", "sku").agg(
+    return grouped(
+        lines.where(same("status", NOT_IMPORTED) & refund_revenue()), ["company_name"], ["order_id", "sku"],
         F.min("posted_date").alias("posted_date"),
         F.sum(F.when(same("fee_type", PRINCIPAL), F.col("quantity_purchased")).otherwise(0)).alias("quantity"),
         money(F.sum("amount")).alias("total_amount"),

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ledgerloom.functions.dates import local_day
 from ledgerloom.functions.numbering import number_within, rank_copies
 from ledgerloom.functions.sizing import join_dimension
-from ledgerloom.functions.text import fold, fold_blank, is_blank, same
+from ledgerloom.functions.text import fold, fold_blank, grouped, is_blank, same
 from ledgerloom.params import NOT_IMPORTED, POSTED
 
 FEE_KEYS = ("transaction_type", "fee_category", "fee_type")
@@ -28,11 +28,11 @@ def ledger_lines(settlements: DataFrame) -> DataFrame:
 
 
 def fee_classes(reference: DataFrame) -> DataFrame:
-    """One row per fee key (case and null-or-blank folded): class codes and how many rows share the key."""
-    return reference.groupBy(*[fold_blank(k).alias(k) for k in FEE_KEYS]).agg(
-        F.min("class_code").alias("credit_memo_class"),
-        F.min("subclass_code").alias("credit_memo_sub_class"),
-        F.count("*").alias("line_count"),
+    """One row per fee key (case and null-or-blank folded): the class codes of one of its rows and how many rows share it."""
+    pair = F.min(F.when(F.col("class_code").isNotNull(), F.struct("class_code", "subclass_code"))).alias("pair")
+    classes = reference.groupBy(*[fold_blank(k).alias(k) for k in FEE_KEYS]).agg(pair, F.count("*").alias("line_count"))
+    return classes.select(
+        *FEE_KEYS, F.col("pair.class_code").alias("credit_memo_class"), F.col("pair.subclass_code").alias("credit_memo_sub_class"), "line_count"
     )
 
 
@@ -95,7 +95,7 @@ def settlement_period(lines: DataFrame) -> DataFrame:
 def settlement_skus(settlements: DataFrame, start: Column, end: Column) -> DataFrame:
     """Distinct (account, SKU) posted in a window of local business days."""
     day = local_day("posted_date")
-    return settlements.where(~is_blank("sku") & day.between(start, end)).select("account_name", "sku").distinct()
+    return grouped(settlements.where(~is_blank("sku") & day.between(start, end)), ["account_name"], ["sku"])
 
 
 def pending_settlements(settlements: DataFrame, exported: DataFrame, start: Column) -> DataFrame:

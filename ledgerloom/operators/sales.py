@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.money import half_up_ratio, money
-from ledgerloom.functions.text import contains_tax, fold, one_of, same
+from ledgerloom.functions.text import contains_tax, fold, grouped, one_of, same
 from ledgerloom.operators.product_match import attach_products
 from ledgerloom.params import (
     CHANNEL_FBA, CHANNEL_FBM, ITEM_PRICE, LAYOUT, LIQUIDATION_TYPES, NOT_IMPORTED, ORDER_TYPES, PRICE_TYPE, PRINCIPAL,
@@ -13,7 +13,7 @@ from ledgerloom.params import (
 )
 
 EXTRACT_ATTRIBUTES = ["division", "sub_div", "season", "style", "color", "pack_dim", "size"]
-ORDER_KEYS = ["account_name", "settlement_id", "currency", "start_date", "end_date", "order_id", "sku"]
+STATEMENT_KEYS = ["account_name", "settlement_id", "currency", "start_date", "end_date"]
 
 
 def is_principal(category: str = ITEM_PRICE) -> Column:
@@ -30,7 +30,8 @@ def order_totals(lines: DataFrame, types: tuple[str, ...]) -> DataFrame:
     wanted = (
         same("status", NOT_IMPORTED) & one_of("transaction_type", types) & ~one_of("transaction_type", RESERVE_TYPES)
     )
-    return lines.where(wanted).groupBy(*ORDER_KEYS).agg(
+    return grouped(
+        lines.where(wanted), STATEMENT_KEYS, ["order_id", "sku"],
         F.min("posted_date").alias("posted_date"),
         principal_quantity().alias("quantity"),
         F.sum("amount").alias("total_amount"),
@@ -116,20 +117,22 @@ def sales_extract(
     if currencies is not None:
         orders = orders.where(one_of("currency", currencies))
     keys = ["account_name", "settlement_id", "currency", "end_date"]
-    by_sku = unit_prices(orders, fx).groupBy(*keys, "sku", "price_2").agg(
-        F.sum("quantity").alias("units"), F.sum("tax").alias("tax"), F.min("price_4").alias("price_4")
+    by_sku = grouped(
+        unit_prices(orders, fx), [*keys, "price_2"], ["sku"],
+        F.sum("quantity").alias("units"), F.sum("tax").alias("tax"), F.min("price_4").alias("price_4"),
     )
     merged = attach_products(by_sku, resolved, EXTRACT_ATTRIBUTES)
     merged = merged.withColumn("style", F.coalesce("style", "sku"))
-    grouped = merged.groupBy(*keys, "division", "sub_div", "style", "color", "pack_dim", "size", "price_2").agg(
-        F.sum("units").alias("units"), F.sum("tax").alias("tax"), F.min("price_4").alias("price_4"), F.min("season").alias("season")
+    summed = grouped(
+        merged, [*keys, "division", "sub_div", "price_2"], ["style", "color", "pack_dim", "size"],
+        F.sum("units").alias("units"), F.sum("tax").alias("tax"), F.min("price_4").alias("price_4"), F.min("season").alias("season"),
     )
     number = F.concat_ws(
         "_", F.col("settlement_id").cast("string"), F.coalesce(F.col("division").cast("string"), F.lit("")),
         F.coalesce(F.col("sub_div").cast("string"), F.lit("")),
     )
     day = F.date_format("end_date", "MM/dd/yyyy")
-    return grouped.select(
+    return summed.select(
         "account_name", "settlement_id", "currency",
         F.lit(layout.company).alias("company"), "division",
         customer_code(layout.sales_customer, layout).alias("customer_number"),

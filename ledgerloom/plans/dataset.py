@@ -86,7 +86,7 @@ class Dataset:
         item = self.lineitem.selectExpr(
             *_settlement_keys("l_suppkey", "l_shipdate"),
             "l_shipdate + make_dt_interval(0, l_linenumber) as posted_date",
-            "cast(l_orderkey as string) as order_id",
+            "concat('ORD-', cast(l_orderkey as string)) as order_id",
             f"{sku_of('l_partkey')} as sku",
             "case when l_returnflag = 'R' then 'Refund' when l_linenumber = 7 then 'Liquidations' "
             "when l_linenumber = 6 and l_linestatus = 'F' then 'TBYB Order Payment' else 'Order' end as transaction_type",
@@ -112,12 +112,18 @@ class Dataset:
         ]) + ")"
         kept = [c for c in SETTLEMENT_COLUMNS if c not in ("amount_type", "amount_description", "amount", "quantity_purchased")]
         items = item.selectExpr(*kept, f"inline({fees}) as (amount_type, amount_description, amount, quantity_purchased)").where("amount is not null")
-        account_fees = self.table("orders").where("o_orderstatus = 'P' and o_orderpriority in ('1-URGENT', '3-MEDIUM', '5-LOW')").selectExpr(
+        # The same order or SKU is spelled differently from fee to fee.
+        items = items.withColumns({
+            "order_id": F.expr("case when amount_description = 'Tax' then lower(order_id) else order_id end"),
+            "sku": F.expr("case when amount_type = 'Promotion' then lower(sku) else sku end"),
+        })
+        account_fees = self.table("orders").selectExpr(
             *_settlement_keys("o_custkey", "o_orderdate"),
             "o_orderdate as posted_date",
             "cast(null as string) as order_id",
             "cast(null as string) as sku",
-            "case o_orderpriority when '1-URGENT' then 'Payable to Amazon' when '3-MEDIUM' then 'Current Reserve Amount' else 'Storage Fee' end as transaction_type",
+            "case o_orderpriority when '1-URGENT' then 'Payable to Amazon' when '2-HIGH' then 'Previous Reserve Amount Balance' "
+            "when '3-MEDIUM' then 'Current Reserve Amount' when '5-LOW' then 'Storage Fee' else 'Subscription Fee' end as transaction_type",
             "cast(null as string) as amount_type",
             "cast(null as string) as amount_description",
             f"cast(-round(cast(o_totalprice as {MONEY}) * cast(0.01 as decimal(4,2)), 2) as {MONEY}) as amount",
@@ -186,7 +192,7 @@ class Dataset:
     @cached_property
     def all_orders(self) -> DataFrame:
         return self.lineitem.selectExpr(
-            "cast(l_orderkey as string) as order_id",
+            "concat('ORD-', cast(l_orderkey as string)) as order_id",
             f"{sku_of('l_partkey')} as sku",
             "case l_orderkey % 5 when 0 then 'Merchant' when 1 then null else 'Amazon' end as fulfillment_channel",
         )

@@ -39,7 +39,7 @@ RATE_FX = "cast(fx.exchange_value * 10000000000 as hugeint)"
 
 def resolved(skus: str, variant: str, by_account: bool = False) -> str:
     """One row per SKU: every rung joined on its own, then the first value per column."""
-    match = "b.sku = s.sku" + (" and b.account_name = s.account_name" if by_account else "")
+    match = "lower(b.sku) = lower(s.sku)" + (" and b.account_name = s.account_name" if by_account else "")
     pairs = {"two_rung": "pairs_marketplace", "status": "pairs_all"}.get(variant, "pairs")
     b = f"from s join product_data b on {match}"
     c = f"{b} join {pairs} c on c.asin = b.asin"
@@ -54,7 +54,7 @@ def resolved(skus: str, variant: str, by_account: bool = False) -> str:
                    "H": f"{cl} join canon i on {listing}", **digits},
         "inventory": {"E": f"{c} join canon i on i.upc = c.upc",
                       "F": f"from s left join product_data b on {match} left join {pairs} c on c.asin = b.asin "
-                           "left join (select distinct sku, fnsku from inventory_events) d on d.sku = s.sku join canon i on i.asin = coalesce(c.asin, d.fnsku)",
+                           "left join (select distinct sku, fnsku from inventory_events) d on lower(d.sku) = lower(s.sku) join canon i on i.asin = coalesce(c.asin, d.fnsku)",
                       "G": f"{c} join canon i on {tail}", "H": f"{cl} join canon i on {listing}", **digits},
         "two_rung": {"E": f"{c} join canon i on i.upc = c.upc", "F": f"{c} join canon i on {tail}"},
     }
@@ -68,7 +68,7 @@ def resolved(skus: str, variant: str, by_account: bool = False) -> str:
 
 
 def stock_join(facts: str, products: str, columns: list[str]) -> str:
-    return f"select f.*, {', '.join(f'r.{c}' for c in columns)} from {facts} f left join {products} r on r.sku = f.sku"
+    return f"select f.*, {', '.join(f'r.{c}' for c in columns)} from {facts} f left join {products} r on lower(r.sku) = lower(f.sku)"
 
 
 def store() -> str:
@@ -88,10 +88,10 @@ END = "strftime(end_date, '%m/%d/%Y')"
 SALES = f"""select account_name, settlement_id, currency, '1' as company, division, {codes(LAYOUT.sales_customer)} as customer_number,
     {store()} as store_number, {NUMBER} as external_order_number, {END} as order_date, {END} as start_date, {END} as cancel_date, 82 as terms,
     'RTG' as routing, 297 as warehouse, 'JDE' as sales_rep, {NUMBER} as customer_po_number, {blanks(1, 6)}, 0 as merch_discount, 'S' as order_type,
-    left(min(season), 1) as style_season, right(min(season), 2) as style_year, style, '' as sku200, color as sku300, pack_dim as sku400, size as size_code,
+    left(min(season), 1) as style_season, right(min(season), 2) as style_year, min(style) as style, '' as sku200, min(color) as sku300, min(pack_dim) as sku400, min(size) as size_code,
     cast(sum(quantity) as bigint) as units, price_2 as customer_price, price_2 as cop_price, min(price_4) as customer_price_1, min(price_4) as cop_price_1,
     0 as dollar_discount, {blanks(7, 14)}, 0 as misc, 0 as freight, {money('sum(tax)')} as tax, {blanks(15, 17)}, 'A' as order_origin
-    from priced group by account_name, settlement_id, currency, end_date, division, sub_div, style, color, pack_dim, size, price_2"""
+    from priced group by account_name, settlement_id, currency, end_date, division, sub_div, lower(style), lower(color), lower(pack_dim), lower(size), price_2"""
 
 CREDIT_FILTER = f"""not (transaction_type in {ORDER_TYPES} and ((fee_category = 'ItemPrice' and fee_type = 'Principal') or fee_type ilike '%tax%'))"""
 CREDITS = f"""select account_name, settlement_id, currency, '1' as company, division, '' as invoice_number, strftime(end_date, '%m/%d/%y') as invoice_date,
@@ -102,7 +102,7 @@ CREDITS = f"""select account_name, settlement_id, currency, '1' as company, divi
     '' as tax_amount, 'JDE' as sales_manager, sub_division || '-AMZ' as style, '' as fabric, 'ASST' as color
     from (select a.account_name, a.settlement_id, a.currency, a.end_date, coalesce(r.division, 31) as division,
       coalesce(cast(r.sub_div as varchar), '000') as sub_division, c.class_code, c.subclass_code, a.transaction_type, sum(a.amount) as total
-      from (select * from lines where {CREDIT_FILTER}) a left join classes c on {{on}} left join r_orders r on r.sku = a.sku
+      from (select * from lines where {CREDIT_FILTER}) a left join classes c on {{on}} left join r_orders r on lower(r.sku) = lower(a.sku)
       where c.class_code <> 'X' group by all) g left join fx_rates fx using (settlement_id)"""
 
 CLASS_ON = " and ".join(f"coalesce(lower(a.{k}), '') = c.{k}" for k in ("transaction_type", "fee_category", "fee_type"))
@@ -110,12 +110,13 @@ CREDITS = CREDITS.replace("{on}", CLASS_ON)
 
 
 def rollup(types: str, channel: str) -> str:
-    return f"""select a.account_name, a.settlement_id, a.currency, a.start_date, a.end_date, a.order_id, a.sku, min(posted_date) as posted_date,
+    return f"""select a.account_name, a.settlement_id, a.currency, a.start_date, a.end_date, min(a.order_id) as order_id, min(a.sku) as sku, min(posted_date) as posted_date,
         cast(sum(case when fee_type = 'Principal' then quantity_purchased end) as bigint) as quantity, sum(amount) as total_amount,
         sum(case when fee_type = 'Principal' and (fee_category = 'ItemPrice' or (transaction_type in {LIQUIDATIONS} and fee_category = 'PRICE_TYPE')) then amount else 0 end) as principal,
         sum(case when fee_type ilike '%tax%' then amount else 0 end) as tax, '{channel}' as fulfillment_channel
-        from lines a join (select distinct order_id, sku from all_orders where fulfillment_channel = '{channel}') b using (order_id, sku)
-        where transaction_type in {types} group by 1, 2, 3, 4, 5, 6, 7"""
+        from lines a join (select distinct lower(order_id) as order_key, lower(sku) as sku_key from all_orders where fulfillment_channel = '{channel}') b
+          on b.order_key = lower(a.order_id) and b.sku_key = lower(a.sku)
+        where transaction_type in {types} group by 1, 2, 3, 4, 5, lower(a.order_id), lower(a.sku)"""
 
 
 BUCKETS = [f"{p}_{m}_{u}" for p in ("fba", "fbm") for m in ("orders", "tax") for u in ("usd", "cad", "mxn")] + ["credits_usd", "credits_cad", "credits_mxn"]
@@ -138,7 +139,7 @@ RECON_RAW = f"""select account_name, 'Raw Settlement Data' as type, settlement_i
     {money(f"sum(case when transaction_type in {RESERVES} or class_code = 'X' then amount else 0 end)")} as exclusions,
     {money('sum(case when class_code is null then amount else 0 end)')} as unmapped
     from (select a.*, c.class_code, o.fulfillment_channel from lines a left join classes c on {CLASS_ON}
-      left join (select distinct order_id, sku, fulfillment_channel from all_orders) o on o.order_id = a.order_id and o.sku = a.sku) t
+      left join (select distinct order_id, sku, fulfillment_channel from all_orders) o on lower(o.order_id) = lower(a.order_id) and lower(o.sku) = lower(a.sku)) t
     group by account_name, settlement_id"""
 
 RECON_LOGIC = f"""select p.account_name, 'LOGIC' as type, p.settlement_id, p.start_date, p.end_date, {money('sum(amount)')} as total_amount,
@@ -171,7 +172,8 @@ def allocated(stock: str, fallback: str) -> str:
 EVENT = "company_name, event_date, transaction_type, fnsku, sku, fulfillment_center_id, quantity, disposition"
 EVENT_WINDOW = "event_date between date '2024-01-03' and date '2024-01-29'"
 DRAFT_LINE = "company_name, posted_date, posted_date_1, order_id, sku, transaction_type, fee_category, fee_type, amount, quantity_purchased"
-DRAFT_RANK = "row_number() over (partition by company_name, posted_date_1, order_id, sku, transaction_type, fee_category, fee_type, amount, quantity_purchased order by posted_date)"
+DRAFT_RANK = ("row_number() over (partition by company_name, posted_date_1, lower(order_id), lower(sku), transaction_type, fee_category, fee_type, amount, quantity_purchased "
+              "order by posted_date, order_id, sku)")
 REFUND = "(transaction_type = 'Refund' and fee_category = 'PRICE_TYPE' and (fee_type = 'Principal' or fee_type ilike '%tax%'))"
 FREIGHT = "(fee_category = 'ITEM_RELATED_FEE_TYPE' and fee_type in ('FBAPerUnitFulfillmentFee', 'FBAPerOrderFulfillmentFee', 'FBAWeightBasedFee'))"
 PRICE = "(fee_category = 'PRICE_TYPE' and fee_type = 'Principal')"
@@ -190,29 +192,29 @@ def draft_order_extract(source: str, number: str) -> str:
 STEPS: dict[str, str] = {
     "lines": "select account_name, settlement_id, currency, start_date, end_date, posted_date, coalesce(order_id, '') as order_id, coalesce(sku, '') as sku, "
              "transaction_type, amount_type as fee_category, amount_description as fee_type, amount, quantity_purchased, 'Not Imported' as status from settlements",
-    "ranked": f"select *, row_number() over (partition by account_name, settlement_id, {LOCAL_DAY}, order_id, sku, transaction_type, fee_category, fee_type, amount, "
-              f"quantity_purchased order by posted_date) as ranking from lines",
+    "ranked": f"select *, row_number() over (partition by account_name, settlement_id, {LOCAL_DAY}, lower(order_id), lower(sku), transaction_type, fee_category, fee_type, amount, "
+              f"quantity_purchased order by posted_date, order_id, sku) as ranking from lines",
     "numbered": "select *, row_number() over (partition by account_name, settlement_id order by posted_date, order_id, sku, currency, transaction_type, "
                 "fee_category nulls first, fee_type nulls first, amount, quantity_purchased nulls first, ranking) as id from ranked",
     "classes": "select coalesce(lower(transaction_type), '') as transaction_type, coalesce(lower(fee_category), '') as fee_category, "
-               "coalesce(lower(fee_type), '') as fee_type, min(class_code) as class_code, min(subclass_code) as subclass_code, count(*) as n from fee_reference group by 1, 2, 3",
+               "coalesce(lower(fee_type), '') as fee_type, min(class_code) as class_code, arg_min(subclass_code, row(class_code, subclass_code)) as subclass_code, count(*) as n from fee_reference group by 1, 2, 3",
     "period": "select account_name, settlement_id, min(start_date) as start_date, max(end_date) as end_date from lines group by 1, 2",
     "canon": f"select * exclude (rn) from (select *, row_number() over (partition by upc order by warehouse) as rn from inventory where {NUMERIC_UPC}) q where rn = 1",
     "pairs": "select distinct asin, upc from product_data where upc not ilike 'b%' and asin is not null",
     "pairs_marketplace": "select distinct asin, upc from product_data where fulfillment_channel = 'AMAZON_NA' and upc not ilike 'b%' and asin is not null",
-    "r_orders": resolved("select distinct sku from settlements where sku <> ''", "orders"),
-    "skus": f"select distinct account_name, sku from settlements where sku <> '' and {LOCAL_DAY} between date '1996-01-01' and date '2001-10-31'",
+    "r_orders": resolved("select min(sku) as sku from settlements where sku <> '' group by lower(sku)", "orders"),
+    "skus": f"select account_name, min(sku) as sku from settlements where sku <> '' and {LOCAL_DAY} between date '1996-01-01' and date '2001-10-31' group by account_name, lower(sku)",
     "r_report": resolved("select account_name, sku from skus", "report", by_account=True),
-    "r_listed": resolved("select distinct sku from settlements where sku <> ''", "inventory"),
+    "r_listed": resolved("select min(sku) as sku from settlements where sku <> '' group by lower(sku)", "inventory"),
     "r_events": resolved("select distinct sku from inventory_events", "inventory"),
-    "r_two": resolved("select distinct sku from settlements where sku <> ''", "two_rung"),
-    "r_two_any": resolved("select distinct sku from settlements where sku <> ''", "two_rung").replace("pairs_marketplace", "pairs"),
+    "r_two": resolved("select min(sku) as sku from settlements where sku <> '' group by lower(sku)", "two_rung"),
+    "r_two_any": resolved("select min(sku) as sku from settlements where sku <> '' group by lower(sku)", "two_rung").replace("pairs_marketplace", "pairs"),
     "fba": rollup("('Order', 'TBYB Order Payment', 'Liquidations', 'Liquidations Adjustments')", "Amazon"),
     "fbm": rollup(ORDER_TYPES, "Merchant"),
     "priced": f"""select o.*, r.division, r.sub_div, r.season, coalesce(r.style, o.sku) as style, r.color, r.pack_dim, r.size,
         {half_up('principal', f"cast(quantity as hugeint) * (case when currency = 'MXN' then {RATE_FX} else {RATE_ONE} end)", 2)} as price_2,
         {half_up('principal', f"cast(quantity as hugeint) * (case when currency = 'MXN' then {RATE_FX} else {RATE_ONE} end)", 4)} as price_4
-        from fba o left join r_orders r on r.sku = o.sku left join fx_rates fx on fx.settlement_id = o.settlement_id""",
+        from fba o left join r_orders r on lower(r.sku) = lower(o.sku) left join fx_rates fx on fx.settlement_id = o.settlement_id""",
     "sales_all": SALES,
     "credits_all": CREDITS,
     "raw_side": RECON_RAW,
@@ -221,9 +223,9 @@ STEPS: dict[str, str] = {
         from (select * from raw_side union all by name select * from logic_side) s
         join raw_side r on r.account_name = s.account_name and r.settlement_id = s.settlement_id
         join logic_side l on l.account_name = s.account_name and l.settlement_id = s.settlement_id""",
-    "credit_lines": f"select account_name, settlement_id, currency, start_date, end_date, posted_date, order_id, sku, transaction_type, fee_category, fee_type, ranking, "
+    "credit_lines": f"select account_name, settlement_id, currency, start_date, end_date, posted_date, min(order_id) as order_id, min(sku) as sku, transaction_type, fee_category, fee_type, ranking, "
                     f"cast(sum(case when fee_type = 'Principal' then quantity_purchased end) as bigint) as quantity, sum(amount) as total_amount from ranked "
-                    f"where {CREDIT_FILTER} group by 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12",
+                    f"where {CREDIT_FILTER} group by 1, 2, 3, 4, 5, 6, lower(order_id), lower(sku), 9, 10, 11, 12",
     # stock
     "prepacked": f"""select a.*, b.season as season_1, b.* exclude (division, season) from (select {STOCK} from inventory) a
         left join prepack b on a.division = b.division and a.pack_dim = b.prepack_code and left(a.season, 1) = b.season""",
@@ -261,20 +263,20 @@ STEPS: dict[str, str] = {
     # drafts
     "draft_lines": "select * replace (coalesce(order_id, '') as order_id, coalesce(sku, '') as sku), 'Not Imported' as line_status from statements",
     "draft_ranked": f"select {DRAFT_LINE.replace('order_id, sku', "coalesce(order_id, '') as order_id, coalesce(sku, '') as sku")}, {DRAFT_RANK} as ranking from statements",
-    "buckets": f"""select a.company_name, a.order_id, a.sku, min(posted_date) as posted_date, cast(sum(quantity_purchased) as bigint) as quantity,
+    "buckets": f"""select a.company_name, min(a.order_id) as order_id, min(a.sku) as sku, min(posted_date) as posted_date, cast(sum(quantity_purchased) as bigint) as quantity,
         {money('sum(amount)')} as total_amount, {money(f'sum(case when {PRICE} then amount else 0 end)')} as principal,
         {money(f'sum(case when {FREIGHT} then amount else 0 end)')} as freight, {money("sum(case when fee_type ilike '%tax%' then amount else 0 end)")} as tax,
         {money(f"sum(case when not {PRICE} and not {FREIGHT} and fee_type not ilike '%tax%' then amount else 0 end)")} as misc, min(o.fulfillment_channel) as fulfillment_channel
-        from draft_lines a left join (select distinct order_id, sku, fulfillment_channel from all_orders) o on o.order_id = a.order_id and o.sku = a.sku
-        where transaction_type = 'Order' group by a.company_name, a.order_id, a.sku""",
+        from draft_lines a left join (select distinct order_id, sku, fulfillment_channel from all_orders) o on lower(o.order_id) = lower(a.order_id) and lower(o.sku) = lower(a.sku)
+        where transaction_type = 'Order' group by a.company_name, lower(a.order_id), lower(a.sku)""",
     "matched_orders": stock_join("buckets", "r_two", ["listed_upc", "erp_upc", *MERGED]) + " where r.erp_upc is not null",
     "labelled_orders": stock_join("buckets", "r_listed", MERGED),
-    "draft_credits": f"""select company_name, posted_date, order_id, sku, transaction_type, fee_category, fee_type, ranking, cast(sum(quantity_purchased) as bigint) as quantity,
-        {money('sum(amount)')} as total_amount from draft_ranked where transaction_type <> 'Order' and coalesce(not {REFUND}, false) group by 1, 2, 3, 4, 5, 6, 7, 8""",
-    "refunds": f"""select company_name, order_id, sku, min(posted_date) as posted_date,
+    "draft_credits": f"""select company_name, posted_date, min(order_id) as order_id, min(sku) as sku, transaction_type, fee_category, fee_type, ranking, cast(sum(quantity_purchased) as bigint) as quantity,
+        {money('sum(amount)')} as total_amount from draft_ranked where transaction_type <> 'Order' and coalesce(not {REFUND}, false) group by 1, 2, lower(order_id), lower(sku), 5, 6, 7, 8""",
+    "refunds": f"""select company_name, min(order_id) as order_id, min(sku) as sku, min(posted_date) as posted_date,
         cast(sum(case when fee_type = 'Principal' then quantity_purchased else 0 end) as bigint) as quantity, {money('sum(amount)')} as total_amount,
         {money(f'sum(case when {PRICE} then amount else 0 end)')} as principal, {money("sum(case when fee_type ilike '%tax%' then amount else 0 end)")} as tax
-        from draft_lines where {REFUND} group by 1, 2, 3""",
+        from draft_lines where {REFUND} group by 1, lower(order_id), lower(sku)""",
 }
 RAW_FULL = f"""select a.account_name, a.settlement_id, a.currency, a.start_date, a.end_date, a.posted_date, a.order_id, a.sku, a.transaction_type,
     a.amount_type as fee_category, a.amount_description as fee_type, a.amount, a.quantity_purchased, a.status,
@@ -365,7 +367,7 @@ FINAL: dict[str, str] = {
     "upc_match_diagnostic": f"""select s.sku, {DIGITS} as sku_digits, coalesce(listed_asin, e.fnsku) as asin, listed_upc as upc, substring(listed_upc, 2) as upc_tail,
         cast(length(listed_upc) - 1 as int) as tail_length, erp_upc from r_listed s left join (select sku, min(fnsku) as fnsku from inventory_events group by 1) e on e.sku = s.sku""",
     "related_products_by_asin": """select p.*, cast(n.order_lines as bigint) as order_lines from product_data p join (select b.asin, count(*) as order_lines from buckets a
-        join product_data b on b.sku = a.sku where b.asin is not null group by 1) n on n.asin = p.asin""",
+        join product_data b on lower(b.sku) = lower(a.sku) where b.asin is not null group by 1) n on n.asin = p.asin""",
     # sales
     "order_rollup_fba": "select * from fba",
     "order_rollup_fbm": "select * from fbm",
@@ -404,7 +406,7 @@ FINAL: dict[str, str] = {
     # drafts
     "daily_principal_total": f"select {money('sum(amount)')} as amount from statements where posted_date_1 = {AS_OF_DAY} - 1 and transaction_type = 'Order' and fee_type = 'Principal'",
     "duplicate_lines": f"""select posted_date_1, order_id, sku, fee_category, fee_type, amount, ranking, count(*) as line_count, '' as active from (
-        select *, row_number() over (partition by posted_date_1, order_id, sku, fee_category, fee_type, amount) as ranking from statements
+        select *, row_number() over (partition by posted_date_1, lower(order_id), lower(sku), fee_category, fee_type, amount order by order_id, sku) as ranking from statements
         where posted_date_1 > {AS_OF_DAY} - 60) q group by 1, 2, 3, 4, 5, 6, 7""",
     "order_buckets": "select * from buckets",
     "two_rung_match": "select * from matched_orders",
@@ -418,18 +420,18 @@ FINAL: dict[str, str] = {
         coalesce(cast(r.sub_div as varchar), '') as sub_division, '' as factor_code, 'RBM' as sales_rea, 'RBM' as sales_rep, '' as terms_code, total_amount as amount,
         transaction_type as misc_description, fee_category as credit_memo_class, fee_type as credit_memo_sub_class, 'AMAZON' as business_unit, '' as y_tax, '' as tax_amount,
         'RBM' as sales_manager, coalesce(r.style, '') as style, '' as fabric, coalesce(r.color, '') as color
-        from draft_credits c left join r_two r on r.sku = c.sku where r.erp_upc is not null or c.sku = ''""",
+        from draft_credits c left join r_two r on lower(r.sku) = lower(c.sku) where r.erp_upc is not null or c.sku = ''""",
     "refund_rollup": "select * from refunds",
     "refund_extract": f"""select '01' as company, r.division, 297 as warehouse, 'EASF02' as customer_number, '0001' as store_number, 'C' as col_1, 'R' as col_2,
         left(r.season, 1) as style_season, '0' as col_3, r.listed_upc as upc, quantity, {money('principal + tax')} as amount, {money('principal + tax')} as amount_1, '0' as col_4,
         '0' as col_5, '' as blank_1, order_id as external_order_number, 'RBM' as col_6, 'S' as col_7, posted_date, '$' as col_8
-        from refunds f join r_two r on r.sku = f.sku where r.erp_upc is not null""",
-    "refund_lines_open": f"""select *, row_number() over (partition by posted_date_1, order_id, sku, fee_category, fee_type, amount order by company_name, settlement_id, settlement_batch,
-        start_date, end_date, posted_date) as ranking from statements where posted_date_1 > {AS_OF_DAY} - 20 and transaction_type = 'Refund' and lower(status) = 'open'
+        from refunds f join r_two r on lower(r.sku) = lower(f.sku) where r.erp_upc is not null""",
+    "refund_lines_open": f"""select *, row_number() over (partition by posted_date_1, lower(order_id), lower(sku), fee_category, fee_type, amount order by company_name, settlement_id, settlement_batch,
+        start_date, end_date, posted_date, order_id, sku) as ranking from statements where posted_date_1 > {AS_OF_DAY} - 20 and transaction_type = 'Refund' and lower(status) = 'open'
         and quantity_purchased <> 0 and fee_type = 'Principal'""",
     "mark_complete": f"""select l.* exclude (status, line_status), case when (transaction_type = 'Order' or {REFUND}) and r.erp_upc is not null then 'Complete'
         when transaction_type <> 'Order' and not {REFUND} and (r.erp_upc is not null or l.sku = '') then 'Complete' else 'Not Imported' end as status
-        from draft_lines l left join r_two r on r.sku = l.sku""",
+        from draft_lines l left join r_two r on lower(r.sku) = lower(l.sku)""",
     "mark_events_complete": f"select {', '.join('l.' + c for c in EVENT.split(', '))}, ranking, case when e.erp_upc is not null then 'Complete' else status end as status from draft_event_ledger l left join event_stock e on e.sku = l.sku",
     "stock_adjustment_draft": f"""select s.division, left(s.season, 1) as season, right(s.season, 2) as season_year, s.style, s.sku200, '' as blank_1, s.color, s.pack_dim as size_scale, s.size,
         e.quantity, 297 as warehouse_in, 297 as warehouse_out from (select distinct {EVENT} from draft_event_ledger) e left join event_stock s on s.sku = e.sku
@@ -443,12 +445,14 @@ FINAL: dict[str, str] = {
     "settlement_day_total": f"""select company_name, settlement_id, settlement_batch, {money('sum(amount)')} as amount from statements
         where posted_date_1 = date '1998-06-15' group by 1, 2, 3""",
     "zone_comparison": f"""select settlement_id, settlement_batch, (posted_date at time zone 'US/Eastern') at time zone 'UTC' as posted_utc, posted_date,
-        posted_date + interval 5 hour as posted_plus_five, order_id, transaction_type, {money('sum(amount)')} as amount from statements
-        where cast(posted_date - interval 3 hour as date) = date '1998-06-15' group by 1, 2, 3, 4, 5, 6, 7""",
+        posted_date + interval 5 hour as posted_plus_five, min(order_id) as order_id, transaction_type, {money('sum(amount)')} as amount from statements
+        where cast(posted_date - interval 3 hour as date) = date '1998-06-15' group by 1, 2, 3, 4, 5, lower(order_id), 7""",
     "statement_discrepancy": f"""select settlement_id, settlement_batch, start_date, end_date, max(total_amount) as total_amount, {money('sum(amount)')} as amount,
         max(total_amount) = sum(amount) as matched, {money('max(total_amount) - sum(amount)')} as discrepancy from statement_lines group by 1, 2, 3, 4""",
-    "order_lookup": "select * from settlements where order_id in (select cast(o_orderkey as varchar) from orders where o_orderpriority = '1-URGENT')",
-    "order_sku_representative": f"""select * exclude (rn) from (select *, row_number() over (partition by order_id, sku order by company_name, settlement_id, settlement_batch, start_date, end_date,
+    "order_lookup": "select * from settlements where lower(order_id) in (select 'ord-' || cast(o_orderkey as varchar) from orders where o_orderpriority = '1-URGENT')",
+    "order_sku_representative": f"""select * exclude (rn, spelled_order, spelled_sku) replace (spelled_order as order_id, spelled_sku as sku) from (select *,
+        min(order_id) over (partition by lower(order_id), lower(sku)) as spelled_order, min(sku) over (partition by lower(order_id), lower(sku)) as spelled_sku,
+        row_number() over (partition by lower(order_id), lower(sku) order by company_name, settlement_id, settlement_batch, start_date, end_date,
         posted_date, posted_date_1, transaction_type, fee_category nulls first, fee_type nulls first, amount, quantity_purchased nulls first, status) as rn
         from statements where posted_date_1 = {AS_OF_DAY} - 2 and transaction_type = 'Order') q where rn = 1""",
     # quality

@@ -40,13 +40,14 @@ _SIGN = "(case when transaction_type = 'Refund' then -1 else 1 end)"
 
 
 def _fee(category: str, fee_type: str, amount: str, quantity: str = "null", where: str = "true") -> str:
-    return (f"select {_HEAD}, {category} as amount_type, '{fee_type}' as amount_description, "
+    head = _HEAD.replace("order_id", "lower(order_id) as order_id") if fee_type == "Tax" else _HEAD.replace("sku", "lower(sku) as sku") if "Promotion" in category else _HEAD
+    return (f"select {head}, {category} as amount_type, '{fee_type}' as amount_description, "
             f"cast({amount} as decimal(12,2)) as amount, cast({quantity} as int) as quantity_purchased, status from item where {where}")
 
 
 VIEWS: dict[str, str] = {
     "item": f"""select {_keys('l_suppkey', 'l_shipdate')}, l_shipdate + to_hours(l_linenumber) as posted_date,
-        cast(l_orderkey as varchar) as order_id, {_sku('l_partkey')} as sku,
+        'ORD-' || cast(l_orderkey as varchar) as order_id, {_sku('l_partkey')} as sku,
         case when l_returnflag = 'R' then 'Refund' when l_linenumber = 7 then 'Liquidations'
           when l_linenumber = 6 and l_linestatus = 'F' then 'TBYB Order Payment' else 'Order' end as transaction_type,
         cast(l_extendedprice as decimal(12,2)) as price, cast(l_tax as decimal(4,2)) as tax,
@@ -60,9 +61,10 @@ VIEWS: dict[str, str] = {
         _fee("'ItemFees'", "FBAPerUnitFulfillmentFee", "-qty * cast(0.50 as decimal(4,2))", where="l_linestatus = 'F'"),
         f"""select {_HEAD}, null, null, amount, null, status from (select {_keys('o_custkey', 'o_orderdate')},
         o_orderdate as posted_date, cast(null as varchar) as order_id, cast(null as varchar) as sku,
-        case o_orderpriority when '1-URGENT' then 'Payable to Amazon' when '3-MEDIUM' then 'Current Reserve Amount' else 'Storage Fee' end as transaction_type,
+        case o_orderpriority when '1-URGENT' then 'Payable to Amazon' when '2-HIGH' then 'Previous Reserve Amount Balance' when '3-MEDIUM' then 'Current Reserve Amount'
+          when '5-LOW' then 'Storage Fee' else 'Subscription Fee' end as transaction_type,
         cast(-round(cast(o_totalprice as decimal(12,2)) * cast(0.01 as decimal(4,2)), 2) as decimal(12,2)) as amount
-        from orders where o_orderstatus = 'P' and o_orderpriority in ('1-URGENT', '3-MEDIUM', '5-LOW')) f""",
+        from orders) f""",
     ]),
     "statements": """select account_name as company_name, settlement_id, settlement_id * 10 + 1 as settlement_batch, start_date, end_date,
         posted_date, cast(posted_date as date) as posted_date_1, order_id, sku, transaction_type,
@@ -83,7 +85,7 @@ VIEWS: dict[str, str] = {
         from part cross join (values ('acct_0'), ('acct_1'), ('acct_2')) as a(account_name)""",
     "all_listings": f"""select account_name, {_sku('p_partkey')} as seller_sku, case when p_size <= 20 then cast(100000000000 + p_partkey as varchar)
         when p_size <= 40 then {_asin('p_partkey')} end as product_id from part cross join (values ('acct_0'), ('acct_1')) as a(account_name)""",
-    "all_orders": f"""select cast(l_orderkey as varchar) as order_id, {_sku('l_partkey')} as sku,
+    "all_orders": f"""select 'ORD-' || cast(l_orderkey as varchar) as order_id, {_sku('l_partkey')} as sku,
         case l_orderkey % 5 when 0 then 'Merchant' when 1 then null else 'Amazon' end as fulfillment_channel from lineitem""",
     "inventory": f"""select case when p_size < 50 then cast(replace(p_brand, 'Brand#', '') as int) end as division, p_brand as div_name,
         cast(p_size % 7 as int) as sub_div, 'SD' || cast(p_size % 7 as varchar) as sub_div_desc, warehouse, 'WH ' || cast(warehouse as varchar) as warehouse_name,

@@ -234,7 +234,7 @@ _register({
     "zone_comparison": lambda j: drafts.zone_comparison(j.data.statements, _date(BUSINESS_DAY)),
     "statement_discrepancy": lambda j: drafts.statement_discrepancy(j.data.statement_lines),
     "order_lookup": lambda j: drafts.order_lookup(
-        j.data.settlements, j.data.table("orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").cast("string").alias("order_id"))),
+        j.data.settlements, j.data.table("orders").where("o_orderpriority = '1-URGENT'").select(F.concat(F.lit("ord-"), F.col("o_orderkey").cast("string")).alias("order_id"))),
     "order_sku_representative": lambda j: drafts.order_sku_representative(j.data.statements, _date(AS_OF)),
     # quality
     "profile_column_types": lambda j: quality.profile_column_types(j.data.settlements),
