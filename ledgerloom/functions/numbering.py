@@ -1,91 +1,55 @@
-"""Row numbers that do not put a whole key on one task."""
+"""Row numbers that do not put a whole key on one task and do not look at the data while the plan is built."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerloom.sources.workspace import ensure_checkpoint_dir
+COPIES_PER_PIECE = 100_000
 
-COPIES_PER_ROW = 100_000
-ROWS_PER_WINDOW = 5_000_000
 
-
-def _tasks(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-
-
-def rank_copies(
-    df: DataFrame, group: list[Column | str], name: str = "ranking", copies_per_row: int = COPIES_PER_ROW
-) -> DataFrame:
+def rank_copies(df: DataFrame, group: list[Column | str], name: str = "ranking", copies_per_piece: int = COPIES_PER_PIECE) -> DataFrame:
     """Number the rows of each ``group`` from 1.
 
     Equal rows are counted on the map side first, so a line repeated a billion times travels as one
-    row with its count. A window then only sums counts over the distinct rows of a group, and the
-    copies are unfolded again. Rows with more than ``copies_per_row`` copies come first in their group,
-    so their numbers depend on no other rows: they take a branch of their own, in which they are cut
-    into pieces and dealt out to all tasks before they unfold.
+    row with its count. A window then only sums counts over the distinct rows of a group. Copies unfold
+    last, in pieces of a bounded number, so that none of them is held as a list.
     """
     columns = df.columns
     counted = df.groupBy(*columns).agg(F.count("*").alias("_n"))
-    often = F.col("_n") > copies_per_row
-
-    def placed(rows: DataFrame) -> DataFrame:
-        earlier = Window.partitionBy(*group).orderBy(often.desc(), *columns).rowsBetween(Window.unboundedPreceding, -1)
-        return rows.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-
+    earlier = Window.partitionBy(*group).orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     first, last = F.col("_before") + 1, F.col("_before") + F.col("_n")
-    few = placed(counted).where(~often).select(*columns, F.explode(F.sequence(first, last)).alias(name))
-    pieces = (
-        placed(counted.where(often))
-        .select("*", F.explode(F.sequence(first, last, F.lit(copies_per_row).cast("bigint"))).alias("_from"))
-        .repartition(_tasks(df), "_from", *columns)
-    )
-    to = F.least(F.col("_from") + (copies_per_row - 1), last)
-    many = pieces.select(*columns, F.explode(F.sequence(F.col("_from"), to)).alias(name))
-    return few.unionByName(many)
+    step = F.lit(copies_per_piece).cast("bigint")
+    pieces = placed.select(*columns, last.alias("_last"), F.explode(F.sequence(first, last, step)).alias("_from"))
+    return pieces.select(*columns, F.explode(F.sequence("_from", F.least(F.col("_from") + step - 1, F.col("_last")))).alias(name))
 
 
-def number_within(
-    df: DataFrame,
-    partition: list[str],
-    order: list[str],
-    name: str = "id",
-    rows_per_window: int = ROWS_PER_WINDOW,
-    counted_from: DataFrame | None = None,
-) -> DataFrame:
+def number_within(df: DataFrame, partition: list[str], order: list[str], name: str = "id", levels: list[Column | str] | None = None) -> DataFrame:
     """``row_number`` per ``partition`` along ``order``, which has to be a total order.
 
-    A count per partition value finds the ones too large for one window task (at most
-    rows / ``rows_per_window`` of them). It reads ``counted_from``, a cheaper frame with as many rows
-    per partition value, where there is one. The rest take a plain window. The large ones are range
-    partitioned along the order, and a row's number is its number inside its range plus the rows in
-    earlier ranges. Range bounds are sampled, so the ranges are checkpointed before they are read twice.
+    ``levels`` cut the order into stretches, coarse before fine (a day, a time of it, an order): together they follow
+    the order and are its beginning. Rows are counted per stretch, a window per level sums the counts of the stretches
+    before, and only the rows of one finest stretch are sorted together. By default the first column of the order is
+    the only level.
     """
-    spark = df.sparkSession
-    whole = Window.partitionBy(*partition).orderBy(*order)
-    sizes = (df if counted_from is None else counted_from).groupBy(*partition).agg(F.count("*").alias("_size")).where(F.col("_size") > rows_per_window)
-    large = sizes.collect()
-    if not large:
-        return df.withColumn(name, F.row_number().over(whole).cast("bigint"))
-    if partition:
-        keys = F.broadcast(spark.createDataFrame(large, sizes.schema).drop("_size"))
-        match = [F.col(f"l.{c}").eqNullSafe(F.col(f"k.{c}")) for c in partition]
-        small = df.alias("l").join(keys.alias("k"), match, "left_anti")
-        hot = df.alias("l").join(keys.alias("k"), match, "left_semi")
-        numbered = small.withColumn(name, F.row_number().over(whole).cast("bigint"))
-    else:
-        hot, numbered = df, None
-    ensure_checkpoint_dir(spark)
-    ranges = max(_tasks(df), sum(r["_size"] for r in large) // rows_per_window + 1)
-    placed = hot.repartitionByRange(int(ranges), *partition, *order).withColumn("_range", F.spark_partition_id()).checkpoint()
-    earlier = Window.partitionBy(*partition).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = placed.groupBy(*partition, "_range").agg(F.count("*").alias("_rows")).select(
-        *[F.col(c).alias(f"_k_{c}") for c in partition], F.col("_range").alias("_k_range"),
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
-    )
-    inside = Window.partitionBy(*partition, "_range").orderBy(*order)
-    placed = placed.withColumn("_inside", F.row_number().over(inside))
-    match = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in partition] + [F.col("_range") == F.col("_k_range")]
-    spread = placed.join(offsets, match).select(*df.columns, (F.col("_before") + F.col("_inside")).alias(name))
-    return spread if numbered is None else numbered.unionByName(spread)
+    levels = levels or order[:1]
+    named = {f"_level_{i}": F.col(x) if isinstance(x, str) else x for i, x in enumerate(levels)}
+    # A struct key is never null and compares its nulls as equal, so the rows are dealt out once for join and window.
+    keyed = df.withColumns(named).withColumn("_stretch", F.struct(*partition, *named))
+    parts = list(named)
+    counted = keyed.groupBy("_stretch").agg(F.count("*").alias("_n"))
+    starts = None
+    for depth in range(len(parts), 0, -1):
+        inside = [F.col(f"_stretch.{c}") for c in (*partition, *parts[: depth - 1])]
+        earlier = Window.partitionBy(*inside).orderBy(F.col(f"_stretch.{parts[depth - 1]}")).rowsBetween(Window.unboundedPreceding, -1)
+        placed = counted.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        wider = F.struct(*[c.alias(n) for c, n in zip(inside, (*partition, *parts[: depth - 1]))]) if inside else F.struct(F.lit(0))
+        if starts is None:
+            starts = placed.select("_stretch", wider.alias("_wider"), "_before")
+        else:
+            above = placed.select(F.col("_stretch").alias("_above"), wider.alias("_next"), F.col("_before").alias("_more"))
+            starts = starts.join(above, F.col("_wider") == F.col("_above")).select("_stretch", F.col("_next").alias("_wider"), (F.col("_before") + F.col("_more")).alias("_before"))
+        counted = placed.groupBy(wider.alias("_stretch")).agg(F.sum("_n").alias("_n"))
+    within = Window.partitionBy("_stretch").orderBy(*order)
+    numbered = keyed.join(starts.select("_stretch", "_before"), "_stretch").withColumn("_nth", F.row_number().over(within))
+    return numbered.select(*df.columns, (F.col("_before") + F.col("_nth")).alias(name))

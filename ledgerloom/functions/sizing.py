@@ -1,43 +1,30 @@
-"""Joins to dimension tables whose size is measured before it is relied on."""
+"""Joins to dimension tables, and keys that have to be unique."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 64
 
+def unique(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """``df``, which has one row per value of ``keys``; reading a value that has several fails with that value.
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Counts rows and bytes of ``df``, reading no more than ``max_rows + 1`` of its rows."""
-    width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8 for c in df.columns), F.lit(0))
-    seen = df.select(width.alias("w")).limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum("w").alias("b")).first()
-    return seen["n"] <= max_rows and (seen["b"] or 0) <= max_bytes
+    The check is part of the query: it costs an aggregation of the dimension and no job of its own.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    rows = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"), F.count("*").alias("_rows"))
+    value = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
+    repeated = F.raise_error(F.concat(F.lit(f"{name}: more than one row for {', '.join(keys)} = "), value))
+    checked = rows.select(*keys, F.when(F.col("_rows") == 1, F.col("_row")).otherwise(repeated).alias("_row"))
+    return checked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
-def join_dimension(
-    facts: DataFrame,
-    dim: DataFrame,
-    keys: dict[str, Column],
-    spread: list[str],
-    max_rows: int = BROADCAST_ROWS,
-    max_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Left join of ``facts`` to a dimension that is unique on ``keys`` (dimension column -> fact expression).
+def join_dimension(facts: DataFrame, dim: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """Left join of ``facts`` to a dimension by (dimension column -> fact expression).
 
-    A dimension measured as small is broadcast. A larger one meets the facts through a salted shuffle:
-    facts of one key spread over ``salts`` tasks by a hash of the ``spread`` columns, and the dimension
-    is repeated once per salt, so a key that holds most of the facts stays divided.
+    There is no hint and no look at the data while the plan is built: adaptive execution broadcasts the dimension when
+    its shuffled size turns out small, and splits the partitions of hot fact keys when it does not.
     """
     named = {f"_k_{name}": column for name, column in keys.items()}
     facts = facts.withColumns(named)
     dim = dim.withColumnsRenamed({name: f"_k_{name}" for name in keys})
-    if fits_broadcast(dim, max_rows, max_bytes):
-        joined = facts.join(F.broadcast(dim), list(named), "left")
-    else:
-        facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-        dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = facts.join(dim, [*named, "_salt"], "left").drop("_salt")
-    return joined.drop(*named)
+    return facts.join(dim, list(named), "left").drop(*named)

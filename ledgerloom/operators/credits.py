@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.money import half_up_ratio, money
+from ledgerloom.functions.sizing import unique
 from ledgerloom.functions.text import contains_tax, grouped, one_of, same
 from ledgerloom.operators.ledger import classify
 from ledgerloom.operators.product_match import attach_products
@@ -62,7 +63,7 @@ def credit_extract(
     totals = grouped(merged, [*keys, "division", "sub_division"], names, F.sum("total").cast("decimal(22,2)").alias("total"))
     amount = -F.col("total")
     if fx is not None:
-        totals = totals.join(fx, "settlement_id", "left")
+        totals = totals.join(unique(fx, ["settlement_id"], "exchange rates"), "settlement_id", "left")
         converted = half_up_ratio(-F.col("total"), F.col("exchange_value"), 2)
         amount = F.when(same("currency", "MXN"), converted).otherwise(amount)
     return totals.select(

@@ -76,7 +76,7 @@ def local_day_ledger(
     ranked = rank_copies(lines, group)
     blanked = ranked.withColumns({c: F.coalesce(c, F.lit("")) for c in ("order_id", "sku")})
     order = ["posted_date", "order_id", "sku", "transaction_type", "fee_category", "fee_type", "amount", "quantity_purchased", "ranking"]
-    return number_within(blanked, ["company_name"], order).withColumns({
+    return number_within(blanked, ["company_name"], order, levels=["posted_date", "order_id"]).withColumns({
         "posted_at_target": shift_zone("posted_date", zone, target), "line_count": F.lit(1).cast("bigint"), "status": F.lit(NOT_IMPORTED),
     })
 

@@ -38,20 +38,17 @@ def fee_classes(reference: DataFrame) -> DataFrame:
 
 def classify(lines: DataFrame, reference: DataFrame) -> DataFrame:
     """Adds class, sub class and the number of matching reference rows; unmapped lines keep nulls."""
-    keys = {k: fold_blank(k) for k in FEE_KEYS}
-    spread = [c for c in ("account_name", "settlement_id", "order_id", "sku", "amount") if c in lines.columns]
-    return join_dimension(lines, fee_classes(reference), keys, spread)
+    return join_dimension(lines, fee_classes(reference), {k: fold_blank(k) for k in FEE_KEYS})
 
 
 def join_null_blank(lines: DataFrame, reference: DataFrame) -> DataFrame:
-    """Lines joined to the whole reference row, null and blank being the same key."""
+    """Lines joined to the whole reference row, null and blank being the same key; rows of the reference that share a key all join."""
     named = reference.select(
         *[fold_blank(k).alias(k) for k in FEE_KEYS],
         *[F.col(k).alias(f"reference_{k}") for k in FEE_KEYS],
         *[c for c in reference.columns if c not in FEE_KEYS],
     )
-    spread = [c for c in ("account_name", "settlement_id", "order_id", "sku", "amount") if c in lines.columns]
-    return join_dimension(lines, named, {k: fold_blank(k) for k in FEE_KEYS}, spread)
+    return join_dimension(lines, named, {k: fold_blank(k) for k in FEE_KEYS})
 
 
 def _duplicate_keys() -> list[Column]:
@@ -72,17 +69,14 @@ LEDGER_ORDER = [
 ]
 
 
-def line_numbers(ranked: DataFrame, lines: DataFrame | None = None) -> DataFrame:
-    """Sequence number of each line inside its settlement, by posting time, order and SKU.
-
-    ``lines`` are the lines before ranking; settlements are counted there when they are given.
-    """
-    return number_within(ranked, ["account_name", "settlement_id"], LEDGER_ORDER, counted_from=lines)
+def line_numbers(ranked: DataFrame) -> DataFrame:
+    """Sequence number of each line inside its settlement, by posting time, order and SKU."""
+    return number_within(ranked, ["account_name", "settlement_id"], LEDGER_ORDER, levels=[F.to_date("posted_date"), "posted_date", "order_id"])
 
 
 def fee_ledger(settlements: DataFrame, reference: DataFrame) -> DataFrame:
     lines = ledger_lines(settlements)
-    classed = classify(line_numbers(duplicate_ranks(lines), lines), reference).drop("credit_memo_sub_class")
+    classed = classify(line_numbers(duplicate_ranks(lines)), reference).drop("credit_memo_sub_class")
     return classed.withColumn("line_count", F.coalesce("line_count", F.lit(1).cast("bigint")))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.money import half_up_ratio, money
+from ledgerloom.functions.sizing import unique
 from ledgerloom.functions.text import contains_tax, fold, grouped, one_of, same
 from ledgerloom.operators.product_match import attach_products
 from ledgerloom.params import (
@@ -74,7 +75,12 @@ def unit_prices(orders: DataFrame, fx: DataFrame | None) -> DataFrame:
     quantity = F.col("quantity").cast("decimal(12,0)")
     divisor = quantity.cast("decimal(22,10)")
     if fx is not None:
-        orders = orders.join(fx, "settlement_id", "left")
+        # Only orders in pesos look up a rate; the others get keys of their own, which no rate has, spread over the tasks.
+        pesos = same("currency", "MXN")
+        own = F.concat(F.lit("-"), F.xxhash64("order_id", "sku").cast("string"))
+        rates = unique(fx, ["settlement_id"], "exchange rates").select(F.col("settlement_id").cast("string").alias("rate_key"), "exchange_value")
+        keyed = orders.withColumn("rate_key", F.when(pesos, F.col("settlement_id").cast("string")).otherwise(own))
+        orders = keyed.join(rates, "rate_key", "left").drop("rate_key")
         rate = F.when(same("currency", "MXN"), F.col("exchange_value")).otherwise(F.lit(1)).cast("decimal(20,10)")
         divisor = quantity * rate
     priced = orders.withColumns({

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.money import half_up_ratio
-from ledgerloom.functions.sizing import join_dimension
+from ledgerloom.functions.sizing import join_dimension, unique
 from ledgerloom.functions.text import fold, nonzero_number, one_of, same
-from ledgerloom.operators.product_match import canonical_inventory  # noqa: F401  (part of the stock API)
 from ledgerloom.params import EXCLUDED_CLASS, LOOSE_PACKS, PREPACK_SIZE, PREPACK_SLOTS
 
 STOCK_COLUMNS = [
@@ -26,10 +25,11 @@ def prepack_join(inventory: DataFrame, prepack: DataFrame) -> DataFrame:
         "division", fold("prepack_code").alias("pack_key"), fold("season").alias("season_key"),
         F.col("season").alias("season_1"), "prepack_code", *PREPACK_COLUMNS, *slots,
     )
+    packs = unique(packs, ["division", "pack_key", "season_key"], "prepacks")
     blanked = {c: F.coalesce(F.col(c), F.lit("")) for c in ("color", "size", "sku200")}
     stock = inventory.select(*STOCK_COLUMNS).withColumns(blanked)
     keys = {"division": F.col("division"), "pack_key": fold("pack_dim"), "season_key": fold(F.left("season", F.lit(1)))}
-    return join_dimension(stock, packs, keys, STOCK_COLUMNS)
+    return join_dimension(stock, packs, keys)
 
 
 def prepack_size_explode(expanded: DataFrame, max_slot: int = PREPACK_SLOTS) -> DataFrame:
@@ -112,16 +112,14 @@ def warehouse_list(inventory: DataFrame, override: DataFrame | None = None) -> D
     seen = inventory.select("warehouse").distinct()
     if override is None:
         return seen.select("warehouse", F.lit("").alias("exclude"), F.lit("").alias("priority"))
-    return seen.join(override, "warehouse", "left").select(
+    return seen.join(unique(override, ["warehouse"], "warehouse override"), "warehouse", "left").select(
         "warehouse", F.coalesce("exclude", F.lit("")).alias("exclude"), F.coalesce("priority", F.lit("")).alias("priority")
     )
 
 
 def sellable_stock(final: DataFrame, warehouses: DataFrame) -> DataFrame:
     kept = warehouses.where(~same("exclude", EXCLUDED_CLASS)).select("warehouse").distinct()
-    return join_dimension(
-        final, kept.withColumn("_kept", F.lit(True)), {"warehouse": F.col("warehouse")}, ["style", "color", "size_detail", "upc"]
-    ).where("_kept").drop("_kept")
+    return final.join(kept, "warehouse", "left_semi")
 
 
 def style_upc_lookup(sellable: DataFrame) -> DataFrame:

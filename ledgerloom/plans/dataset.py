@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.params import PREPACK_SLOTS
-from ledgerloom.sources.feeds import read_table, spread
+from ledgerloom.sources.feeds import read_table
 
 MONEY = "decimal(12,2)"
 AS_OF = "2001-10-31"
@@ -79,7 +79,7 @@ class Dataset:
 
     @cached_property
     def lineitem(self) -> DataFrame:
-        return spread(self.table("lineitem"))
+        return self.table("lineitem")
 
     @cached_property
     def settlements(self) -> DataFrame:

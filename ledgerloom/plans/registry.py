@@ -154,7 +154,7 @@ def _register(jobs: dict[str, Callable[[Jobs], DataFrame]]) -> None:
 _register({
     # ledger
     "dup_rank": lambda j: j.ranked(),
-    "settlement_line_id": lambda j: ledger.line_numbers(j.ranked(), j.lines()).select("id", "account_name", "settlement_id", *ledger.LEDGER_ORDER),
+    "settlement_line_id": lambda j: ledger.line_numbers(j.ranked()).select("id", "account_name", "settlement_id", *ledger.LEDGER_ORDER),
     "fee_ledger": lambda j: ledger.fee_ledger(j.data.settlements, j.data.fee_reference),
     "join_null_blank": lambda j: ledger.join_null_blank(j.lines(), j.data.fee_reference).select(
         "account_name", "settlement_id", "order_id", "sku", "transaction_type", "fee_category", "fee_type", "amount", "id", "class_code"),
@@ -367,12 +367,18 @@ def _union_store_codes(j: Jobs) -> DataFrame:
     """A sheet per market segment; two of them lack a column the others have."""
     folder = new_dir(j.spark, "stores")
     customers = j.data.table("customer").selectExpr(
-        "c_mktsegment", "cast(c_custkey as string) as code", "c_name as name", "cast(c_nationkey as string) as region")
+        "c_mktsegment as store", "cast(c_custkey as string) as code", "c_name as name", "cast(c_nationkey as string) as region")
+    # One scan writes the sheets of all segments, whatever segments there are.
+    sinks.export_partitioned(customers, f"{folder}/sheets", ["store"], ["code"])
+    stores = [r["store"] for r in customers.select("store").distinct().collect()]
     sheets = {}
-    for store, columns in (("AUTOMOBILE", ["code", "name"]), ("BUILDING", ["code", "region"]), ("FURNITURE", ["code", "name", "region"]),
-                           ("HOUSEHOLD", ["code", "name", "region"]), ("MACHINERY", ["code", "name", "region"])):
-        sheets[store] = f"{folder}/{store}.csv"
-        sinks.export_csv(customers.where(F.col("c_mktsegment") == store).select(*columns), sheets[store])
+    for store in stores:
+        sheet = j.spark.read.options(**feeds.CSV_READ).csv(f"{folder}/sheets/store={store}")
+        lacking = {"AUTOMOBILE": "region", "BUILDING": "name"}.get(store)
+        sheets[store] = f"{folder}/sheets/store={store}"
+        if lacking:
+            sheets[store] = f"{folder}/{store}.csv"
+            sinks.export_csv(sheet.drop(lacking), sheets[store])
     return feeds.union_store_codes(j.spark, sheets)
 
 
@@ -383,7 +389,7 @@ def _ingest_new_files(j: Jobs) -> DataFrame:
     lines = j.data.settlements.select(*SETTLEMENT_COLUMNS)
     arrivals = (lines.where("year(end_date) < 1998"), lines.where("year(end_date) >= 1998"))
     for arrival in arrivals:
-        arrival.write.mode("append").option("header", True).csv(f"{folder}/incoming")
+        arrival.write.mode("append").options(**feeds.CSV_WRITE).csv(f"{folder}/incoming")
         ingest_new_files(j.spark, f"{folder}/incoming", feeds.SETTLEMENT_SCHEMA, f"{folder}/landing", f"{folder}/checkpoint")
     ingest_new_files(j.spark, f"{folder}/incoming", feeds.SETTLEMENT_SCHEMA, f"{folder}/landing", f"{folder}/checkpoint")
     return j.spark.read.schema(feeds.SETTLEMENT_SCHEMA).parquet(f"{folder}/landing")

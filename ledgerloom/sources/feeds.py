@@ -1,13 +1,18 @@
-"""Readers of the ERP and marketplace feeds. Schemas are given, so no file is read twice to infer them."""
+"""Readers of the ERP and marketplace feeds.
+
+Columns are taken by the names in the header, whatever their order, and a column that is missing is an error. Every
+value is read as text and then typed; a row with a value that does not parse, or with too many or too few values, is
+never passed on with a hole in it but goes to the rejects."""
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ledgerloom.operators.quality import normalize_headers
+from ledgerloom.functions.sizing import unique
 from ledgerloom.params import PREPACK_SLOTS
 
 # File name stems of the feeds; dated feeds carry the day as mmddyy.
@@ -33,6 +38,7 @@ WAREHOUSE_COLUMNS = [
 ]
 WAREHOUSE_SCHEMA = "warehouse int, " + ", ".join(f"{c} string" for c in WAREHOUSE_COLUMNS[1:])
 UPC_SKU_SCHEMA = "upc string, sku string, style string"
+FX_SCHEMA = "settlement_id bigint, exchange_value decimal(20,10)"
 OVERRIDE_SCHEMA = "warehouse int, exclude string, priority string"
 REFERENCE_SCHEMA = (
     "id int, transaction_type string, fee_category string, fee_type string, credit_memo_class string, credit_memo_sub_class string, "
@@ -45,12 +51,70 @@ SETTLEMENT_SCHEMA = (
 )
 
 
-# Read option that keeps quoted empty text apart from a missing value.
-KEEP_BLANKS = {"header": "true", "nullValue": "\\N", "emptyValue": ""}
+CSV = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# A missing value is nothing between separators, a blank is two quotes; no text stands for null.
+CSV_READ = {**CSV, "multiLine": "true", "nullValue": "\u0000", "emptyValue": "", "enforceSchema": "false"}
+CSV_WRITE = {**CSV, "nullValue": "", "emptyValue": '""'}
+BROKEN = "_broken_record"
+
+
+def plain_name(name: str) -> str:
+    """A column name without case, blanks and punctuation."""
+    return re.sub(r"\W+", "_", name.strip().lower())
+
+
+def _struct(spark: SparkSession, schema: str | T.StructType) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+
+
+def text_schema(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in [*names, BROKEN]])
+
+
+def typed(rows: DataFrame, wanted: T.StructType, names: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Rows of text (column -> name in the file) as rows of ``wanted``, and the rows that do not parse.
+
+    The rejects hold the names of the columns at fault and the whole row as JSON.
+    """
+    def text(field: T.StructField) -> Column:
+        value = F.col(f"`{names[field.name]}`")
+        # a blank is no number or date, and no fault either
+        return value if isinstance(field.dataType, T.StringType) else F.when(F.trim(value) != "", value)
+
+    def value(field: T.StructField) -> Column:
+        return text(field).try_cast(field.dataType)
+
+    faults = [F.when(text(f).isNotNull() & value(f).isNull(), F.lit(f.name)) for f in wanted.fields if not isinstance(f.dataType, T.StringType)]
+    faults.append(F.when(F.col(BROKEN).isNotNull(), F.lit(BROKEN)))
+    faulty = F.array_compact(F.array(*faults))
+    # Without the barrier the check would be pushed into the scan and Spark refuses to read the broken record alone.
+    checked = rows.withColumn("_faults", faulty)
+    good = checked.where(F.size("_faults") == 0).select(*[value(f).alias(f.name) for f in wanted.fields])
+    bad = checked.where(F.size("_faults") > 0).select(F.array_join("_faults", ",").alias("faults"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns])).alias("record"))
+    return good, bad
+
+
+def read_feed(spark: SparkSession, path: str, schema: str | T.StructType, separator: str = ",", by_position: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of CSV files. All files of ``path`` must have the header of the first; another one fails the read."""
+    wanted = _struct(spark, schema)
+    header = spark.read.options(**CSV_READ).option("sep", separator).csv(path).columns
+    if by_position:
+        if len(header) != len(wanted.fields):
+            raise ValueError(f"{path}: {len(header)} columns where {len(wanted.fields)} are expected")
+        names = dict(zip(wanted.fieldNames(), header))
+    else:
+        known = {plain_name(h): h for h in header}
+        missing = [f.name for f in wanted.fields if plain_name(f.name) not in known]
+        if missing:
+            raise ValueError(f"{path}: no column {', '.join(missing)} in the header {', '.join(header)}")
+        names = {f.name: known[plain_name(f.name)] for f in wanted.fields}
+    reader = spark.read.schema(text_schema(header)).options(**CSV_READ).option("sep", separator).option("columnNameOfCorruptRecord", BROKEN)
+    return typed(reader.csv(path), wanted, names)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, separator: str = ",") -> DataFrame:
-    return spark.read.schema(schema).options(**KEEP_BLANKS).option("sep", separator).csv(path)
+    """The rows of ``read_feed`` that parse."""
+    return read_feed(spark, path, schema, separator)[0]
 
 
 def dated(stem: str, day: dt.date) -> str:
@@ -71,11 +135,11 @@ def read_upc_sku(spark: SparkSession, folder: str, day: dt.date) -> DataFrame:
 
 def read_warehouse_info(spark: SparkSession, folder: str) -> DataFrame:
     """The eleven columns are named by position, whatever the header says."""
-    return read_csv(spark, f"{folder}/*{WAREHOUSE_STEM}*", WAREHOUSE_SCHEMA).toDF(*WAREHOUSE_COLUMNS)
+    return read_feed(spark, f"{folder}/*{WAREHOUSE_STEM}*", WAREHOUSE_SCHEMA, by_position=True)[0]
 
 
 def read_warehouse_override(spark: SparkSession, folder: str) -> DataFrame:
-    return read_csv(spark, f"{folder}/{OVERRIDE_FILE}", OVERRIDE_SCHEMA)
+    return unique(read_csv(spark, f"{folder}/{OVERRIDE_FILE}", OVERRIDE_SCHEMA), ["warehouse"], "warehouse override")
 
 
 def read_fee_reference(spark: SparkSession, path: str) -> DataFrame:
@@ -83,9 +147,8 @@ def read_fee_reference(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_fx_rates(spark: SparkSession, path: str) -> DataFrame:
-    """Sheet export with free-form headers: names normalised, rates typed."""
-    sheet = normalize_headers(spark.read.options(**KEEP_BLANKS).csv(path))
-    return sheet.select(F.col("settlement_id").cast("bigint"), F.col("exchange_value").cast("decimal(20,10)"))
+    """Sheet export with free-form headers, keyed by settlement; a repeated settlement fails the read."""
+    return unique(read_csv(spark, path, FX_SCHEMA), ["settlement_id"], "exchange rates")
 
 
 def read_table(spark: SparkSession, source: str | dict[str, str]) -> DataFrame:
@@ -101,18 +164,9 @@ def read_table(spark: SparkSession, source: str | dict[str, str]) -> DataFrame:
     return spark.read.format("jdbc").options(**source).load()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A fact table that arrives in fewer splits than there are cores, dealt out to all of them.
-
-    Tables stored as many files or row groups already fill the cluster and are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def union_store_codes(spark: SparkSession, sheets: dict[str, str]) -> DataFrame:
     """All sheets (store name -> CSV path) under each other, store name first, columns aligned by name."""
     frames = [
-        spark.read.options(**KEEP_BLANKS).csv(path).select(F.lit(store).alias("store"), "*") for store, path in sheets.items()
+        spark.read.options(**CSV_READ).csv(path).select(F.lit(store).alias("store"), "*") for store, path in sheets.items()
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

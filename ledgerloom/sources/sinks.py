@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerloom.sources.feeds import CSV_WRITE
+
 # Sort order inside the ERP files.
 FILE_ORDER = {
     "sales": ["division", "style", "sku300"],
@@ -25,6 +27,23 @@ def replace_partitions(df: DataFrame, path: str, partitions: list[str]) -> None:
     )
 
 
+def replace_keys(df: DataFrame, touched: DataFrame, path: str, keys: list[str]) -> None:
+    """Replaces the rows of all ``touched`` keys in a table partitioned by exactly these keys.
+
+    A touched key without rows loses its partition. Only such keys come to the driver, one at a time, as names of
+    folders to remove.
+    """
+    spark, kept = df.sparkSession, df.persist()
+    replace_partitions(kept, path, keys)
+    gone = touched.select(*keys).distinct().join(kept.select(*keys).distinct(), keys, "left_anti")
+    jvm = spark._jvm
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for row in gone.select(*[F.col(k).cast("string") for k in keys]).toLocalIterator():
+        folder = jvm.org.apache.hadoop.fs.Path(path, "/".join(f"{k}={escape(row[k])}" for k in keys))
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    kept.unpersist()
+
+
 def _by_partition(df: DataFrame, partitions: list[str]) -> DataFrame:
     """One task per small partition, several for a large one."""
     return df.hint("rebalance", *[F.col(c) for c in partitions])
@@ -33,12 +52,12 @@ def _by_partition(df: DataFrame, partitions: list[str]) -> DataFrame:
 def export_csv(df: DataFrame, path: str, order: list[str] | None = None, separator: str = ",") -> None:
     """A CSV export with a header, globally sorted where an order is given."""
     rows = df.orderBy(*order) if order else df
-    rows.write.mode("overwrite").option("header", True).option("sep", separator).csv(path)
+    rows.write.mode("overwrite").options(**CSV_WRITE).option("sep", separator).csv(path)
 
 
 def export_partitioned(df: DataFrame, path: str, partitions: list[str], order: list[str]) -> None:
     """CSV files per partition value, sorted inside each file. A value without rows gets no file."""
     (
         _by_partition(df, partitions).sortWithinPartitions(*partitions, *order)
-        .write.mode("overwrite").option("header", True).partitionBy(*partitions).csv(path)
+        .write.mode("overwrite").options(**CSV_WRITE).partitionBy(*partitions).csv(path)
     )

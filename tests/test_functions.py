@@ -4,12 +4,13 @@ import random
 from collections import Counter, defaultdict
 from decimal import ROUND_HALF_UP, Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import local_day
 from ledgerloom.functions.money import half_up_ratio
 from ledgerloom.functions.numbering import number_within, rank_copies
-from ledgerloom.functions.sizing import fits_broadcast, join_dimension
+from ledgerloom.functions.sizing import join_dimension, unique
 from ledgerloom.functions.text import digit_run, drop_first, fold, nonzero_number
 
 
@@ -58,7 +59,7 @@ def test_rank_copies_with_hot_copies(spark):
     rows = _hot_rows()
     df = spark.createDataFrame(rows, "k string, v string, t int")
     for limit in (3, 1000):
-        got = rank_copies(df, [fold("k"), fold("v")], copies_per_row=limit).collect()
+        got = rank_copies(df, [fold("k"), fold("v")], copies_per_piece=limit).collect()
         assert Counter((r["k"], r["v"], r["t"]) for r in got) == Counter(rows)
         ranks = defaultdict(list)
         for r in got:
@@ -68,7 +69,7 @@ def test_rank_copies_with_hot_copies(spark):
 
 def test_number_within_splits_large_keys(spark):
     rng = random.Random(9)
-    rows = [("hot" if i % 3 else f"k{i % 7}" if i % 2 else None, rng.randint(0, 50), i) for i in range(400)]
+    rows = [("hot" if i % 3 else f"k{i % 7}" if i % 2 else None, rng.randint(0, 50) if i % 11 else None, i) for i in range(400)]
     df = spark.createDataFrame(rows, "k string, o int, tie int").repartition(5)
     for partition in (["k"], []):
         expected = {}
@@ -76,18 +77,24 @@ def test_number_within_splits_large_keys(spark):
         for k, o, tie in rows:
             groups[k if partition else 0].append((o, tie, k))
         for group in groups.values():
-            for n, (o, tie, k) in enumerate(sorted(group, key=lambda r: r[:2]), 1):
+            for n, (o, tie, k) in enumerate(sorted(group, key=lambda r: (r[0] is not None, r[0] or 0, r[1])), 1):
                 expected[(k, o, tie)] = n
-        for limit in (20, 100_000):
-            got = number_within(df, partition, ["o", "tie"], rows_per_window=limit).collect()
+        for levels in (None, ["o", "tie"], [F.floor(F.col("o") / 10), "o"]):
+            got = number_within(df, partition, ["o", "tie"], levels=levels).collect()
             assert {(r["k"], r["o"], r["tie"]): r["id"] for r in got} == expected
 
 
-def test_dimension_join_is_the_same_broadcast_or_salted(spark):
+def test_dimension_join_keeps_every_fact(spark):
     facts = spark.createDataFrame([("hot" if i % 3 else f"k{i % 5}" if i % 2 else None, i) for i in range(200)], "k string, n int")
     dim = spark.createDataFrame([("hot", 1), ("k1", 2), ("k4", 3), ("unused", 4)], "key string, v int")
-    small = join_dimension(facts, dim, {"key": F.col("k")}, ["n"])
-    large = join_dimension(facts, dim, {"key": F.col("k")}, ["n"], max_rows=2, salts=8)
-    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
-    assert small.count() == 200 and small.columns == ["k", "n", "v"]
-    assert fits_broadcast(dim) and not fits_broadcast(dim, max_rows=3) and not fits_broadcast(dim, max_bytes=10)
+    got = join_dimension(facts, dim, {"key": F.col("k")})
+    values = dict(map(tuple, dim.collect()))
+    assert got.columns == ["k", "n", "v"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(r["k"], r["n"], values.get(r["k"])) for r in facts.collect()], key=str)
+
+
+def test_repeated_keys_fail_with_their_value(spark):
+    df = spark.createDataFrame([(1, "a", 5), (2, "b", 6), (None, "c", None)], "k int, v string, n int")
+    assert sorted(map(tuple, unique(df, ["k"], "rates").collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    with pytest.raises(Exception, match="rates: more than one row for k, v = 2, b"):
+        unique(df.unionByName(df.where("k = 2")), ["k", "v"], "rates").collect()

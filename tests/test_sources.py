@@ -46,7 +46,7 @@ def test_late_lines_redo_their_settlement_only(spark, tmp_path):
         ingest_new_files(spark, incoming, schema, landing, state)
         refresh_settlements(
             spark, landing, schema, target, state2, lambda lines: lines.groupBy("settlement_id").agg(F.sum("amount").alias("total")),
-            ["settlement_id"], ["settlement_id"])
+            ["settlement_id"])
     assert sorted((r["settlement_id"], r["total"]) for r in spark.read.parquet(target).collect()) == [(1, 11), (2, 7)]
 
 
@@ -122,3 +122,59 @@ def test_headers_and_nulls(spark):
     df = spark.createDataFrame([(None, "None", None), (2, "x", 1.5)], "`A B` int, `C` string, `D` double")
     assert quality.normalize_headers(df).columns == ["a_b", "c", "d"]
     assert sorted(map(tuple, quality.null_normalize(df).collect()), key=str) == [(0, "", None), (2, "x", 1.5)]
+
+
+def test_csv_round_trip_is_lossless(spark, tmp_path):
+    values = ["  lead", "trail  ", "a\nb", "a\r\nb", "\\N", 'q"x', "", None, "back\\slash", "back\\", ",", "null", '""', "\t", "é😀", "'"]
+    df = spark.createDataFrame([(i, v, values[-i - 1]) for i, v in enumerate(values)], "n int, t string, u string")
+    for separator in (",", "|"):
+        path = str(tmp_path / f"out{ord(separator)}")
+        sinks.export_csv(df, path, ["n"], separator)
+        rows, rejects = feeds.read_feed(spark, path, df.schema, separator)
+        assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, df.collect())) and rejects.count() == 0
+    sinks.export_partitioned(df.withColumn("p", F.col("n") % 2), str(tmp_path / "parts"), ["p"], ["n"])
+    assert sorted(map(tuple, feeds.read_csv(spark, str(tmp_path / "parts"), df.schema).collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_columns_are_taken_by_name_and_bad_rows_are_rejected(spark, tmp_path):
+    (tmp_path / "UPC_SKU_Data_030421.csv").write_text("sku,style,UPC\na,x,1\n")
+    assert [tuple(r) for r in feeds.read_upc_sku(spark, str(tmp_path), dt.date(2021, 3, 4)).collect()] == [("1", "a", "x")]
+    (tmp_path / "WAREHOUSES.csv").write_text("Warehouse,Exclude,Priority\n297A,X,\n298,,1\n299\n300,,,9\n,X,\n")
+    rows, rejects = feeds.read_feed(spark, str(tmp_path / "WAREHOUSES.csv"), feeds.OVERRIDE_SCHEMA)
+    assert sorted(map(tuple, rows.collect()), key=str) == [(298, None, "1"), (None, "X", None)]
+    assert sorted((r["faults"], "297A" in r["record"]) for r in rejects.collect()) == [("_broken_record", False), ("_broken_record", False), ("warehouse", True)]
+    with pytest.raises(ValueError, match="no column priority"):
+        (tmp_path / "w.csv").write_text("warehouse,exclude\n1,X\n")
+        feeds.read_feed(spark, str(tmp_path / "w.csv"), feeds.OVERRIDE_SCHEMA)
+    (tmp_path / "two").mkdir()
+    (tmp_path / "two" / "a.csv").write_text("warehouse,exclude,priority\n1,X,\n")
+    (tmp_path / "two" / "b.csv").write_text("exclude,warehouse,priority\nX,1,\n")
+    with pytest.raises(Exception):
+        feeds.read_feed(spark, str(tmp_path / "two"), feeds.OVERRIDE_SCHEMA)[0].collect()
+
+
+def test_repeated_rate_fails_the_read(spark, tmp_path):
+    (tmp_path / "fx.csv").write_text("Settlement ID,Exchange Value\n1,17.5\n1,17.6\n")
+    with pytest.raises(Exception, match="exchange rates: more than one row for settlement_id = 1"):
+        feeds.read_fx_rates(spark, str(tmp_path / "fx.csv")).collect()
+
+
+def test_bad_lines_do_not_land(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("k,v\nx,1\ny,one\n")
+    where = [str(tmp_path / n) for n in ("in", "landing", "state")]
+    ingest_new_files(spark, where[0], "k string, v int", where[1], where[2])
+    assert [tuple(r) for r in spark.read.parquet(where[1]).collect()] == [("x", 1)]
+    assert [r["faults"] for r in spark.read.parquet(where[1] + "-rejects").collect()] == ["v"]
+
+
+def test_shrinking_settlement_leaves_nothing_behind(spark, tmp_path):
+    incoming, landing, state, target, state2 = (str(tmp_path / n) for n in ("incoming", "landing", "state", "target", "state2"))
+    schema = "settlement_id int, currency string, amount int"
+    # a currency whose amounts cancel out yields no row
+    job = lambda lines: lines.groupBy("settlement_id", "currency").agg(F.sum("amount").alias("total")).where("total <> 0")
+    for rows in ([(1, "USD", 5), (1, "CAD", 2), (2, "USD", 7), (3, "USD", 1)], [(1, "CAD", -2), (2, "USD", -7)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").options(**feeds.CSV_WRITE).csv(incoming)
+        ingest_new_files(spark, incoming, schema, landing, state, partitions=["settlement_id"])
+        refresh_settlements(spark, landing, schema, target, state2, job, ["settlement_id"], landed_by="settlement_id")
+    assert sorted((r["settlement_id"], r["currency"], r["total"]) for r in spark.read.parquet(target).collect()) == [(1, "USD", 5), (3, "USD", 1)]
