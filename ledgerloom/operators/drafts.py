@@ -41,6 +41,18 @@ def duplicate_lines(statements: DataFrame, as_of: Column, days: int = 60) -> Dat
     return rank_copies(recent, group).withColumns({"line_count": F.lit(1).cast("bigint"), "active": F.lit("")})
 
 
+def recent_order_principals(statements: DataFrame, as_of: Column, days: int = 20) -> DataFrame:
+    """Principal lines of orders posted in the last days, whole, with their rank among equal lines."""
+    wanted = (F.col("posted_date_1") > F.date_sub(as_of, days)) & same("transaction_type", ORDER) & same("fee_type", PRINCIPAL)
+    group = [F.col("posted_date_1"), fold("order_id"), fold("sku"), fold("fee_category"), fold("fee_type"), F.col("amount")]
+    return rank_copies(statements.where(wanted), group)
+
+
+def skus_since(statements: DataFrame, first: Column) -> DataFrame:
+    """SKUs of the lines posted on ``first`` or later."""
+    return grouped(statements.where((F.col("posted_date_1") >= first) & ~is_blank("sku")), [], ["sku"])
+
+
 def order_sku_representative(statements: DataFrame, as_of: Column, days: int = 2) -> DataFrame:
     """One line per order and SKU of a day: the smallest by its other columns."""
     wanted = (F.col("posted_date_1") == F.date_sub(as_of, days)) & same("transaction_type", ORDER)
@@ -112,6 +124,13 @@ def order_lookup(lines: DataFrame, orders: DataFrame) -> DataFrame:
     return lines.join(wanted, fold(lines["order_id"]) == F.col("order_key"), "left_semi")
 
 
+def settlement_day_lookup(statements: DataFrame, settlements: DataFrame, day: Column, zone: str = "US/Eastern", target: str = "US/Pacific") -> DataFrame:
+    """All lines of the wanted settlements on a business day kept on ``target`` clocks, with the shifted time."""
+    shifted = statements.withColumn("posted_at_target", shift_zone("posted_date", zone, target))
+    wanted = shifted.where(F.to_date("posted_at_target") == day)
+    return wanted.join(settlements.select("settlement_id").distinct(), "settlement_id", "left_semi")
+
+
 # Orders at order grain
 
 

@@ -57,6 +57,7 @@ def resolved(skus: str, variant: str, by_account: bool = False) -> str:
                            "left join (select distinct sku, fnsku from inventory_events) d on lower(d.sku) = lower(s.sku) join canon i on i.asin = coalesce(c.asin, d.fnsku)",
                       "G": f"{c} join canon i on {tail}", "H": f"{cl} join canon i on {listing}", **digits},
         "two_rung": {"E": f"{c} join canon i on i.upc = c.upc", "F": f"{c} join canon i on {tail}"},
+        "status": {"E": f"{c} join canon i on i.upc = c.upc", "F": f"{c} join canon i on {tail}", "G": f"{b} join canon i on i.asin = b.asin"},
     }
     found = " union all ".join(f"select s.sku, '{r}' as rung, i.* {frm}" for r, frm in rungs[variant].items())
     best = ", ".join(f"arg_min({a}, rung || upc) filter (where {a} is not null) as {a}" for a in ATTRIBUTES)
@@ -208,6 +209,11 @@ STEPS: dict[str, str] = {
     "r_listed": resolved("select min(sku) as sku from settlements where sku <> '' group by lower(sku)", "inventory"),
     "r_events": resolved("select distinct sku from inventory_events", "inventory"),
     "r_two": resolved("select min(sku) as sku from settlements where sku <> '' group by lower(sku)", "two_rung"),
+    "pairs_all": "select distinct asin, upc from product_data where asin is not null",
+    "r_status": resolved("select min(sku) as sku from settlements where sku <> '' group by lower(sku)", "status"),
+    "r_since": resolved("select min(sku) as sku from statements where sku <> '' and posted_date_1 >= date '1997-01-01' group by lower(sku)", "two_rung").replace("pairs_marketplace", "pairs"),
+    "pending": f"""select distinct account_name, settlement_id from settlements s where status = 'POSTED' and {LOCAL_DAY} >= date '1995-06-01'
+        and not exists (select 1 from exported e where e.account_name = s.account_name and e.settlement_id = s.settlement_id)""",
     "r_two_any": resolved("select min(sku) as sku from settlements where sku <> '' group by lower(sku)", "two_rung").replace("pairs_marketplace", "pairs"),
     "fba": rollup("('Order', 'TBYB Order Payment', 'Liquidations', 'Liquidations Adjustments')", "Amazon"),
     "fbm": rollup(ORDER_TYPES, "Merchant"),
@@ -387,6 +393,16 @@ FINAL: dict[str, str] = {
     "recon_raw": "select * from raw_side",
     "recon_logic": "select * from logic_side",
     "recon_report": "select * from report",
+    "reconcile_pending": "select * from report r where exists (select 1 from pending p where p.account_name = r.account_name and p.settlement_id = r.settlement_id)",
+    "reconciliation_shrinks": "select * from raw_side where settlement_id % 10 <> 2",
+    "check_keyed_inputs": " union all ".join(
+        f"select '{name}' as input, concat_ws('|', {', '.join(f"coalesce(lower(cast({k} as varchar)), '')" for k in keys)}) as key_text, count(*) as key_count "
+        f"from {view} group by {', '.join(keys)} having count(*) > 1 or {' or '.join(f'{k} is null' for k in keys)}"
+        for name, view, keys in (
+            ("all_orders", "all_orders", ("order_id", "sku", "fulfillment_channel")), ("exchange_rates", "fx_rates", ("settlement_id",)),
+            ("prepack", "prepack", ("division", "prepack_code", "season")), ("warehouse_override", "warehouse_override", ("warehouse",)),
+            ("product_data", "product_data", ("account_name", "sku")), ("fee_reference", "fee_reference", ("transaction_type", "fee_category", "fee_type")))),
+    "feed_rejects": "select case when warehouse % 4 = 0 then 'warehouse' else '' end as faults, exclude, priority, warehouse from warehouse_override",
     # stock
     "prepack_join": "select * from prepacked",
     "prepack_size_explode": EXPLODED,
@@ -432,6 +448,15 @@ FINAL: dict[str, str] = {
     "mark_complete": f"""select l.* exclude (status, line_status), case when (transaction_type = 'Order' or {REFUND}) and r.erp_upc is not null then 'Complete'
         when transaction_type <> 'Order' and not {REFUND} and (r.erp_upc is not null or l.sku = '') then 'Complete' else 'Not Imported' end as status
         from draft_lines l left join r_two r on lower(r.sku) = lower(l.sku)""",
+    "mark_orders_by_status_rungs": f"""select l.* exclude (status, line_status), case when (transaction_type = 'Order' or {REFUND}) and r.erp_upc is not null then 'Complete'
+        when transaction_type <> 'Order' and not {REFUND} and (r.erp_upc is not null or l.sku = '') then 'Complete' else 'Not Imported' end as status
+        from draft_lines l left join r_status r on lower(r.sku) = lower(l.sku)""",
+    "sku_match_list_since": """select sku, product_asin as asin, product_id, listed_upc as upc, erp_upc, listed_upc is not null as has_upc, erp_upc is not null as has_erp_upc from r_since""",
+    "recent_order_principals": f"""select *, row_number() over (partition by posted_date_1, lower(order_id), lower(sku), fee_category, fee_type, amount order by company_name, settlement_id,
+        settlement_batch, start_date, end_date, posted_date, order_id, sku) as ranking from statements
+        where posted_date_1 > {AS_OF_DAY} - 20 and transaction_type = 'Order' and fee_type = 'Principal'""",
+    "settlement_day_lookup": """select *, (posted_date at time zone 'US/Eastern') at time zone 'US/Pacific' as posted_at_target from statements
+        where settlement_id in (select settlement_id from exported) and cast((posted_date at time zone 'US/Eastern') at time zone 'US/Pacific' as date) = date '1995-03-15'""",
     "mark_events_complete": f"select {', '.join('l.' + c for c in EVENT.split(', '))}, ranking, case when e.erp_upc is not null then 'Complete' else status end as status from draft_event_ledger l left join event_stock e on e.sku = l.sku",
     "stock_adjustment_draft": f"""select s.division, left(s.season, 1) as season, right(s.season, 2) as season_year, s.style, s.sku200, '' as blank_1, s.color, s.pack_dim as size_scale, s.size,
         e.quantity, 297 as warehouse_in, 297 as warehouse_out from (select distinct {EVENT} from draft_event_ledger) e left join event_stock s on s.sku = e.sku

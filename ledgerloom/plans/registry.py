@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -23,6 +24,8 @@ FIRST_DAY, LAST_DAY = "1996-01-01", "2001-10-31"
 EVENT_FIRST, EVENT_LAST = "2024-01-03", "2024-01-29"
 BUSINESS_DAY = "1998-06-15"
 PENDING_FROM = "1995-06-01"
+SKUS_SINCE = "1997-01-01"
+LOOKUP_DAY = "1995-03-15"
 
 
 class Jobs:
@@ -31,6 +34,29 @@ class Jobs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.data = Dataset(spark, sf_dir)
+        self.matched: DataFrame | None = None
+
+    # steps that several jobs of a batch share
+    def kept(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written to the shared folder and read again. The planner then knows its size from the files."""
+        path = new_dir(self.spark, name)
+        sinks.full_refresh(df, path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def batch(self, pending_only: bool = False) -> Jobs:
+        """The same jobs over stored steps: statement lines, order channels and resolved products are computed once."""
+        jobs = Jobs(self.spark, self.data.sf_dir)
+        lines = self.kept(self.data.settlements, "batch-lines")
+        jobs.data.__dict__["settlements"] = lines
+        if pending_only:
+            pending = ledger.pending_settlements(lines, jobs.data.exported, _date(PENDING_FROM)).select("account_name", "settlement_id")
+            pending = self.kept(pending, "batch-pending")
+            jobs.data.__dict__["settlements"] = lines.join(pending, ["account_name", "settlement_id"], "left_semi")
+        channels = sales.order_channels(self.data.all_orders).withColumnsRenamed({"order_key": "order_id", "sku_key": "sku"})
+        jobs.data.__dict__["all_orders"] = self.kept(channels, "batch-channels")
+        wanted = dict.fromkeys([*sales.EXTRACT_ATTRIBUTES, *credits.EXTRACT_ATTRIBUTES])
+        jobs.matched = self.kept(jobs.products(*wanted), "batch-products")
+        return jobs
 
     # settlement side
     def lines(self) -> DataFrame:
@@ -38,6 +64,8 @@ class Jobs:
 
     def products(self, *attributes: str) -> DataFrame:
         """Every SKU of the statements with the attributes a job needs."""
+        if self.matched is not None and set(attributes) <= set(self.matched.columns):
+            return self.matched
         return resolve_products(
             self.data.settlements.select("sku").distinct(), self.data.product_data, self.data.inventory, "orders", attributes=attributes)
 
@@ -219,12 +247,17 @@ _register({
             j.data.statements.select("sku").distinct(), j.data.product_data, j.data.inventory, "inventory", j.data.inventory_events),
             drafts.MERGED_ATTRIBUTES), with_division=True),
     "sku_match_list": lambda j: drafts.sku_match_list(j.draft_products(variant="two_rung_any_channel")),
+    "sku_match_list_since": lambda j: drafts.sku_match_list(resolve_products(
+        drafts.skus_since(j.data.statements, _date(SKUS_SINCE)), j.data.product_data, j.data.inventory, "two_rung_any_channel", attributes=())),
+    "recent_order_principals": lambda j: drafts.recent_order_principals(j.data.statements, _date(AS_OF)),
+    "settlement_day_lookup": lambda j: drafts.settlement_day_lookup(j.data.statements, j.data.exported.select("settlement_id"), _date(LOOKUP_DAY)),
     "orders_without_channel": lambda j: drafts.orders_without_channel(j.buckets()),
     "credit_rollup_line_grain": lambda j: j.draft_credits(),
     "credit_extract_line_grain": lambda j: drafts.credit_extract_line_grain(j.draft_credits(), j.draft_products("division", "sub_div", "season", "style", "color")),
     "refund_rollup": lambda j: drafts.refund_rollup(drafts.open_lines(j.data.statements)),
     "refund_extract": lambda j: drafts.refund_extract(drafts.refund_rollup(drafts.open_lines(j.data.statements)), j.draft_products(*drafts.MERGED_ATTRIBUTES)),
     "refund_lines_open": lambda j: drafts.refund_lines_open(j.data.statements, _date(AS_OF)),
+    "mark_orders_by_status_rungs": lambda j: drafts.mark_complete(drafts.open_lines(j.data.statements), j.draft_products(variant="status")),
     "mark_complete": lambda j: drafts.mark_complete(drafts.open_lines(j.data.statements), j.draft_products()),
     "mark_events_complete": lambda j: drafts.mark_events_complete(j.draft_event_ledger(), j.draft_event_products()),
     "stock_adjustment_draft": lambda j: drafts.stock_adjustment_draft(j.draft_event_ledger(), j.draft_event_products()),
@@ -252,13 +285,54 @@ _register({
 
 @query("recon_report")
 def _recon_report(j: Jobs) -> DataFrame:
-    """Both sides stored, the produced side then replaced by key once more: nothing changes."""
-    report = reconciliation.recon_report(j.recon_raw(), j.recon_logic())
-    path = new_dir(j.spark, "reconciliation")
-    sinks.full_refresh(report, path)
-    stored = j.spark.read.parquet(path)
-    again = stored.where("type = 'LOGIC'")
-    return reconciliation.replace_by_key(stored, again, ["type", "account_name", "settlement_id"]).orderBy("settlement_id", "type")
+    """Both sides stored per settlement; one account's settlements are then replaced in the stored table, which changes nothing."""
+    jobs = j.batch()
+    report = j.kept(reconciliation.recon_report(jobs.recon_raw(), jobs.recon_logic()), "reconciliation-run")
+    path, keys = new_dir(j.spark, "reconciliation"), ["account_name", "settlement_id"]
+    for changed in (report, report.where("account_name = 'acct_1'")):
+        sinks.replace_keys(changed, changed, path, keys)
+    return j.spark.read.schema(report.schema).parquet(path).select(*report.columns).orderBy("settlement_id", "type")
+
+
+@query("reconciliation_shrinks")
+def _reconciliation_shrinks(j: Jobs) -> DataFrame:
+    """Raw side stored per settlement; a second run in which settlements in pesos yield nothing removes their rows."""
+    raw = j.kept(j.recon_raw(), "raw-side")
+    path, keys = new_dir(j.spark, "raw-side-stored"), ["account_name", "settlement_id"]
+    pesos = raw.where("settlement_id % 10 = 2")
+    for changed, touched in ((raw, raw), (pesos.where("false"), pesos)):
+        sinks.replace_keys(changed, touched, path, keys)
+    return j.spark.read.schema(raw.schema).parquet(path).select(*raw.columns)
+
+
+@query("check_keyed_inputs")
+def _check_keyed_inputs(j: Jobs) -> DataFrame:
+    """Keys of every keyed input that are null or repeated, as text."""
+    d = j.data
+    inputs = {
+        "all_orders": (d.all_orders, ["order_id", "sku", "fulfillment_channel"]), "exchange_rates": (d.fx_rates, ["settlement_id"]),
+        "prepack": (d.prepack, ["division", "prepack_code", "season"]), "warehouse_override": (d.warehouse_override, ["warehouse"]),
+        "product_data": (d.product_data, ["account_name", "sku"]), "fee_reference": (d.fee_reference, ["transaction_type", "fee_category", "fee_type"]),
+    }
+    reports = []
+    for name, (df, keys) in inputs.items():
+        text = F.concat_ws("|", *[F.coalesce(F.lower(F.col(k).cast("string")), F.lit("")) for k in keys])
+        bad = ledger.check_unique_keys(df, keys)
+        reports.append(bad.select(F.lit(name).alias("input"), text.alias("key_text"), "key_count"))
+    return reduce(DataFrame.unionByName, reports)
+
+
+@query("feed_rejects")
+def _feed_rejects(j: Jobs) -> DataFrame:
+    """An override feed with shuffled columns and a letter in some warehouse numbers: what parses and what does not."""
+    path = new_dir(j.spark, "override")
+    feed = j.data.warehouse_override.selectExpr(
+        "priority", "case when warehouse % 4 = 0 then concat(warehouse, 'A') else cast(warehouse as string) end as WAREHOUSE", "exclude")
+    sinks.export_csv(feed, path)
+    rows, rejects = feeds.read_feed(j.spark, path, feeds.OVERRIDE_SCHEMA)
+    good = rows.selectExpr("'' as faults", "exclude", "priority", "warehouse")
+    bad = rejects.selectExpr("faults", "from_json(record, 'exclude string, priority string, WAREHOUSE string') as r")
+    return good.unionByName(bad.selectExpr("faults", "r.exclude", "r.priority", "cast(replace(r.WAREHOUSE, 'A', '') as int) as warehouse"))
 
 
 @query("sink_full_refresh")
@@ -396,9 +470,12 @@ def _ingest_new_files(j: Jobs) -> DataFrame:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All accounts and settlements at once: both reconciliation sides with their difference."""
-    jobs = Jobs(spark, sf_dir)
+    """All pending settlements of all accounts at once: both reconciliation sides with their difference."""
+    jobs = Jobs(spark, sf_dir).batch(pending_only=True)
     return reconciliation.recon_report(jobs.recon_raw(), jobs.recon_logic())
 
 
+QUERIES["reconcile_pending"] = flagship
+
+
 __all__ = ["QUERIES", "Jobs", "flagship"]
