@@ -66,6 +66,7 @@ def credit_extract(
         totals = totals.join(unique(fx, ["settlement_id"], "exchange rates"), "settlement_id", "left")
         converted = half_up_ratio(-F.col("total"), F.col("exchange_value"), 2)
         amount = F.when(same("currency", "MXN"), converted).otherwise(amount)
+    # Names and order of the ERP's credit layout.
     return totals.select(
         "account_name", "settlement_id", "currency",
         F.lit(layout.company).alias("company"), "division", F.lit("").alias("invoice_number"),

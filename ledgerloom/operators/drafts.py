@@ -189,6 +189,7 @@ def order_extract_order_grain(merged: DataFrame, with_division: bool = False, la
     number = F.col("order_id")
     if with_division:
         number = F.concat("order_id", F.lit("_"), F.coalesce(F.col("division").cast("string"), F.lit("")))
+    # Names and order of the earlier order layout.
     return merged.select(
         F.lit(layout.company).alias("company"), "division", F.lit(layout.customer).alias("customer_number"),
         F.lit(layout.order_store).alias("store_number"), number.alias("external_order_number"),

@@ -11,21 +11,22 @@ TEXT_WIDTHS = ((256, "TEXT"), (100, "VARCHAR(255)"), (50, "VARCHAR(100)"), (25,
 NARROWEST_TEXT = "VARCHAR(5)"
 BIGINT_CHARS = 10
 
-NUMBER_TEXT = r"^[+-]?[0-9]+(\.[0-9]+)?$"
+NUMBER_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def _name(column: str) -> Column:
     return F.col(f"`{column}`")
 
 
-def _fraction(text: Column) -> Column:
-    """Digits after the point without trailing zeros, at least one."""
-    digits = F.regexp_replace(F.regexp_extract(text, r"\.([0-9]*)$", 1), "0+$", "")
-    return F.greatest(F.octet_length(digits), F.lit(1))
-
-
-def _whole_part(text: Column) -> Column:
-    return F.octet_length(F.regexp_extract(text, r"^([+-]?[0-9]*)", 1))
+def _printed(number: Column) -> dict[str, Column]:
+    """Measures of a decimal as it prints: digits (and sign) before the point, digits after it without trailing zeros (one at least), both."""
+    text = number.cast("string")
+    whole = F.octet_length(F.substring_index(text, ".", 1))
+    fraction = F.greatest(F.octet_length(F.rtrim(F.regexp_extract(text, r"\.([0-9]*)$", 1), F.lit("0"))), F.lit(1))
+    return {
+        "whole": F.max(whole), "depth": F.max(fraction), "printed": F.max(whole + 1 + fraction),
+        "fractions": F.count_if(number != F.floor(number)), "nonzero": F.count_if(number != 0),
+    }
 
 
 def _measures(field: T.StructField) -> dict[str, Column]:
@@ -34,26 +35,19 @@ def _measures(field: T.StructField) -> dict[str, Column]:
     kind = field.dataType
     none = F.lit(None).cast("bigint")
     text = value.cast("string")
-    measures = {"nulls": F.count_if(value.isNull()), "chars": none, "texts": none, "fractions": none, "whole": none, "depth": none, "times": none, "nonzero": none}
+    measures = {"nulls": F.count_if(value.isNull()), "chars": none, "texts": none, "fractions": none, "whole": none, "depth": none, "printed": none, "times": none, "nonzero": none}
     if isinstance(kind, T.StringType):
         # Most columns are no numbers: one pattern decides, the others are only tried on numbers.
-        number = text.rlike(NUMBER_TEXT)
+        number = F.when(text.rlike(NUMBER_TEXT), F.trim(text).try_cast("decimal(38,10)"))
         blank = value.isNull() | F.lower(text).isin("nan")
         measures |= {
             # An unknown value prints as "None", four characters.
             "chars": F.max(F.when(value.isNull(), F.lit(4)).otherwise(F.char_length(text))),
-            "texts": F.count_if(~blank & ~number),
-            "fractions": F.count_if(number & text.rlike(r"\.[0-9]*[1-9]")),
-            "whole": F.max(F.when(number, _whole_part(text))),
-            "depth": F.max(F.when(number, _fraction(text))),
-            "nonzero": F.count_if(number & ~text.rlike(r"^[+-]?[0.]+$")),
+            "texts": F.count_if(~blank & number.isNull()),
+            **_printed(number),
         }
     elif isinstance(kind, (T.DecimalType, T.DoubleType, T.FloatType)):
-        text = value.cast("decimal(38,6)").cast("string")
-        measures |= {
-            "fractions": F.count_if(text.rlike(r"\.[0-9]*[1-9]")), "whole": F.max(_whole_part(text)), "depth": F.max(_fraction(text)),
-            "nonzero": F.count_if(value != 0),
-        }
+        measures |= _printed(value.cast("decimal(38,6)"))
     elif isinstance(kind, T.IntegralType):
         measures |= {"whole": F.max(F.char_length(text)), "nonzero": F.count_if(value != 0), "fractions": F.lit(0).cast("bigint")}
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
@@ -85,7 +79,7 @@ def profile_column_types(df: DataFrame) -> DataFrame:
     """One row per column with the type a table should give it, from one aggregation over the data.
 
     Texts that are all numbers become numbers. Numbers without a fraction become INTEGER, or BIGINT
-    from ten characters on; others NUMERIC by length and depth. Timestamps without a time part are dates.
+    from ten characters on; others NUMERIC by the longest number as it prints and by depth. Timestamps without a time part are dates.
     """
     measured = [(i, f, _measures(f)) for i, f in enumerate(df.schema.fields)]
     row = df.agg(*[F.struct(*[m.alias(k) for k, m in measures.items()]).alias(f"c{i}") for i, _, measures in measured])
@@ -98,9 +92,9 @@ def profile_column_types(df: DataFrame) -> DataFrame:
     is_number = (F.col("family") == "number") | numeric_text
     whole = F.greatest(F.col("whole"), F.lit(1))
     fractional = is_number & (F.col("fractions") > 0)
-    length = F.when(fractional, whole + 1 + F.col("depth")).when(is_number, whole).otherwise(F.col("chars"))
+    length = F.when(fractional, F.col("printed")).when(is_number, whole).otherwise(F.col("chars"))
     scale = F.when(F.col("depth") <= 2, F.lit("2")).otherwise(F.lit("4"))
-    precision = F.when(length <= 10, F.lit("12")).when(length <= 20, F.lit("20"))
+    precision = F.when(length <= 10, F.lit("12")).when(length <= 20, F.lit("20")).otherwise(F.lit("38"))
     target = _when(
         [
             (fractional, F.concat(F.lit("NUMERIC("), precision, F.lit(","), scale, F.lit(")"))),

@@ -90,7 +90,9 @@ def unit_prices(orders: DataFrame, fx: DataFrame | None) -> DataFrame:
 
 
 def store_number(layout: ErpLayout, account: str = "account_name") -> Column:
-    """Store number of an account; null when the account is not in the layout."""
+    """Store number of an account; null when the account is not in the layout, which has to name the stores."""
+    if not layout.stores:
+        raise ValueError("the layout names no stores: give ErpLayout(stores={account: number})")
     number = F.lit(None).cast("int")
     for name, store in layout.stores.items():
         number = F.when(same(account, name), F.lit(store)).otherwise(number)
@@ -138,6 +140,7 @@ def sales_extract(
         F.coalesce(F.col("sub_div").cast("string"), F.lit("")),
     )
     day = F.date_format("end_date", "MM/dd/yyyy")
+    # Names and order of the ERP's order layout.
     return summed.select(
         "account_name", "settlement_id", "currency",
         F.lit(layout.company).alias("company"), "division",

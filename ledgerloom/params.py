@@ -76,8 +76,8 @@ class ErpLayout:
     credit_customer: dict[str, str] = field(
         default_factory=lambda: {"USD": "EASFO02", "CAD": "EASFO06", "MXN": "EASFO06"}
     )
-    # Account name -> store number; accounts missing here get no customer and no store.
-    stores: dict[str, int] = field(default_factory=lambda: {"acct_0": 1, "acct_1": 2, "acct_2": 3})
+    # Account name -> store number, an input; accounts missing here get no customer and no store.
+    stores: dict[str, int] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)

@@ -10,10 +10,11 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.params import PREPACK_SLOTS
+from ledgerloom.params import PREPACK_SLOTS, ErpLayout
 from ledgerloom.sources.feeds import read_table
 
 MONEY = "decimal(12,2)"
+FIXTURE_LAYOUT = ErpLayout(stores={"acct_0": 1, "acct_1": 2, "acct_2": 3})
 AS_OF = "2001-10-31"
 
 # Fee classification for the derived statements: id, transaction type, fee category, fee type, memo

@@ -8,8 +8,8 @@ from __future__ import annotations
 
 import re
 
-from ledgerloom.params import LAYOUT, PREPACK_SLOTS, STOCK_ATTRIBUTES
-from ledgerloom.plans.dataset import AS_OF
+from ledgerloom.params import PREPACK_SLOTS, STOCK_ATTRIBUTES
+from ledgerloom.plans.dataset import AS_OF, FIXTURE_LAYOUT as LAYOUT
 from ledgerloom.plans.oracle_views import VIEWS
 
 ATTRIBUTES = ["erp_upc", *STOCK_ATTRIBUTES]
@@ -302,19 +302,21 @@ def profile(view: str, columns: dict[str, str]) -> str:
             target, length, zero = f"case when count(*) filter (where {column} <> date_trunc('day', {column})) > 0 then 'DATETIME' else 'DATE' end", "0", "false"
         else:
             t = f"cast({column} as varchar)"
-            number = rf"regexp_matches({t}, '^[+-]?[0-9]+(\.[0-9]+)?$')"
+            d = f"try_cast(trim({t}) as decimal(38,10))"
+            shown = f"rtrim(rtrim(cast({d} as varchar), '0'), '.')"
+            number = rf"({d} is not null and regexp_matches({t}, '^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$'))"
             texts = rf"count(*) filter (where {column} is not null and not {number})" if kind == "text" else "0"
-            fraction = rf"regexp_matches({t}, '\.[0-9]*[1-9]')"
-            fractions = rf"count(*) filter (where {fraction})"
-            whole = rf"greatest(coalesce(max(length(regexp_extract({t}, '^[+-]?[0-9]*'))) filter (where {number}), 1), 1)"
-            depth = rf"max(greatest(length(regexp_replace(regexp_extract({t}, '\.([0-9]*)$', 1), '0+$', '')), 1)) filter (where {number})"
+            fractions = rf"count(*) filter (where {number} and contains({shown}, '.'))"
+            whole = rf"greatest(coalesce(max(length(split_part({shown}, '.', 1))) filter (where {number}), 1), 1)"
+            depth = rf"max(greatest(length(split_part({shown}, '.', 2)), 1)) filter (where {number})"
+            printed = rf"max(case when contains({shown}, '.') then length({shown}) else length({shown}) + 2 end) filter (where {number})"
             chars = f"max(case when {column} is null then 4 else length({t}) end)"
-            length = f"case when {texts} > 0 then {chars} when {fractions} > 0 then {whole} + 1 + {depth} else {whole} end"
+            length = f"case when {texts} > 0 then {chars} when {fractions} > 0 then {printed} else {whole} end"
             target = f"""case when {texts} > 0 then case when {chars} > 255 then 'TEXT' when {chars} >= 100 then 'VARCHAR(255)' when {chars} >= 50 then 'VARCHAR(100)'
                 when {chars} >= 25 then 'VARCHAR(50)' when {chars} >= 15 then 'VARCHAR(25)' when {chars} >= 10 then 'VARCHAR(15)' when {chars} >= 5 then 'VARCHAR(10)' else 'VARCHAR(5)' end
-                when {fractions} > 0 then 'NUMERIC(' || case when {length} <= 10 then '12' when {length} <= 20 then '20' end || ',' || case when {depth} <= 2 then '2' else '4' end || ')'
+                when {fractions} > 0 then 'NUMERIC(' || case when {length} <= 10 then '12' when {length} <= 20 then '20' else '38' end || ',' || case when {depth} <= 2 then '2' else '4' end || ')'
                 when {whole} >= 10 then 'BIGINT' else 'INTEGER' end"""
-            zero = f"{texts} = 0 and count(*) filter (where regexp_matches({t}, '[1-9]')) = 0"
+            zero = f"{texts} = 0 and count(*) filter (where {number} and {d} <> 0) = 0"
         parts.append(f"select {position} as position, '{column}' as column_name, {target} as target_type, cast({length} as bigint) as max_length, "
                      f"count(*) - count({column}) as null_count, {zero} as zero_or_null from {view}")
     return " union all ".join(parts)
@@ -333,6 +335,11 @@ STEPS["incoming_profile"] = profile(
     "(select warehouse, warehouse_name as name, asin as zip_postal_code, cost as company_number, upc as trading_partner_id from inventory)",
     {"warehouse": "whole", "name": "text", "zip_postal_code": "text", "company_number": "decimal", "trading_partner_id": "text"})
 
+STEPS["number_texts"] = """select case p_partkey % 3 when 0 then '.5' when 1 then '1e3' else ' 7' end as spellings, case p_partkey % 2 when 0 then '12345.6' else '1.2345' end as mixed,
+    case when p_partkey % 50 = 1 then '12345678901234567890.5' else '1' end as long_number, '007' as padded, case p_partkey % 2 when 0 then '-3.10' else '2' end as signed,
+    case when p_partkey % 4 = 0 then 'x1' else cast(p_partkey as varchar) end as words from part"""
+STEPS["number_profile"] = profile("number_texts", {c: "text" for c in ("spellings", "mixed", "long_number", "padded", "signed", "words")})
+
 WIDTH = r"try_cast(regexp_extract({}, '\(([0-9]+)\)', 1) as int)"
 SPLIT_CREDITS = "select *, not (style is not null and color is null and style <> '') as connected from credits_all"
 SPLIT_SALES = "select *, division is not null as connected from sales_all"
@@ -482,6 +489,7 @@ FINAL: dict[str, str] = {
         from statements where posted_date_1 = {AS_OF_DAY} - 2 and transaction_type = 'Order') q where rn = 1""",
     # quality
     "profile_column_types": "select * from profiled",
+    "profile_number_texts": "select * from number_profile",
     "schema_missing_columns": f"""select column_name, case when target_type like 'NUMERIC%' then replace(target_type, 'NUMERIC', 'FLOAT') when target_type = 'INTEGER' then 'INT'
         when target_type = 'DATETIME' then 'DATE' when target_type = 'BOOLEAN' then 'BOOL' else target_type end as ddl_type
         from profiled where column_name not in ({', '.join(f"'{c}'" for c in STATEMENT_NAMES)})""",

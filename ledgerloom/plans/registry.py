@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ledgerloom.operators import credits, drafts, inventory_events as events, ledger, products, quality, reconciliation, sales, stock
 from ledgerloom.operators.product_match import canonical_inventory, resolve_products
 from ledgerloom.params import EVENT_TYPES_SKIPPED_DRAFT, STOCK_ATTRIBUTES
-from ledgerloom.plans.dataset import AS_OF, SETTLEMENT_COLUMNS, Dataset
+from ledgerloom.plans.dataset import AS_OF, FIXTURE_LAYOUT, SETTLEMENT_COLUMNS, Dataset
 from ledgerloom.sources import feeds, sinks
 from ledgerloom.sources.workspace import new_dir
 from ledgerloom.streaming.ingest import ingest_new_files
@@ -77,14 +77,14 @@ class Jobs:
 
     def sales(self, *currencies: str) -> DataFrame:
         fx = self.data.fx_rates if not currencies or "MXN" in currencies else None
-        return sales.sales_extract(self.orders_fba(), self.products(*sales.EXTRACT_ATTRIBUTES), fx, currencies or None)
+        return sales.sales_extract(self.orders_fba(), self.products(*sales.EXTRACT_ATTRIBUTES), fx, currencies or None, FIXTURE_LAYOUT)
 
     def ranked(self) -> DataFrame:
         return ledger.duplicate_ranks(self.lines())
 
     def credits(self, *currencies: str) -> DataFrame:
         fx = self.data.fx_rates if not currencies or "MXN" in currencies else None
-        return credits.credit_extract(self.lines(), self.data.fee_reference, self.products(*credits.EXTRACT_ATTRIBUTES), fx, currencies or None)
+        return credits.credit_extract(self.lines(), self.data.fee_reference, self.products(*credits.EXTRACT_ATTRIBUTES), fx, currencies or None, FIXTURE_LAYOUT)
 
     def recon_raw(self) -> DataFrame:
         return reconciliation.recon_raw(self.lines(), self.data.all_orders, self.data.fee_reference)
@@ -270,6 +270,10 @@ _register({
         j.data.settlements, j.data.table("orders").where("o_orderpriority = '1-URGENT'").select(F.concat(F.lit("ord-"), F.col("o_orderkey").cast("string")).alias("order_id"))),
     "order_sku_representative": lambda j: drafts.order_sku_representative(j.data.statements, _date(AS_OF)),
     # quality
+    "profile_number_texts": lambda j: quality.profile_column_types(j.data.table("part").selectExpr(
+        "case p_partkey % 3 when 0 then '.5' when 1 then '1e3' else ' 7' end as spellings", "case p_partkey % 2 when 0 then '12345.6' else '1.2345' end as mixed",
+        "case when p_partkey % 50 = 1 then '12345678901234567890.5' else '1' end as long_number", "'007' as padded",
+        "case p_partkey % 2 when 0 then '-3.10' else '2' end as signed", "case when p_partkey % 4 = 0 then 'x1' else cast(p_partkey as string) end as words")),
     "profile_column_types": lambda j: quality.profile_column_types(j.data.settlements),
     "schema_missing_columns": lambda j: quality.schema_missing_columns(
         quality.profile_column_types(j.data.settlements), quality.profile_column_types(j.data.statements)),

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import credits, drafts, inventory_events, ledger, products, reconciliation, sales, stock
 from ledgerloom.operators.product_match import attach_products, canonical_inventory, resolve_products
+from ledgerloom.params import ErpLayout
 from ledgerloom.sources.feeds import INVENTORY_SCHEMA, PREPACK_SCHEMA, REFERENCE_SCHEMA, SETTLEMENT_SCHEMA
 
+LAYOUT = ErpLayout(stores={"acct_0": 1})
 POSTED = dt.datetime(2021, 3, 4, 12, 0)
 START, END = dt.date(2021, 3, 1), dt.date(2021, 3, 14)
 
@@ -80,7 +82,7 @@ def test_order_without_quantity_has_no_price_and_one_group(spark, make):
     listed = spark.createDataFrame([("O1", "S1", "Amazon"), ("o2", "s1", "AMAZON")], "order_id string, sku string, fulfillment_channel string")
     orders = sales.order_rollup_fba(ledger.ledger_lines(s), listed)
     resolved = resolve_products(s.select("sku").distinct(), make["products"](), make["inventory"](), "orders")
-    out = sales.sales_extract(orders, resolved).collect()
+    out = sales.sales_extract(orders, resolved, layout=LAYOUT).collect()
     assert len(out) == 1 and out[0]["customer_price"] is None and out[0]["units"] is None and out[0]["tax"] == 3 and out[0]["style"] == "S1"
 
 
@@ -89,7 +91,7 @@ def test_foreign_price_is_rounded_once_and_needs_a_rate(spark, make):
     listed = spark.createDataFrame([("O1", "S1", "Amazon")], "order_id string, sku string, fulfillment_channel string")
     fx = spark.createDataFrame([(5, Decimal("17.83794208"))], "settlement_id bigint, exchange_value decimal(20,10)")
     resolved = resolve_products(s.select("sku").distinct(), make["products"](), make["inventory"](), "orders")
-    out = {r["settlement_id"]: r for r in sales.sales_extract(sales.order_rollup_fba(ledger.ledger_lines(s), listed), resolved, fx).collect()}
+    out = {r["settlement_id"]: r for r in sales.sales_extract(sales.order_rollup_fba(ledger.ledger_lines(s), listed), resolved, fx, layout=LAYOUT).collect()}
     assert out[5]["customer_price_1"] == Decimal("1.8687") and out[5]["customer_price"] == Decimal("1.87") and out[6]["customer_price"] is None
 
 
@@ -105,7 +107,7 @@ def test_unmapped_fee_leaves_credits_and_shows_in_reconciliation(spark, make):
     fees = make["fees"](("known", None, "", "K"))
     lines = ledger.ledger_lines(s)
     resolved = resolve_products(s.select("sku").distinct(), make["products"](), make["inventory"](), "orders")
-    out = credits.credit_extract(lines, fees, resolved).collect()
+    out = credits.credit_extract(lines, fees, resolved, layout=LAYOUT).collect()
     assert [(r["misc_description"], r["amount"], r["division"], r["style"]) for r in out] == [("Known", Decimal("2.00"), 31, "000-AMZ")]
     none = spark.createDataFrame([], "order_id string, sku string, fulfillment_channel string")
     raw = reconciliation.recon_raw(lines, none, fees).first()
@@ -248,3 +250,37 @@ def test_status_marking(spark, make):
     out = drafts.mark_complete(lines.withColumn("status", F.lit("Not Imported")), resolved).collect()
     assert sorted((r["transaction_type"], r["sku"], r["status"]) for r in out) == [
         ("Fee", "S2", "Not Imported"), ("Order", "S1", "Complete"), ("Order", "S2", "Not Imported"), ("Refund", "", "Not Imported"), ("Storage Fee", "", "Complete")]
+
+
+def test_spellings_of_one_order_share_a_unit_price(spark, make):
+    s = make["settlements"](line(quantity=1, amount="10.00", sku="AB"), line(quantity=1, amount="20.00", order="o1", sku="ab"))
+    listed = spark.createDataFrame([("O1", "Ab", "Amazon")], "order_id string, sku string, fulfillment_channel string")
+    orders = sales.order_rollup_fba(ledger.ledger_lines(s), listed)
+    assert [(r["order_id"], r["sku"], r["quantity"], r["principal"]) for r in orders.collect()] == [("O1", "AB", 2, 30)]
+    resolved = resolve_products(s.select("sku").distinct(), make["products"](), make["inventory"](), "orders")
+    out = sales.sales_extract(orders, resolved, layout=LAYOUT).collect()
+    assert [(r["units"], r["customer_price"], r["style"]) for r in out] == [(2, Decimal("15.00"), "AB")]
+
+
+def test_class_and_sub_class_come_from_one_row(spark):
+    rows = [(1, "Fee", "", "", "M", "S", "", "A", "Z"), (2, "fee", None, "", "M", "S", "", "B", "Y"), (3, "Fee", None, None, "M", "S", "", None, "X")]
+    row = ledger.fee_classes(spark.createDataFrame(rows, REFERENCE_SCHEMA)).collect()
+    assert [(r["credit_memo_class"], r["credit_memo_sub_class"], r["line_count"]) for r in row] == [("A", "Z", 3)]
+
+
+def test_repeated_rates_and_prepacks_fail_with_their_key(spark, make):
+    s = make["settlements"](line(quantity=1, settlement=5, currency="MXN"), line(quantity=1, settlement=6))
+    listed = spark.createDataFrame([("O1", "S1", "Amazon")], "order_id string, sku string, fulfillment_channel string")
+    orders = sales.order_rollup_fba(ledger.ledger_lines(s), listed)
+    fx = spark.createDataFrame([(5, Decimal("17.5")), (5, Decimal("18"))], "settlement_id bigint, exchange_value decimal(20,10)")
+    with pytest.raises(Exception, match="settlement_id = 5"):
+        sales.unit_prices(orders, fx).collect()
+    pack = {"division": 1, "prepack_code": "PP", "season": "S", "total_units": 3}
+    stocked = make["inventory"]({"division": 1, "warehouse": 1, "season": "S21", "pack_dim": "PP"})
+    with pytest.raises(Exception, match="prepacks: more than one row"):
+        stock.prepack_join(stocked, make["prepack"](pack, {**pack, "prepack_code": "pp"})).collect()
+
+
+def test_layout_has_to_name_the_stores(spark, make):
+    with pytest.raises(ValueError, match="stores"):
+        sales.store_number(ErpLayout())
