@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.money import half_up_ratio, money
 from ledgerloom.functions.sizing import unique
-from ledgerloom.functions.text import contains_tax, fold, grouped, one_of, same
+from ledgerloom.functions.text import contains_tax, fold, grouped, is_blank, one_of, same
 from ledgerloom.operators.product_match import attach_products
 from ledgerloom.params import (
     CHANNEL_FBA, CHANNEL_FBM, ITEM_PRICE, LAYOUT, LIQUIDATION_TYPES, NOT_IMPORTED, ORDER_TYPES, PRICE_TYPE, PRINCIPAL,
@@ -49,7 +49,11 @@ def order_channels(all_orders: DataFrame) -> DataFrame:
 
 
 def in_channel(orders: DataFrame, all_orders: DataFrame, channel: str) -> DataFrame:
-    """Orders whose (order, SKU) was fulfilled through ``channel``; both sides are reduced to keys first."""
+    """Orders whose (order, SKU) was fulfilled through ``channel``; both sides are reduced to keys first.
+
+    Account-level lines have no order and leave before the join.
+    """
+    orders = orders.where(~is_blank("order_id"))
     keys = order_channels(all_orders.where(same("fulfillment_channel", channel))).select("order_key", "sku_key").distinct()
     match = (fold("order_id") == F.col("order_key")) & (fold("sku") == F.col("sku_key"))
     return orders.join(keys, match, "left_semi").withColumn("fulfillment_channel", F.lit(channel))

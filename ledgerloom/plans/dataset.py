@@ -20,16 +20,16 @@ AS_OF = "2001-10-31"
 # Fee classification for the derived statements: id, transaction type, fee category, fee type, memo
 # class, memo sub class, notes, class code, sub class code. Case and blanks vary on purpose.
 FEE_REFERENCE = [
-    (1, "order", "ItemFees", "commission", "AMAZON FEES", "COMMISSION", "Order Related Fees", "AMZF", "COMMIS"),
-    (2, "Order", "itemfees", "FBAPerUnitFulfillmentFee", "AMAZON FEES", "FULFILLMENT", "Order Related Fees", "AMZF", "FULFIL"),
-    (3, "Order", "Promotion", "Principal", "ADVERTISING ALLOW", "PROMOTION", "Marketing", "ADV", "PROMO"),
-    (4, "Refund", "ItemPrice", "Principal", "RETURNS", "REFUNDS", "Refund Revenue", "RETURNS", "REFUNDS"),
-    (5, "refund", "itemprice", "tax", "RETURNS", "SALES TAX", "Refund Revenue", "RETURNS", "SLSTAX"),
-    (6, "Refund", "ItemFees", "Commission", "AMAZON FEES", "COMMISSION", "Order Related Fees", "AMZF", "COMMIS"),
-    (7, "Liquidations", "PRICE_TYPE", "Principal", "ADJUSTMENTS", "LIQUIDATIONS", "Adjustments", "ADJUST", "LIQUID"),
-    (8, "Payable to Amazon", "", "", "N/A", "BALANCE SETTLEMENT", "Miscellaneous", "X", "X"),
-    (9, "Current Reserve Amount", None, None, "N/A", "BALANCE SETTLEMENT", "Miscellaneous", "X", "X"),
-    (10, "Storage Fee", None, "", "AMAZON FEES", "FBA STORAGE", "Inventory Fees", "AMZF", "FBAST"),
+    (1, "order", "ItemFees", "commission", "MARKET COSTS", "COMMISSION", "per order", "MKT", "COM"),
+    (2, "Order", "itemfees", "FBAPerUnitFulfillmentFee", "MARKET COSTS", "HANDLING", "per order", "MKT", "HND"),
+    (3, "Order", "Promotion", "Principal", "CAMPAIGNS", "DISCOUNT", "campaigns", "CMP", "DSC"),
+    (4, "Refund", "ItemPrice", "Principal", "MONEY BACK", "GOODS", "refunded", "BCK", "GDS"),
+    (5, "refund", "itemprice", "tax", "MONEY BACK", "TAX", "refunded", "BCK", "TAX"),
+    (6, "Refund", "ItemFees", "Commission", "MARKET COSTS", "COMMISSION", "per order", "MKT", "COM"),
+    (7, "Liquidations", "PRICE_TYPE", "Principal", "SOLD OFF", "REST STOCK", "rest stock", "OFF", "RST"),
+    (8, "Payable to Amazon", "", "", "NONE", "CARRIED OVER", "balance", "X", "X"),
+    (9, "Current Reserve Amount", None, None, "NONE", "CARRIED OVER", "balance", "X", "X"),
+    (10, "Storage Fee", None, "", "MARKET COSTS", "STORAGE", "stock", "MKT", "STO"),
 ]
 FEE_REFERENCE_SCHEMA = (
     "id int, transaction_type string, fee_category string, fee_type string, credit_memo_class string, "
