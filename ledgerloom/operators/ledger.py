@@ -86,6 +86,14 @@ def settlement_period(lines: DataFrame) -> DataFrame:
     )
 
 
+def with_period_label(df: DataFrame, lines: DataFrame) -> DataFrame:
+    """``df``, which has account and settlement, with the ``period`` its files are named by: first and last day of the settlement."""
+    label = F.concat_ws("_", F.col("start_date").cast("string"), F.col("end_date").cast("string")).alias("period")
+    labels = settlement_period(lines).select(F.col("account_name").alias("_account"), F.col("settlement_id").cast("string").alias("_settlement"), label)
+    match = (df["account_name"] == F.col("_account")) & (df["settlement_id"].cast("string") == F.col("_settlement"))
+    return df.join(labels, match, "left").drop("_account", "_settlement")
+
+
 def settlement_skus(settlements: DataFrame, start: Column, end: Column) -> DataFrame:
     """Distinct (account, SKU) posted in a window of local business days."""
     day = local_day("posted_date")

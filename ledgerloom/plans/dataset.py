@@ -80,7 +80,11 @@ class Dataset:
 
     @cached_property
     def lineitem(self) -> DataFrame:
-        return self.table("lineitem")
+        """The given table is a single row group, which one task would read; it is dealt out whatever its size.
+
+        Only these derived test tables need that: statements that lie in many files are read by as many tasks.
+        """
+        return self.table("lineitem").repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")))
 
     @cached_property
     def settlements(self) -> DataFrame:

@@ -344,6 +344,8 @@ WIDTH = r"try_cast(regexp_extract({}, '\(([0-9]+)\)', 1) as int)"
 SPLIT_CREDITS = "select *, not (style is not null and color is null and style <> '') as connected from credits_all"
 SPLIT_SALES = "select *, division is not null as connected from sales_all"
 
+PERIOD_LABEL = "cast(p.start_date as varchar) || '_' || cast(p.end_date as varchar) as period"
+
 FINAL: dict[str, str] = {
     # ledger
     "dup_rank": f"select {LINE}, status, ranking from ranked",
@@ -506,11 +508,12 @@ FINAL: dict[str, str] = {
     # sources and sinks
     "sink_full_refresh": "select * from settlements",
     "ingest_new_files": "select * from settlements",
-    "export_sales_files": SPLIT_SALES,
-    "export_credit_files": SPLIT_CREDITS,
-    "export_fbm_files": "select account_name, cast(settlement_id as varchar) as settlement_id, currency, cast(start_date as varchar) as start_date, cast(end_date as varchar) as end_date, "
+    "export_sales_files": f"select s.*, {PERIOD_LABEL} from ({SPLIT_SALES}) s join period p using (account_name, settlement_id)",
+    "export_credit_files": f"select s.*, {PERIOD_LABEL} from ({SPLIT_CREDITS}) s join period p using (account_name, settlement_id)",
+    "export_fbm_files": f"select s.*, {PERIOD_LABEL} from (select account_name, cast(settlement_id as varchar) as settlement_id, currency, cast(start_date as varchar) as start_date, cast(end_date as varchar) as end_date, "
                         "order_id, sku, cast(posted_date as varchar) as posted_date, cast(quantity as varchar) as quantity, cast(cast(total_amount as decimal(22,2)) as varchar) as total_amount, "
-                        "cast(cast(principal as decimal(22,2)) as varchar) as principal, cast(cast(tax as decimal(22,2)) as varchar) as tax, fulfillment_channel from fbm",
+                        "cast(cast(principal as decimal(22,2)) as varchar) as principal, cast(cast(tax as decimal(22,2)) as varchar) as tax, fulfillment_channel from fbm) s "
+                        "join period p on p.account_name = s.account_name and cast(p.settlement_id as varchar) = s.settlement_id",
     "export_inventory_adjustments": "select * from adjustments",
     "export_raw_settlement": RAW_FULL,
     "export_missing_upc": "",

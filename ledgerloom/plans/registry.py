@@ -348,19 +348,20 @@ def _sink_full_refresh(j: Jobs) -> DataFrame:
 
 @query("export_sales_files")
 def _export_sales_files(j: Jobs) -> DataFrame:
-    split = sales.sales_connected_split(j.sales())
-    return j.round_trip(split, "sales", ["account_name", "settlement_id", "currency", "connected"], sinks.FILE_ORDER["sales"])
+    split = ledger.with_period_label(sales.sales_connected_split(j.sales()), j.lines())
+    return j.round_trip(split, "sales", ["account_name", "settlement_id", "period", "currency", "connected"], sinks.FILE_ORDER["sales"])
 
 
 @query("export_credit_files")
 def _export_credit_files(j: Jobs) -> DataFrame:
-    split = credits.credit_connected_split(j.credits())
-    return j.round_trip(split, "credits", ["account_name", "settlement_id", "currency", "connected"], sinks.FILE_ORDER["credits"])
+    split = ledger.with_period_label(credits.credit_connected_split(j.credits()), j.lines())
+    return j.round_trip(split, "credits", ["account_name", "settlement_id", "period", "currency", "connected"], sinks.FILE_ORDER["credits"])
 
 
 @query("export_fbm_files")
 def _export_fbm_files(j: Jobs) -> DataFrame:
-    return j.round_trip(sales.merchant_export(j.orders_fbm()), "merchant", ["account_name", "currency"], ["settlement_id", "order_id", "sku"])
+    orders = ledger.with_period_label(sales.merchant_export(j.orders_fbm()), j.lines())
+    return j.round_trip(orders, "merchant", ["account_name", "settlement_id", "period", "currency"], ["order_id", "sku"])
 
 
 @query("export_inventory_adjustments")

@@ -14,8 +14,11 @@ from ledgerloom.plans.registry import QUERIES, flagship
 
 FOLDER = os.environ.get("LEDGERLOOM_TESTDATA", "/root/testdata/sf0.001")
 # A cross-section; check_oracle.py runs all of them.
-CHECKED = ["fee_ledger", "missing_upc_report", "sales_extract_mxn", "credit_extract_usd", "recon_raw", "recon_logic", "sellable_stock",
-           "inventory_adjustment_extract", "order_buckets", "refund_extract", "profile_column_types"]
+CHECKED = ["fee_ledger", "settlement_line_id", "missing_upc_report", "order_rollup_fba", "sales_extract_mxn", "credit_rollup", "credit_extract_usd", "credit_extract_mxn",
+           "recon_raw", "recon_logic", "reconcile_pending", "reconciliation_shrinks", "check_keyed_inputs", "pending_settlements", "fee_reference_refresh",
+           "prepack_join", "sellable_stock", "inventory_adjustment_extract", "order_buckets", "refund_extract", "zone_comparison", "mark_orders_by_status_rungs",
+           "sku_match_list_since", "recent_order_principals", "settlement_day_lookup", "profile_column_types", "profile_number_texts", "src_inventory_feed",
+           "src_fx_rates", "feed_rejects", "union_store_codes", "ingest_new_files", "export_inventory_adjustments"]
 
 pytestmark = pytest.mark.skipif(not pathlib.Path(FOLDER).exists(), reason="test tables not present")
 
