@@ -210,6 +210,8 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS,
     least = firsts.groupBy(F.col("root").alias("of")).agg(F.min("first").alias("smallest"))
     linked = firsts.join(least, F.col("root") == F.col("of")).select("node", "smallest")
     named = distinct.join(linked, F.col("fp") == F.col("node"), "left").select(F.col("fp").alias("named_fp"), F.coalesce("smallest", "first").alias("component_id"))
+    # Written, so that both sides of the join come straight from a shuffle and a fingerprint of very many copies can be split.
+    named = written(named, "named-fingerprints")
     return prints.join(named, F.col("fp") == F.col("named_fp")).select("doc_id", "version", "fp", "component_id")
 
 
