@@ -29,7 +29,13 @@ def _printed(number: Column) -> dict[str, Column]:
     }
 
 
-def _measures(field: T.StructField) -> dict[str, Column]:
+def _number(field: T.StructField) -> Column:
+    """The number a text spells, null for any other text."""
+    text = _name(field.name)
+    return F.when(text.rlike(NUMBER_TEXT), F.trim(text).try_cast("decimal(38,10)"))
+
+
+def _measures(field: T.StructField, number: Column) -> dict[str, Column]:
     """Aggregates one column needs: every measure is a long, so all columns share one aggregation."""
     value = _name(field.name)
     kind = field.dataType
@@ -38,7 +44,6 @@ def _measures(field: T.StructField) -> dict[str, Column]:
     measures = {"nulls": F.count_if(value.isNull()), "chars": none, "texts": none, "fractions": none, "whole": none, "depth": none, "printed": none, "times": none, "nonzero": none}
     if isinstance(kind, T.StringType):
         # Most columns are no numbers: one pattern decides, the others are only tried on numbers.
-        number = F.when(text.rlike(NUMBER_TEXT), F.trim(text).try_cast("decimal(38,10)"))
         blank = value.isNull() | F.lower(text).isin("nan")
         measures |= {
             # An unknown value prints as "None", four characters.
@@ -81,8 +86,10 @@ def profile_column_types(df: DataFrame) -> DataFrame:
     Texts that are all numbers become numbers. Numbers without a fraction become INTEGER, or BIGINT
     from ten characters on; others NUMERIC by the longest number as it prints and by depth. Timestamps without a time part are dates.
     """
-    measured = [(i, f, _measures(f)) for i, f in enumerate(df.schema.fields)]
-    row = df.agg(*[F.struct(*[m.alias(k) for k, m in measures.items()]).alias(f"c{i}") for i, _, measures in measured])
+    fields = list(enumerate(df.schema.fields))
+    measured = [(i, f, _measures(f, F.col(f"_number_{i}"))) for i, f in fields]
+    # Each text is parsed once, before its measures are taken.
+    row = df.withColumns({f"_number_{i}": _number(f) for i, f in fields if isinstance(f.dataType, T.StringType)}).agg(*[F.struct(*[m.alias(k) for k, m in measures.items()]).alias(f"c{i}") for i, _, measures in measured])
     rows = F.array(*[
         F.struct(F.lit(i + 1).alias("position"), F.lit(f.name).alias("column_name"), F.lit(_family(f.dataType)).alias("family"), F.col(f"c{i}").alias("m"))
         for i, f, _ in measured
