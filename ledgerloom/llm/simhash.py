@@ -35,20 +35,26 @@ BLOCK = 4096
 CARRIED = 1 << 16
 
 
-def fingerprint(text: bytes, width: int = SHINGLE) -> int:
-    """Signed 64-bit fingerprint of UTF-8 text."""
+def shingle_hashes(text: bytes, width: int = SHINGLE) -> list[int]:
+    """A hash of every shingle of UTF-8 text; a text of fewer words is one shingle, one without words has none."""
     import xxhash
 
     words = text.lower().split()
     if not words:
-        return 0
+        return []
     digest, line = xxhash.xxh64_intdigest, b" ".join(words)
     if len(words) < width:
-        hashes = [digest(line, SEED)]
-    else:
-        ends = np.cumsum([len(w) + 1 for w in words])
-        starts = np.concatenate(([0], ends[:-width])).tolist() if len(words) > width else [0]
-        hashes = [digest(line[a:b], SEED) for a, b in zip(starts, (ends[width - 1 :] - 1).tolist())]
+        return [digest(line, SEED)]
+    ends = np.cumsum([len(w) + 1 for w in words])
+    starts = np.concatenate(([0], ends[:-width])).tolist() if len(words) > width else [0]
+    return [digest(line[a:b], SEED) for a, b in zip(starts, (ends[width - 1 :] - 1).tolist())]
+
+
+def fingerprint(text: bytes, width: int = SHINGLE) -> int:
+    """Signed 64-bit fingerprint of UTF-8 text."""
+    hashes = shingle_hashes(text, width)
+    if not hashes:
+        return 0
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = np.array(hashes[at : at + (1 << 16)], "<u8").view(np.uint8).reshape(-1, 8)
@@ -201,18 +207,28 @@ def bucket_links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) ->
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """(doc_id, version, fp, component_id) of every row."""
+    """(doc_id, version, fp, component_id, root) of every row; ``root`` is the smallest fingerprint of the component."""
     prints = written(fingerprints(docs, width), "fingerprints")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     found = components(bucket_links(distinct.select("fp"), radius, block))
     members = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
     firsts = members.join(distinct, F.col("node") == F.col("fp")).select("node", "root", "first")
     least = firsts.groupBy(F.col("root").alias("of")).agg(F.min("first").alias("smallest"))
-    linked = firsts.join(least, F.col("root") == F.col("of")).select("node", "smallest")
-    named = distinct.join(linked, F.col("fp") == F.col("node"), "left").select(F.col("fp").alias("named_fp"), F.coalesce("smallest", "first").alias("component_id"))
+    linked = firsts.join(least, F.col("root") == F.col("of")).select("node", "root", "smallest")
+    named = distinct.join(linked, F.col("fp") == F.col("node"), "left").select(F.col("fp").alias("named_fp"), F.coalesce("smallest", "first").alias("component_id"), F.coalesce("root", "fp").alias("root"))
     # Written, so that both sides of the join come straight from a shuffle and a fingerprint of very many copies can be split.
     named = written(named, "named-fingerprints")
-    return prints.join(named, F.col("fp") == F.col("named_fp")).select("doc_id", "version", "fp", "component_id")
+    return prints.join(named, F.col("fp") == F.col("named_fp")).select("doc_id", "version", "fp", "component_id", "root")
+
+
+def keep_least(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs``, with all columns, with one row of each root of ``found`` (doc_id, version, root): the smallest id, and of that the smallest version."""
+    # null ids come last: a component without any other has one of them
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), id_key("doc_id").alias("id"), "version")
+    kept = found.groupBy("root").agg(F.min(order).alias("one")).select(F.col("one.id").alias("__id"), F.col("one.version").alias("__version")).distinct()
+    keyed = docs.select(F.struct(*docs.columns).alias("__row"), id_key("doc_id").alias("__id"), F.xxhash64("text").alias("__version"))
+    one = keyed.join(kept, ["__id", "__version"], "left_semi").dropDuplicates(["__id", "__version"])
+    return one.select("__row.*")
 
 
 def keep_one(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:

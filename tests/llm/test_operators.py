@@ -12,7 +12,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontamination, line_dedup, packing, pii, search, sharding, simhash, tool_calls, toxicity, url_filter
+from ledgerloom.llm import decontamination, line_dedup, near_copies, packing, pii, search, sharding, simhash, tool_calls, toxicity, url_filter
 from ledgerloom.llm.components import components
 
 CLASHING = ["score", "fp", "version", "doc", "pos", "h1", "slot", "shard", "node", "root", "key", "runs", "__row", "block", "listed"]
@@ -210,6 +210,57 @@ def test_simhash_edge_cases(make_docs):
     assert {r["fingerprint"] for r in simhash.digests(make_docs([(1, "")])).collect()} == {"0" * 16}
 
 
+# near duplicates of the pipeline
+def brute_near(pairs, similarity=0.8):
+    """Component of every row, by the Jaccard similarity of five-word shingles of all pairs."""
+    sets = []
+    for _, text in pairs:
+        words = (text or "").lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(len(words) - 4)} or {tuple(words)})
+    root = list(range(len(pairs)))
+    for a in range(len(pairs)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) - 1e-9 and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    return root
+
+
+@pytest.mark.parametrize("block, named", [(1024, 8), (5, 2)])
+def test_near_copies_against_brute_force(make_docs, block, named):
+    """Edited copies at and around the similarity, many copies that are alike only by their original, and blank texts."""
+    rnd = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    pairs = [(900, None), (901, " "), (902, "one two"), (903, "One  two"), (904, "one three")]
+    for i in range(40):
+        words = rnd.choices(vocabulary, k=rnd.randint(60, 400))
+        pairs.append((len(pairs), " ".join(words)))
+        for share in (0.005, 0.01, 0.02, 0.03, 0.05):
+            copy = [rnd.choice(vocabulary) if rnd.random() < share else w for w in words]
+            pairs.append((len(pairs), " ".join(copy)))
+    words = rnd.choices(vocabulary, k=300)
+    pairs.append((len(pairs), " ".join(words)))
+    for _ in range(30):
+        copy = list(words)
+        for at in rnd.sample(range(5, 295), 5):
+            copy[at] = rnd.choice(vocabulary)
+        pairs.append((len(pairs), " ".join(copy)))
+    root = brute_near(pairs)
+    found = {r["doc_id"]: r["root"] for r in near_copies.near_duplicates(clashing(make_docs(pairs)), block=block, named=named).collect()}
+    groups = lambda of: {frozenset(x for x in of if of[x] == y) for y in set(of.values())}
+    assert groups(found) == groups({i: root[n] for n, (i, _) in enumerate(pairs)})
+
+
+def test_near_copies_edge_cases(make_docs):
+    words = [f"w{i}" for i in range(300)]
+    edited_text = " ".join([*words[:150], "other", *words[151:]])
+    pairs = [(4, " ".join(words)), (4, edited_text), (9, " ".join(words)), (None, "a b c d e f"), (None, "A b c d e f"), (7, "")]
+    kept = near_copies.keep_one(clashing(make_docs(pairs)))
+    assert kept.columns == clashing(make_docs(pairs)).columns
+    assert Counter(r["doc_id"] for r in kept.collect()) == {4: 1, None: 1, 7: 1}
+    assert near_copies.keep_one(make_docs([])).count() == 0
+
+
 # 4 personal data
 def brute_base(text):
     def luhn(digits):
