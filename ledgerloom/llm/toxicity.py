@@ -5,9 +5,10 @@ once. Besides a weight per slot the machine learns a short vector per slot; the
 of the two terms occurring together, which a sum of weights alone cannot express.
 
 Labelled rows are sampled by a hash of their id, at most ``per_class`` of each class, so the rows that meet on the
-driver for training have a fixed bound; counts of the classes over all labelled rows weigh the sample back. Slots that
-do not depend on the label in the sample (by a hypergeometric z-score) are left out. The model is what remains: a few
-thousand slots at most for a sample of this size, sent to the tasks that score. Scoring reads each text once and shuffles nothing.
+driver for training have a fixed bound; counts of the classes over all labelled rows weigh the sample back. Every slot
+that a few documents have gets a weight and a vector, whether or not it depends on the label by itself: terms that are
+harmless apart can be toxic together. Slots that do not (by a hypergeometric z-score) are held closer to zero. The model
+has ``SPACE`` slots at most and is sent to the tasks that score. Scoring reads each text once and shuffles nothing.
 
 Cases: a null or empty text has no terms and gets the score of the bias alone; a null id is never labelled; labels
 that are null are ignored, and of several labels for an id the largest counts; repeated rows are scored again each
@@ -33,8 +34,13 @@ FACTORS = 8
 EPOCHS = 25
 RATE = 0.1
 L2 = 3e-4
-#: Standard deviations by which a slot's count among toxic documents has to differ from chance.
-SCREEN = 4.0
+#: For slots whose own count among toxic documents is within ``SURE`` standard deviations of chance.
+L2_UNSURE = 0.1
+SURE = 4.0
+#: Documents of the sample that have to have a slot.
+SUPPORT = 3
+#: Standard deviation of the factors before training.
+START = 0.01
 THRESHOLD = 0.7
 WORDS_KNOWN = 500_000
 
@@ -90,51 +96,64 @@ class Model:
         return score
 
 
-def screen(rows: list[np.ndarray], labels: np.ndarray, least: float = SCREEN) -> np.ndarray:
-    """Slots whose number of toxic documents is further from chance than ``least`` standard deviations."""
-    flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    slots, at, count = np.unique(flat, return_inverse=True, return_counts=True)
-    toxic = np.bincount(at, np.repeat(labels, [len(r) for r in rows]), len(slots))
-    n, n1 = len(labels), labels.sum()
-    expected = count * n1 / n
-    variance = expected * (1 - count / n) * (n - n1) / max(n - 1, 1)
+def screen(rows: list[np.ndarray], labels: np.ndarray, least: int = SUPPORT) -> np.ndarray:
+    """Slots that ``least`` documents have; the label does not matter, as terms that say nothing apart can tell together."""
+    slots, count = np.unique(np.concatenate(rows) if rows else np.zeros(0, np.int64), return_counts=True)
+    return slots[count >= least]
+
+
+def decay(rows: list[np.ndarray], labels: np.ndarray, n: int) -> np.ndarray:
+    """L2 of each of ``n`` slots: ``L2`` for those that depend on the label by themselves, ``L2_UNSURE`` for the others."""
+    flat, total, n1 = np.concatenate(rows), len(labels), labels.sum()
+    count = np.bincount(flat, minlength=n)
+    toxic = np.bincount(flat, np.repeat(labels, [len(r) for r in rows]), n)
+    expected = count * n1 / total
+    variance = expected * (1 - count / total) * (total - n1) / max(total - 1, 1)
     z = (np.abs(toxic - expected) - 0.5) / np.sqrt(np.maximum(variance, 1e-9))
-    return slots[(z > least) & (count >= 3) & (count < n)]
+    return np.where((z > SURE) & (count < total), L2, L2_UNSURE)
 
 
 def train(rows: list[np.ndarray], labels: np.ndarray, class_weights: tuple[float, float], seed: int = 7) -> Model:
     """AdaGrad on the logistic loss. ``class_weights``: what a clean and a toxic row of the sample stand for."""
     slots = screen(rows, labels)
-    index = np.full(SPACE, -1, np.int64)
+    index = np.full(SPACE, -1, np.int32)
     index[slots] = np.arange(len(slots))
     rows = [(at := index[r])[at >= 0] for r in rows]
+    l2 = decay(rows, labels, len(slots))
     weigh = np.where(labels > 0, class_weights[1], class_weights[0])
     share = (weigh * labels).sum() / weigh.sum()
     weigh = weigh / weigh.mean()
     random = np.random.default_rng(seed)
-    w, v = np.zeros(len(slots)), random.normal(0, 0.01, (len(slots), FACTORS))
+    w, v = np.zeros(len(slots)), random.normal(0, START, (len(slots), FACTORS))
     bias = float(np.log(share / (1 - share)))
     seen_w, seen_v, seen_b = np.full(len(slots), 1e-6), np.full((len(slots), FACTORS), 1e-6), 1e-6
-    for _ in range(EPOCHS):
+    every = rows
+    sure = [r[l2[r] < L2_UNSURE] for r in rows]
+    # first what slots tell by themselves, then all slots on what that leaves open
+    for rows in [sure] * EPOCHS + [every] * EPOCHS:
         order = random.permutation(len(rows))
         for batch in np.array_split(order, max(1, len(order) // 128)):
-            of = np.repeat(np.arange(len(batch)), [len(rows[i]) for i in batch])
-            flat = np.concatenate([rows[i] for i in batch])
+            sizes = np.array([len(rows[i]) for i in batch])
+            of, flat = np.repeat(np.arange(len(batch)), sizes), np.concatenate([rows[i] for i in batch])
             vectors = v[flat]
-            total = np.zeros((len(batch), FACTORS))
-            np.add.at(total, of, vectors)
-            squares = np.bincount(of, (vectors * vectors).sum(1), len(batch))
+            total, filled = np.zeros((len(batch), FACTORS)), np.flatnonzero(sizes)
+            if len(filled):
+                total[filled] = np.add.reduceat(vectors, (np.cumsum(sizes) - sizes)[filled])
+            squares = np.bincount(of, np.einsum("ij,ij->i", vectors, vectors), len(batch))
             raw = bias + np.bincount(of, w[flat], len(batch)) + 0.5 * ((total * total).sum(1) - squares)
             error = weigh[batch] * (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - labels[batch])
             seen_b += error.sum() ** 2
             bias -= RATE * error.sum() / np.sqrt(seen_b)
-            used, at = np.unique(flat, return_inverse=True)
-            step = np.bincount(at, error[of], len(used)) + L2 * len(batch) * w[used]
+            if not len(flat):
+                continue
+            by = np.argsort(flat, kind="stable")
+            of, flat, vectors = of[by], flat[by], vectors[by]
+            first = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
+            used = flat[first]
+            step = np.add.reduceat(error[of], first) + l2[used] * len(batch) * w[used]
             seen_w[used] += step * step
             w[used] -= RATE * step / np.sqrt(seen_w[used])
-            pull = np.zeros((len(used), FACTORS))
-            np.add.at(pull, at, error[of][:, None] * (total[of] - vectors))
-            pull += L2 * len(batch) * v[used]
+            pull = np.add.reduceat(error[of][:, None] * (total[of] - vectors), first) + (l2[used] * len(batch))[:, None] * v[used]
             seen_v[used] += pull * pull
             v[used] -= 0.3 * RATE * pull / np.sqrt(seen_v[used])
     return Model(slots, w, v, float(bias))

@@ -73,6 +73,23 @@ def test_toxicity_interactions():
     assert min(raw([10, 20]), raw([11, 21])) > max(raw([10, 21]), raw([11, 20]))
 
 
+@pytest.mark.parametrize("fill", [0, 25])
+def test_toxicity_interactions_from_documents(make_docs, spark, fill):
+    """The whole way from texts: two terms that are neutral apart, toxic exactly when they agree, among other words."""
+    rnd = random.Random(3)
+    def text(a, b):
+        words = [f"a{a}", f"b{b}", *(f"word{rnd.randrange(150)}" for _ in range(fill))]
+        rnd.shuffle(words)
+        return " ".join(words)
+
+    sides = [(rnd.randrange(2), rnd.randrange(2)) for _ in range(4000)]
+    docs = make_docs([(i, text(a, b)) for i, (a, b) in enumerate(sides)])
+    labels = spark.createDataFrame([(i, 1, int(a == b)) for i, (a, b) in enumerate(sides)], "doc_id bigint, quality int, toxic int")
+    scorer = toxicity.fit(docs, labels).scorer()
+    fresh = [(rnd.randrange(2), rnd.randrange(2)) for _ in range(300)]
+    assert sum((scorer(text(a, b)) > 0.5) == (a == b) for a, b in fresh) >= 0.95 * len(fresh)
+
+
 def test_toxicity_edge_cases(make_docs, spark):
     docs, labels = labelled(make_docs, spark)
     odd = make_docs([(None, "x"), (1, None), (2, ""), (3, "idiot group " * 50_000), (3, "idiot group " * 50_000)])
