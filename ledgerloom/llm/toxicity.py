@@ -4,7 +4,7 @@ A document's terms are its words and the first letters of its longer words, hash
 once. Besides a weight per slot the machine learns a short vector per slot; the product of two vectors is the weight
 of the two terms occurring together, which a sum of weights alone cannot express.
 
-Labelled rows are sampled by a hash of their id, at most ``per_class`` of each class, so the rows that meet on the
+Labelled rows are sampled by a hash of their id, at most ``per_class`` of each class and one row of each id, so the rows that meet on the
 driver for training have a fixed bound; counts of the classes over all labelled rows weigh the sample back. Every slot
 that a few documents have gets a weight and a vector, whether or not it depends on the label by itself: terms that are
 harmless apart can be toxic together. Slots that do not (by a hypergeometric z-score) are held closer to zero. The model
@@ -175,7 +175,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     sample = known.where("toxic = 1").orderBy(*order).limit(per_class).unionByName(known.where("toxic = 0").orderBy(*order).limit(per_class))
     sample = sample.select(F.col("doc_id").alias("sampled_id"), "toxic")
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("sampled_id")).select("toxic", "text")
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("sampled_id")).select("sampled_id", "toxic", F.struct(F.xxhash64("text").alias("version"), "text").alias("row"))
+    # one row per id: a repeated id would break the bound and outweigh the others
+    texts = texts.groupBy("sampled_id", "toxic").agg(F.min("row").alias("row")).select("toxic", "row.text")
 
     def slots(batches: Iterator) -> Iterator:
         import pyarrow as pa

@@ -90,6 +90,16 @@ def test_toxicity_interactions_from_documents(make_docs, spark, fill):
     assert sum((scorer(text(a, b)) > 0.5) == (a == b) for a, b in fresh) >= 0.95 * len(fresh)
 
 
+def test_toxicity_learns_from_one_row_of_each_id(make_docs, spark, monkeypatch):
+    docs, labels = labelled(make_docs, spark)
+    seen, train = [], toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda rows, *rest: (seen.append(len(rows)), train(rows, *rest))[1])
+    repeated = docs.unionByName(docs.where("doc_id = 1").crossJoin(spark.range(300).select("id")).drop("id")).unionByName(docs.where("doc_id = 7").withColumn("text", F.lit("other")))
+    toxicity.fit(repeated, labels)
+    learnt = sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(400))
+    assert zlib.crc32(b"1") % 3 != 1 and zlib.crc32(b"7") % 3 != 1 and seen == [learnt]
+
+
 def test_toxicity_edge_cases(make_docs, spark):
     docs, labels = labelled(make_docs, spark)
     odd = make_docs([(None, "x"), (1, None), (2, ""), (3, "idiot group " * 50_000), (3, "idiot group " * 50_000)])
