@@ -12,11 +12,14 @@ repetition. A hit names an item and the item-sized window it would fill; the win
 distance, with free ends for what stands around the passage. A document holds an item if at most ``1 - similarity`` of
 the item's words have to be edited.
 
+Items of fewer than ``SHORT`` words are looked up by pieces: an item that may have k edits is cut into k + 1 pieces, and
+one of them stands unedited in whatever matches, so all of these items are found.
+
 The benchmark is read in blocks of a bounded number of words, one pass over the documents per block, so what is sent to
 the tasks has a bound whatever its size. Documents are not shuffled.
 
-Cases: null or empty texts hold nothing; items without words match nothing; an item shorter than the walk is sampled in
-the places its walk reaches, so a match of a few words is possible only for an item of a few words; repeated documents
+Cases: null or empty texts hold nothing; items without words match nothing; an item of fewer than five words is
+held only without edits, so a match of a few words is possible only for an item of a few words; repeated documents
 and items are each reported; null ids are reported as null; empty tables give no rows; other columns are passed on by
 ``drop_contaminated`` and not read.
 """
@@ -36,6 +39,8 @@ REPEATS = 6
 STEPS = 14
 SAMPLED = 6
 STRIDE = 2
+#: Items of fewer words are found by unedited pieces instead of walks. At least ``STEPS``, as walks stay inside items.
+SHORT = 24
 #: Bound on the words of a block of items.
 WORDS_PER_BLOCK = 2_000_000
 #: Words of documents that are walked at once.
@@ -50,6 +55,15 @@ def mixed(x: np.ndarray | int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def chains(words: np.ndarray) -> list[np.ndarray]:
+    """Hashes of the first one, two, ... words."""
+    made, chain = [], np.uint64(0)
+    for word in words.astype(np.uint64):
+        chain = mixed(np.array([chain + word], np.uint64))[0]
+        made.append(chain)
+    return made
+
+
 @dataclass
 class Repetition:
     """One walk: ``moves[j, w]`` is whether word w moves the walk on at step j; ``places`` are the sampled steps."""
@@ -87,16 +101,19 @@ class Index:
         self.walks = repetitions(len(self.words), repeats, steps, sampled, seed) if self.items else []
         flat, owner, start, first = [], [], [], []
         at = 0
+        self._index_pieces()
         for i, item in enumerate(self.items):
+            if len(item) < SHORT:
+                continue
             flat.append(np.concatenate((item, np.full(steps, self.end, np.int32))))
-            # stretches that reach past the item's end sample its end, which documents do not have
             last = max(0, len(item) - steps)
             begins = sorted({*range(0, last + 1, stride), last})
             owner += [i] * len(begins)
             start += begins
             first += [at + b for b in begins]
             at += len(item) + steps
-        if not self.items:
+        if not flat:
+            self.walks = []
             return
         flat, first = np.concatenate(flat), np.array(first)
         self.owner, self.start = np.array(owner), np.array(start)
@@ -113,10 +130,38 @@ class Index:
             order = np.argsort(chain, kind="stable")
             walk.owners, walk.starts, walk.keys[-1] = self.owner[order], self.start[order], chain[order]
 
+    def _index_pieces(self) -> None:
+        """Pieces of the short items, one more than an item may have edits: one of them stands unedited in every match."""
+        found: list[tuple[int, int, int, np.ndarray]] = []
+        for i, item in enumerate(self.items):
+            if len(item) < SHORT:
+                cuts = np.linspace(0, len(item), self.allowed(i) + 2).astype(int)
+                found += [(int(chains(item[a:b])[-1]), i, int(a), item[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+        longest = max((len(piece) for *_, piece in found), default=0)
+        self.prefixes = [np.unique(np.array([chains(piece)[m] for *_, piece in found if len(piece) > m], np.uint64)) for m in range(longest)]
+        self.pieces = []
+        for m in range(1, longest + 1):
+            of = sorted((key, i, at) for key, i, at, piece in found if len(piece) == m)
+            self.pieces.append((np.array([x[0] for x in of], np.uint64), np.array([x[1] for x in of], np.int64), np.array([x[2] for x in of], np.int64)))
+
+    def _piece_hits(self, words: np.ndarray) -> Iterator[np.ndarray]:
+        begin = np.arange(len(words) - self.steps)
+        chain = np.zeros(len(begin), np.uint64)
+        for m, (prefixes, (keys, owners, offsets)) in enumerate(zip(self.prefixes, self.pieces)):
+            inside = begin + m < len(words)
+            begin, chain = begin[inside], chain[inside]
+            chain = mixed(chain + words[begin + m].astype(np.uint64))
+            alike = prefixes[np.minimum(np.searchsorted(prefixes, chain), len(prefixes) - 1)] == chain
+            begin, chain = begin[alike], chain[alike]
+            low = np.searchsorted(keys, chain, "left")
+            times = np.searchsorted(keys, chain, "right") - low
+            entry = np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
+            yield np.stack((owners[entry], np.repeat(begin, times) - offsets[entry]), 1)
+
     def candidates(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(item, window start) for a run of word numbers that ends in ``steps`` ends; starts may lie before the run."""
-        seeds = np.flatnonzero(self.begins[words[: len(words) - self.steps]])
-        found = []
+        found = list(self._piece_hits(words))
+        seeds = np.flatnonzero(self.begins[words[: len(words) - self.steps]]) if self.walks else np.zeros(0, np.int64)
         for walk in self.walks:
             at, begin, chain = seeds, seeds, np.zeros(len(seeds), np.uint64)
             nth = 0
@@ -180,7 +225,7 @@ def matches(index: Index, texts: list[str | None]) -> Iterator[tuple[int, int, i
             # a start before the run belongs to the document its hit lies in
             doc = int(np.searchsorted(starts, min(max(at, 0) + len(index.items[item]) - 1, len(flat) - 1), "right")) - 1
             for d in {int(np.searchsorted(starts, max(at, 0), "right")) - 1, doc}:
-                if best.get((d, item)) == 0 or any(abs(at - seen) * 2 <= slack for seen in done.get((d, item), ())):
+                if best.get((d, item)) == 0 or any(abs(at - seen) * 2 <= (slack if len(index.items[item]) >= SHORT else 0) for seen in done.get((d, item), ())):
                     continue
                 low, high = starts[d], starts[d + 1] - steps
                 window = flat[max(low, at - slack) : min(high, at + len(index.items[item]) + slack)]

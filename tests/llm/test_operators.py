@@ -410,6 +410,25 @@ def test_edits(item, window):
     assert decontamination.edits(np.array(item), np.array(window, int)) == best
 
 
+@pytest.mark.parametrize("share", [0, 0.2])
+def test_decontamination_finds_short_items_in_mid_text(share):
+    """Items of 1 to 23 words, exact and with all the edits allowed, against the exact distance."""
+    rnd = random.Random(6)
+    vocabulary = [f"v{i}" for i in range(400)]
+    items = [(n, " ".join(rnd.choices(vocabulary, k=size))) for n, size in enumerate(s for s in range(1, 24) for _ in range(6))]
+    texts = []
+    for _, text in items:
+        words = text.split()
+        around = [" ".join(rnd.choices(vocabulary, k=30)) for _ in range(2)]
+        texts.append(f"{around[0]} {' '.join(edited(words, int(share * len(words) + 1e-9), rnd, vocabulary))} {around[1]}")
+    index = decontamination.Index(items, 0.8, decontamination.REPEATS, decontamination.STEPS, decontamination.SAMPLED, decontamination.STRIDE)
+    brute = set()
+    for d, text in enumerate(texts):
+        words = np.array([index.words.get(w, 0) for w in text.split()], np.int32)
+        brute |= {(d, n) for n, item in enumerate(index.items) if decontamination.edits(item, words) <= index.allowed(n)}
+    assert {(d, n) for d, n, _ in decontamination.matches(index, texts)} == brute and {(n, n) for n, _ in items} <= brute
+
+
 def test_decontamination_edge_cases(make_docs, spark):
     long_item = " ".join(f"x{i}" for i in range(40))
     items = spark.createDataFrame([(1, long_item), (None, "lone odd words"), (3, None), (4, ""), (5, "..."), (1, long_item)], "item_id bigint, text string").withColumn("doc_id", F.lit(0))
