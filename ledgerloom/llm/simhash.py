@@ -233,13 +233,7 @@ def keep_least(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """``docs``, with all columns, with one row of each component: its smallest id, and of that the text with the smallest hash."""
-    found = near_duplicates(docs, width, radius)
-    # an id may stand in several components, with different texts
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(id_key("doc_id").alias("__id"), "fp", F.col("version").alias("__version"))
-    kept = kept.groupBy("__id", "fp").agg(F.min("__version").alias("__version")).select("__id", "__version").distinct()
-    keyed = docs.select(F.struct(*docs.columns).alias("__row"), id_key("doc_id").alias("__id"), F.xxhash64("text").alias("__version"))
-    one = keyed.join(kept, ["__id", "__version"], "left_semi").dropDuplicates(["__id", "__version"])
-    return one.select("__row.*")
+    return keep_least(docs, near_duplicates(docs, width, radius).select("doc_id", "version", "root"))
 
 
 def digests(docs: DataFrame) -> DataFrame:

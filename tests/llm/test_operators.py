@@ -237,6 +237,14 @@ def test_simhash_edge_cases(make_docs):
     assert {r["fingerprint"] for r in simhash.digests(make_docs([(1, "")])).collect()} == {"0" * 16}
 
 
+def test_simhash_keeps_one_row_of_a_component(make_docs, spark, monkeypatch):
+    """An id on several rows, or no id at all, with texts whose fingerprints differ."""
+    near = {"a": 0, "b": 1, "c": 3, "d": 255 << 40, "e": 255 << 40 | 1}
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, width: docs.select("doc_id", F.xxhash64("text").alias("version"), F.create_map(*[F.lit(x) for i in near.items() for x in i])[F.col("text")].cast("bigint").alias("fp")))
+    kept = simhash.keep_one(make_docs([(4, "a"), (4, "b"), (9, "c"), (None, "d"), (None, "e")])).collect()
+    assert Counter(r["doc_id"] for r in kept) == {4: 1, None: 1}
+
+
 # near duplicates of the pipeline
 def brute_near(pairs, similarity=0.8):
     """Component of every row, by the Jaccard similarity of five-word shingles of all pairs."""
