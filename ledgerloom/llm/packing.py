@@ -10,16 +10,21 @@ two, which take no padding.
 Nothing is shuffled, no document is dropped, and memory does not grow with the input.
 
 Cases: a null or empty text is the end-of-document token alone; a null doc_id stays null; repeated rows are packed
-again each time; very long texts give many whole sequences; an empty table gives no rows; other columns are not read.
+again each time; the string of a special token inside a text is that token; very long texts give many whole sequences; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cached_property
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, functions as F
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 CAPACITY = 1024
 END = 0
 #: Characters for which both tokenizer libraries cut words alike; other texts go to the slower one.
@@ -32,25 +37,37 @@ class Encoder:
     """Token ids of texts by a byte-level vocabulary file.
 
     The vocabulary comes as a tokenizer file and as ranks. The rank library is several times faster and gives the same
-    ids; it takes the texts whose characters all lie in ``COMMON``, the tokenizer file the others.
+    ids; it takes the texts whose characters all lie in ``COMMON``, the tokenizer file the others. The string of a
+    special token inside a text is that token, as the tokenizer file has it by default, and goes there too; with
+    ``plain_text`` it is text like any other.
     """
 
-    def __init__(self, vocabulary: str, ranks: str) -> None:
+    def __init__(self, vocabulary: str, ranks: str, plain_text: bool = False) -> None:
         import base64
+        import json
 
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-        self.tokenizer.encode_special_tokens = True
+        self.file, self.plain_text = public_tokenizers.path(vocabulary), plain_text
         with open(public_tokenizers.path(ranks), "rb") as lines:
-            known = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={})
+            self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.ranks, special_tokens={})
         self.uncommon = re.compile(COMMON).search
+        with open(self.file) as text:
+            added = [t["content"] for t in json.load(text)["added_tokens"] if not (plain_text and t["special"])]
+        self.literal = re.compile("|".join(map(re.escape, added)) or r"(?!)").search
+
+    @cached_property
+    def tokenizer(self) -> Tokenizer:
+        from tokenizers import Tokenizer
+
+        read = Tokenizer.from_file(self.file)
+        read.encode_special_tokens = self.plain_text
+        return read
 
     def __call__(self, text: str) -> list[int]:
-        if self.uncommon(text):
+        if self.uncommon(text) or self.literal(text):
             return self.tokenizer.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 

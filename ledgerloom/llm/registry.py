@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from ledgerloom.llm import decontamination, line_dedup, packing, pii, search, sharding, simhash, tool_calls, toxicity, url_filter
+from ledgerloom.llm import alignment, decontamination, line_dedup, packing, pii, search, sharding, simhash, spelling, tool_calls, toxicity, url_filter
 from ledgerloom.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,14 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(table(spark, sf_dir, "documents")))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digests(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_shard": op2_shard,
@@ -65,6 +73,8 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_search": op8_search,
     "op9_url_filter": op9_url_filter,
     "op10_pack": op10_pack,
+    "op11_spelling": op11_spelling,
+    "op13_alignment": op13_alignment,
     "pipeline": corpus_pipeline.run,
 }
 LLM_SQL: dict[str, str] = {
@@ -73,4 +83,5 @@ LLM_SQL: dict[str, str] = {
     "op7_tool_calls": tool_calls.ORACLE,
     "op8_search": search.ORACLE,
     "op9_url_filter": url_filter.oracle(),
+    "op11_spelling": spelling.ORACLE,
 }
