@@ -1,9 +1,11 @@
-"""Row numbers that do not put a whole key on one task and do not look at the data while the plan is built."""
+"""Row numbers that do not put a whole key on one task."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgerloom.sources.workspace import new_dir
+
 COPIES_PER_PIECE = 100_000
 
 
@@ -53,3 +55,25 @@ def number_within(df: DataFrame, partition: list[str], order: list[str], name: s
     within = Window.partitionBy("_stretch").orderBy(*order)
     numbered = keyed.join(starts.select("_stretch", "_before"), "_stretch").withColumn("_nth", F.row_number().over(within))
     return numbered.select(*df.columns, (F.col("_before") + F.col("_nth")).alias(name))
+
+
+def number_sorted(df: DataFrame, order: list[Column | str], partition: list[str] | None = None, name: str = "id") -> DataFrame:
+    """``row_number`` along ``order`` (per ``partition``), from one sort of the rows and prefix sums of partition sizes.
+
+    The rows are range-partitioned once by partition and order and stored as they are sorted, each with the number of its
+    task and its place there. Counts per task and key are then added up over the tasks before, and the stored rows meet
+    these few sums. A key of any size, also one whose rows agree in all but the last column of the order, is spread over
+    as many tasks as its rows need, and nothing is computed twice. The order has to be total where ties matter.
+    """
+    spark, keys = df.sparkSession, partition or []
+    # The upper bits of the running number are the task's.
+    marks = {"_task": F.spark_partition_id(), "_place": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}
+    ranged = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order).withColumns(marks)
+    path = new_dir(spark, "numbered")
+    ranged.write.parquet(path)
+    # A struct is never null and compares its nulls as equal.
+    stored = spark.read.schema(ranged.schema).parquet(path).withColumn("_piece", F.struct("_task", *keys))
+    pieces = stored.groupBy("_piece").agg(F.min("_place").alias("_first"), F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*[F.col(f"_piece.{k}") for k in keys]).orderBy("_piece._task").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = pieces.select("_piece", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    return stored.join(shifts, "_piece").select(*df.columns, (F.col("_place") + F.col("_shift")).alias(name))
