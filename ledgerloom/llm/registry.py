@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from ledgerloom.llm import alignment, decontamination, line_dedup, packing, pii, search, sharding, simhash, spelling, tool_calls, toxicity, url_filter
+from ledgerloom.llm import alignment, decontamination, line_dedup, packing, pii, search, sharding, simhash, spelling, syncmers, tool_calls, toxicity, url_filter
 from ledgerloom.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op12_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.digests(table(spark, sf_dir, "documents"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.digests(table(spark, sf_dir, "documents"))
 
@@ -74,6 +78,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op9_url_filter": op9_url_filter,
     "op10_pack": op10_pack,
     "op11_spelling": op11_spelling,
+    "op12_syncmers": op12_syncmers,
     "op13_alignment": op13_alignment,
     "pipeline": corpus_pipeline.run,
 }
