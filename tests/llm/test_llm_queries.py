@@ -2,6 +2,7 @@
 
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import duckdb
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from check_oracle import TABLES, plain
-from ledgerloom.llm import decontamination, line_dedup, simhash, toxicity
+from ledgerloom.llm import decontamination, line_dedup, toxicity
 from ledgerloom.llm.registry import LLM_QUERIES, LLM_SQL
 from ledgerloom.llm.tables import table
 
@@ -20,6 +21,9 @@ CONTRACT = {
     "op4_pii": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
     "op6_line_dedup": ["doc_id", "n_lines", "n_dropped", "kept_sha256"],
     "op9_url_filter": ["page_id", "host", "path", "rule", "verdict"],
+    "op11_spelling": ["word", "form", "root", "n", "n_near", "form_n"],
+    "op12_syncmers": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+    "op13_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
     "op10_pack": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
 }
 
@@ -39,7 +43,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 
 def test_every_operator_is_registered():
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in LLM_QUERIES)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in LLM_QUERIES)] == []
     assert "pipeline" in entry.queries() and set(LLM_SQL) <= set(LLM_QUERIES)
 
 
@@ -77,10 +81,12 @@ def test_pipeline_stages_keep_what_they_should(spark, sf_dir):
     single = corpus_pipeline.drop_near_duplicates(spark, lines, sf_dir)
     assert single.columns == columns
     ids = sorted(kept)
-    prints = np.array([simhash.fingerprint((kept[i] or "").encode()) for i in ids], np.int64).view(np.uint64)
+    words = [(kept[i] or "").split() for i in ids]
+    sets = [{tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else {()} for w in ([x.lower() for x in ws] for ws in words)]
     root = list(range(len(ids)))
-    for a in range(len(ids)):
-        for b in np.flatnonzero(np.bitwise_count(prints ^ prints[a]) <= 2):
+    for a, b in combinations(range(len(ids)), 2):
+        common = len(sets[a] & sets[b])
+        if common >= 0.8 * (len(sets[a]) + len(sets[b]) - common) - 1e-9:
             low, high = sorted((root[a], root[b]))
             root = [low if r == high else r for r in root]
     kept = {i: kept[i] for i in {ids[r] for r in root}}
