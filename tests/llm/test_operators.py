@@ -286,6 +286,32 @@ def test_near_copies_against_brute_force(make_docs, block, named):
     assert groups(found) == groups({i: root[n] for n, (i, _) in enumerate(pairs)})
 
 
+@pytest.mark.parametrize("seed, copies", [(0, 30), (1, 30), (2, 12)])
+def test_near_copies_of_a_templated_page(make_docs, seed, copies):
+    """Copies of two versions of a page: each has more alike partners of its own version than it names at first."""
+    rng = random.Random(seed)
+    first = [f"w{rng.randrange(5000)}" for _ in range(300)]
+    second = [*first]
+    for at in range(40, 45):
+        second[at] = f"other{at}"
+    pairs = []
+    for page in (first, second):
+        for _ in range(copies):
+            text = [*page]
+            text[200] = f"field{rng.randrange(10**9)}"
+            pairs.append((len(pairs), " ".join(text)))
+    sets = {i: {tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for i, t in pairs}
+    assert len(sets[0] & sets[copies]) / len(sets[0] | sets[copies]) >= 0.8
+    assert {r["root"] for r in near_copies.near_duplicates(make_docs(pairs)).collect()}.__len__() == 1
+    assert [r["doc_id"] for r in near_copies.keep_one(make_docs(pairs)).collect()] == [0]
+
+
+def test_near_copies_of_very_long_texts(make_docs):
+    page = " ".join(f"w{i * 7919 % 100003}" for i in range(60_000))
+    kept = near_copies.keep_one(make_docs([(1, page), (2, page + " end"), (3, page[: len(page) // 2])]))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+
+
 def test_near_copies_edge_cases(make_docs):
     words = [f"w{i}" for i in range(300)]
     edited_text = " ".join([*words[:150], "other", *words[151:]])
