@@ -106,6 +106,9 @@ CREDITS = f"""select account_name, settlement_id, currency, '1' as company, divi
       from (select * from lines where {CREDIT_FILTER}) a left join classes c on {{on}} left join r_orders r on lower(r.sku) = lower(a.sku)
       where c.class_code <> 'X' group by all) g left join fx_rates fx using (settlement_id)"""
 
+# The faults written into the stock feed, in the order of its columns.
+FAULTY_STOCK = """select *, concat_ws(',', case when carton_qty % 14 = 0 then 'carton_qty' end, case when carton_qty % 22 = 0 then 'cost' end,
+    case when avail_in_stock % 156 = 0 or avail_in_stock % 204 = 0 then '_broken_record' end) as faults from inventory"""
 CLASS_ON = " and ".join(f"coalesce(lower(a.{k}), '') = c.{k}" for k in ("transaction_type", "fee_category", "fee_type"))
 CREDITS = CREDITS.replace("{on}", CLASS_ON)
 
@@ -411,6 +414,9 @@ FINAL: dict[str, str] = {
             ("all_orders", "all_orders", ("order_id", "sku", "fulfillment_channel")), ("exchange_rates", "fx_rates", ("settlement_id",)),
             ("prepack", "prepack", ("division", "prepack_code", "season")), ("warehouse_override", "warehouse_override", ("warehouse",)),
             ("product_data", "product_data", ("account_name", "sku")), ("fee_reference", "fee_reference", ("transaction_type", "fee_category", "fee_type")))),
+    "feed_fault_counts": f"""select fault, cast(count(*) as bigint) as rows from (select unnest(string_split(faults, ',')) as fault from ({FAULTY_STOCK}) where faults <> '') group by 1""",
+    "feed_rejected_rows": f"select faults, cast(count(*) as bigint) as rows from ({FAULTY_STOCK}) where faults <> '' group by 1",
+    "feed_sound_rows": f"select * exclude (faults) from ({FAULTY_STOCK}) where faults = ''",
     "feed_rejects": "select case when warehouse % 4 = 0 then 'warehouse' else '' end as faults, exclude, priority, warehouse from warehouse_override",
     # stock
     "prepack_join": "select * from prepacked",

@@ -339,6 +339,25 @@ def _feed_rejects(j: Jobs) -> DataFrame:
     return good.unionByName(bad.selectExpr("faults", "r.exclude", "r.priority", "cast(replace(r.WAREHOUSE, 'A', '') as int) as warehouse"))
 
 
+def _faulty_stock(j: Jobs) -> feeds.Feed:
+    """The stock feed with letters in numbers, prices that are none, rows cut short and rows with a value too many."""
+    folder = new_dir(j.spark, "faulty-stock")
+    columns = j.spark.createDataFrame([], feeds.INVENTORY_SCHEMA).columns
+    shown = {"carton_qty": "case when carton_qty % 14 = 0 then concat(carton_qty, ' pcs') else cast(carton_qty as string) end",
+             "cost": "case when carton_qty % 22 = 0 then 'n/a' else cast(cost as string) end"}
+    values = [f"coalesce({shown.get(c, f'cast({c} as string)')}, '')" for c in columns]
+    whole, short = (f"concat_ws('|', {', '.join(part)})" for part in (values, values[:-2]))
+    lines = j.data.inventory.selectExpr(f"case when avail_in_stock % 156 = 0 then {short} when avail_in_stock % 204 = 0 then concat({whole}, '|more') else {whole} end as value")
+    # a separator and a quote that no text holds leave the lines as they are; the column's name becomes the header
+    lines.toDF("|".join(columns)).write.options(header="true", sep="\u0001", quote="\u0000", ignoreTrailingWhiteSpace="false").csv(f"{folder}/feed")
+    return feeds.load_feed(j.spark, f"{folder}/feed", feeds.INVENTORY_SCHEMA, "|", max_share=1.0)
+
+
+query("feed_fault_counts")(lambda j: _faulty_stock(j).counted())
+query("feed_rejected_rows")(lambda j: _faulty_stock(j).rejects.groupBy("faults").agg(F.count("*").alias("rows")))
+query("feed_sound_rows")(lambda j: _faulty_stock(j).rows)
+
+
 @query("sink_full_refresh")
 def _sink_full_refresh(j: Jobs) -> DataFrame:
     path = new_dir(j.spark, "settlements")

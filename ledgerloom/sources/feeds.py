@@ -2,18 +2,24 @@
 
 Columns are taken by the names in the header, whatever their order, and a column that is missing is an error. Every
 value is read as text and then typed; a row with a value that does not parse, or with too many or too few values, is
-never passed on with a hole in it but goes to the rejects."""
+never passed on with a hole in it but goes to the rejects.
+
+``load_feed`` reads a feed once: the pass that stores rows and rejects also counts them, in all and per fault, as
+observed metrics. A feed with a larger share of rejects than it may have fails with these counts, and the named readers
+allow none unless told so; the stored rejects stay where they are for inspection."""
 
 from __future__ import annotations
 
 import datetime as dt
 import re
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ledgerloom.functions.sizing import unique
 from ledgerloom.params import PREPACK_SLOTS
+from ledgerloom.sources.workspace import new_dir
 
 # File name stems of the feeds; dated feeds carry the day as mmddyy.
 INVENTORY_STEM = "MARKETPLACE_INVENTORY"
@@ -71,10 +77,11 @@ def text_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in [*names, BROKEN]])
 
 
-def typed(rows: DataFrame, wanted: T.StructType, names: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """Rows of text (column -> name in the file) as rows of ``wanted``, and the rows that do not parse.
+def checked(rows: DataFrame, wanted: T.StructType, names: dict[str, str]) -> DataFrame:
+    """Rows of text (column -> name in the file) as the columns of ``wanted``, with ``_faults`` and ``_record``.
 
-    The rejects hold the names of the columns at fault and the whole row as JSON.
+    ``_faults`` names the columns whose value does not parse, or the broken record; ``_record`` is then the whole row as
+    JSON, and null for a sound row.
     """
     def text(field: T.StructField) -> Column:
         value = F.col(f"`{names[field.name]}`")
@@ -86,16 +93,26 @@ def typed(rows: DataFrame, wanted: T.StructType, names: dict[str, str]) -> tuple
 
     faults = [F.when(text(f).isNotNull() & value(f).isNull(), F.lit(f.name)) for f in wanted.fields if not isinstance(f.dataType, T.StringType)]
     faults.append(F.when(F.col(BROKEN).isNotNull(), F.lit(BROKEN)))
-    faulty = F.array_compact(F.array(*faults))
-    # Without the barrier the check would be pushed into the scan and Spark refuses to read the broken record alone.
-    checked = rows.withColumn("_faults", faulty)
-    good = checked.where(F.size("_faults") == 0).select(*[value(f).alias(f.name) for f in wanted.fields])
-    bad = checked.where(F.size("_faults") > 0).select(F.array_join("_faults", ",").alias("faults"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns])).alias("record"))
-    return good, bad
+    marked = rows.withColumn("_faults", F.array_compact(F.array(*faults)))
+    record = F.when(F.size("_faults") > 0, F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns])))
+    return marked.select(*[value(f).alias(f.name) for f in wanted.fields], F.array_join("_faults", ",").alias("_faults"), record.alias("_record"))
 
 
-def read_feed(spark: SparkSession, path: str, schema: str | T.StructType, separator: str = ",", by_position: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(rows, rejects) of CSV files. All files of ``path`` must have the header of the first; another one fails the read."""
+def typed(rows: DataFrame, wanted: T.StructType, names: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Rows of text as rows of ``wanted``, and the rejects: the columns at fault and the whole row as JSON."""
+    return _parted(checked(rows, wanted, names), wanted)
+
+
+def _parted(rows: DataFrame, wanted: T.StructType) -> tuple[DataFrame, DataFrame]:
+    good = rows.where(F.col("_faults") == "").select(*wanted.fieldNames())
+    return good, rows.where(F.col("_faults") != "").select(F.col("_faults").alias("faults"), F.col("_record").alias("record"))
+
+
+def feed_texts(spark: SparkSession, path: str, schema: str | T.StructType, separator: str = ",", by_position: bool = False) -> tuple[DataFrame, T.StructType, dict[str, str]]:
+    """The rows of CSV files as text, the wanted schema and the name of each wanted column in the files.
+
+    All files of ``path`` must have the header of the first; another one fails the read.
+    """
     wanted = _struct(spark, schema)
     header = spark.read.options(**CSV_READ).option("sep", separator).csv(path).columns
     if by_position:
@@ -109,46 +126,101 @@ def read_feed(spark: SparkSession, path: str, schema: str | T.StructType, separa
             raise ValueError(f"{path}: no column {', '.join(missing)} in the header {', '.join(header)}")
         names = {f.name: known[plain_name(f.name)] for f in wanted.fields}
     reader = spark.read.schema(text_schema(header)).options(**CSV_READ).option("sep", separator).option("columnNameOfCorruptRecord", BROKEN)
-    return typed(reader.csv(path), wanted, names)
+    return reader.csv(path), wanted, names
+
 
+def read_feed(spark: SparkSession, path: str, schema: str | T.StructType, separator: str = ",", by_position: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of CSV files, both lazy: each scans the files when it is read."""
+    return typed(*feed_texts(spark, path, schema, separator, by_position))
+
+
+class RejectedRows(ValueError):
+    """A feed held more rows that do not parse than it may."""
+
+    def __init__(self, path: str, counts: dict[str, int], stored: str):
+        self.counts, self.stored = counts, stored
+        faults = ", ".join(f"{name} {n}" for name, n in counts.items() if n and name not in ("rows", "rejected"))
+        super().__init__(f"{path}: {counts['rejected']} of {counts['rows']} rows do not parse ({faults}); they are stored in {stored}")
+
+
+@dataclass
+class Feed:
+    """A feed as it was loaded: rows, rejects, and how many of each (``counts``: rows, rejected, and per column at fault)."""
 
-def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, separator: str = ",") -> DataFrame:
-    """The rows of ``read_feed`` that parse."""
-    return read_feed(spark, path, schema, separator)[0]
+    rows: DataFrame
+    rejects: DataFrame
+    counts: dict[str, int]
+    stored: str
+
+    def counted(self) -> DataFrame:
+        """(fault, rows) of the faults that occurred; a row with several faults counts for each."""
+        faults = [(k.removeprefix("column "), n) for k, n in self.counts.items() if n and k not in ("rows", "rejected")]
+        return self.rows.sparkSession.createDataFrame(faults, "fault string, rows bigint")
+
+
+def load_feed(
+    spark: SparkSession, path: str, schema: str | T.StructType, separator: str = ",", by_position: bool = False, max_share: float = 0.0
+) -> Feed:
+    """Reads CSV files in one pass that stores sound rows and rejects apart and counts both.
+
+    More rejects than ``max_share`` of the rows raise ``RejectedRows``. A header without rows is an empty feed.
+    """
+    texts, wanted, names = feed_texts(spark, path, schema, separator, by_position)
+    rows = checked(texts, wanted, names).withColumn("_rejected", F.col("_faults") != "")
+    kinds = [f.name for f in wanted.fields if not isinstance(f.dataType, T.StringType)] + [BROKEN]
+    held = F.split("_faults", ",")
+    seen = Observation()
+    counted = rows.observe(
+        seen, F.count("*").alias("rows"), F.count_if("_rejected").alias("rejected"),
+        *[F.count_if(F.array_contains(held, kind)).alias(kind if kind == BROKEN else f"column {kind}") for kind in kinds],
+    )
+    stored = new_dir(spark, "feed")
+    counted.write.partitionBy("_rejected").parquet(stored)
+    counts = dict(seen.get)
+    back = spark.read.schema(rows.schema).parquet(stored)
+    good, bad = back.where("not _rejected").select(*wanted.fieldNames()), back.where("_rejected")
+    if counts["rejected"] > max_share * counts["rows"]:
+        raise RejectedRows(path, counts, stored)
+    return Feed(good, bad.select(F.col("_faults").alias("faults"), F.col("_record").alias("record")), counts, stored)
+
+
+def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, separator: str = ",", max_share: float = 0.0) -> DataFrame:
+    """The rows of ``load_feed``."""
+    return load_feed(spark, path, schema, separator, max_share=max_share).rows
 
 
 def dated(stem: str, day: dt.date) -> str:
     return f"{stem}_{day:%m%d%y}"
 
 
-def read_inventory_feed(spark: SparkSession, folder: str, day: dt.date) -> DataFrame:
-    return read_csv(spark, f"{folder}/*{dated(INVENTORY_STEM, day)}*", INVENTORY_SCHEMA, "|")
+def read_inventory_feed(spark: SparkSession, folder: str, day: dt.date, max_share: float = 0.0) -> DataFrame:
+    return read_csv(spark, f"{folder}/*{dated(INVENTORY_STEM, day)}*", INVENTORY_SCHEMA, "|", max_share)
 
 
-def read_prepack_feed(spark: SparkSession, folder: str, day: dt.date) -> DataFrame:
-    return read_csv(spark, f"{folder}/*{dated(PREPACK_STEM, day)}*", PREPACK_SCHEMA, "|")
+def read_prepack_feed(spark: SparkSession, folder: str, day: dt.date, max_share: float = 0.0) -> DataFrame:
+    return read_csv(spark, f"{folder}/*{dated(PREPACK_STEM, day)}*", PREPACK_SCHEMA, "|", max_share)
 
 
-def read_upc_sku(spark: SparkSession, folder: str, day: dt.date) -> DataFrame:
-    return read_csv(spark, f"{folder}/*{dated(UPC_SKU_STEM, day)}*", UPC_SKU_SCHEMA)
+def read_upc_sku(spark: SparkSession, folder: str, day: dt.date, max_share: float = 0.0) -> DataFrame:
+    return read_csv(spark, f"{folder}/*{dated(UPC_SKU_STEM, day)}*", UPC_SKU_SCHEMA, max_share=max_share)
 
 
-def read_warehouse_info(spark: SparkSession, folder: str) -> DataFrame:
+def read_warehouse_info(spark: SparkSession, folder: str, max_share: float = 0.0) -> DataFrame:
     """The eleven columns are named by position, whatever the header says."""
-    return read_feed(spark, f"{folder}/*{WAREHOUSE_STEM}*", WAREHOUSE_SCHEMA, by_position=True)[0]
+    return load_feed(spark, f"{folder}/*{WAREHOUSE_STEM}*", WAREHOUSE_SCHEMA, by_position=True, max_share=max_share).rows
 
 
-def read_warehouse_override(spark: SparkSession, folder: str) -> DataFrame:
-    return unique(read_csv(spark, f"{folder}/{OVERRIDE_FILE}", OVERRIDE_SCHEMA), ["warehouse"], "warehouse override")
+def read_warehouse_override(spark: SparkSession, folder: str, max_share: float = 0.0) -> DataFrame:
+    return unique(read_csv(spark, f"{folder}/{OVERRIDE_FILE}", OVERRIDE_SCHEMA, max_share=max_share), ["warehouse"], "warehouse override")
 
 
-def read_fee_reference(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, REFERENCE_SCHEMA)
+def read_fee_reference(spark: SparkSession, path: str, max_share: float = 0.0) -> DataFrame:
+    return read_csv(spark, path, REFERENCE_SCHEMA, max_share=max_share)
 
 
-def read_fx_rates(spark: SparkSession, path: str) -> DataFrame:
+def read_fx_rates(spark: SparkSession, path: str, max_share: float = 0.0) -> DataFrame:
     """Sheet export with free-form headers, keyed by settlement; a repeated settlement fails the read."""
-    return unique(read_csv(spark, path, FX_SCHEMA), ["settlement_id"], "exchange rates")
+    return unique(read_csv(spark, path, FX_SCHEMA, max_share=max_share), ["settlement_id"], "exchange rates")
 
 
 def read_table(spark: SparkSession, source: str | dict[str, str]) -> DataFrame:

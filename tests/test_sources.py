@@ -178,3 +178,34 @@ def test_shrinking_settlement_leaves_nothing_behind(spark, tmp_path):
         ingest_new_files(spark, incoming, schema, landing, state, partitions=["settlement_id"])
         refresh_settlements(spark, landing, schema, target, state2, job, ["settlement_id"], landed_by="settlement_id")
     assert sorted((r["settlement_id"], r["currency"], r["total"]) for r in spark.read.parquet(target).collect()) == [(1, "USD", 5), (3, "USD", 1)]
+
+
+def test_a_feed_with_rejects_fails_unless_allowed(spark, tmp_path):
+    (tmp_path / "WAREHOUSES.csv").write_text("warehouse,exclude,priority\n297,X,1\n297A,X,2\n298,,\n299,X\n")
+    with pytest.raises(feeds.RejectedRows) as failed:
+        feeds.read_warehouse_override(spark, str(tmp_path))
+    assert failed.value.counts["rows"] == 4 and failed.value.counts["rejected"] == 2
+    assert "warehouse 1" in str(failed.value) and "_broken_record 1" in str(failed.value)
+    # what was refused stays stored
+    kept = spark.read.parquet(failed.value.stored).where("_rejected = 'true'").collect()
+    assert any("297A" in r["_record"] for r in kept) and len(kept) == 2
+    assert sorted(r["warehouse"] for r in feeds.read_warehouse_override(spark, str(tmp_path), max_share=0.5).collect()) == [297, 298]
+    with pytest.raises(feeds.RejectedRows):
+        feeds.read_warehouse_override(spark, str(tmp_path), max_share=0.49)
+
+
+def test_a_feed_is_read_once_for_rows_rejects_and_counts(spark, tmp_path):
+    (tmp_path / "rates.csv").write_text("Settlement ID,Exchange Value\n1,17.5\nx,18\n2,y\nz,w\n")
+    feed = feeds.load_feed(spark, str(tmp_path / "rates.csv"), feeds.FX_SCHEMA, max_share=1.0)
+    # the file may go: nothing reads it again
+    (tmp_path / "rates.csv").unlink()
+    assert [r["settlement_id"] for r in feed.rows.collect()] == [1]
+    assert sorted(r["faults"] for r in feed.rejects.collect()) == ["exchange_value", "settlement_id", "settlement_id,exchange_value"]
+    assert {r["fault"]: r["rows"] for r in feed.counted().collect()} == {"settlement_id": 2, "exchange_value": 2}
+    assert (feed.counts["rows"], feed.counts["rejected"]) == (4, 3)
+
+
+def test_a_feed_of_a_header_alone_is_empty(spark, tmp_path):
+    (tmp_path / "rates.csv").write_text("settlement_id,exchange_value\n")
+    feed = feeds.load_feed(spark, str(tmp_path / "rates.csv"), feeds.FX_SCHEMA)
+    assert feed.rows.count() == 0 and feed.rejects.count() == 0 and feed.counts["rows"] == 0
