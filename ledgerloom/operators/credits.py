@@ -29,7 +29,7 @@ def credit_rollup(ranked: DataFrame) -> DataFrame:
     """Credits per posting time, order, SKU, fee and duplicate rank, so true duplicates stay apart."""
     return grouped(
         ranked.where(is_credit()), [*STATEMENT_KEYS, "posted_date", "ranking"], ["order_id", "sku", "transaction_type", "fee_category", "fee_type"],
-        principal_quantity().alias("quantity"), F.sum("amount").alias("total_amount"),
+        {"quantity": principal_quantity(), "total_amount": F.col("amount")},
     )
 
 
@@ -55,12 +55,12 @@ def credit_extract(
         lines = lines.where(one_of("currency", currencies))
     classed = classify(lines.where(is_credit()), reference).where(~same("credit_memo_class", EXCLUDED_CLASS))
     keys, names = ["account_name", "settlement_id", "currency", "end_date"], ["credit_memo_class", "credit_memo_sub_class", "transaction_type"]
-    by_sku = grouped(classed, keys, [*names, "sku"], F.sum("amount").alias("total"))
+    by_sku = grouped(classed, keys, [*names, "sku"], {"total": F.col("amount")})
     merged = attach_products(by_sku, resolved, EXTRACT_ATTRIBUTES)
     division = F.coalesce("division", F.lit(layout.default_division))
     sub_division = F.coalesce(F.col("sub_div").cast("string"), F.lit(layout.default_sub_division))
     merged = merged.withColumns({"division": division, "sub_division": sub_division})
-    totals = grouped(merged, [*keys, "division", "sub_division"], names, F.sum("total").cast("decimal(22,2)").alias("total"))
+    totals = grouped(merged, [*keys, "division", "sub_division"], names, {"total": F.col("total")}).withColumn("total", F.col("total").cast("decimal(22,2)"))
     amount = -F.col("total")
     if fx is not None:
         totals = totals.join(unique(fx, ["settlement_id"], "exchange rates"), "settlement_id", "left")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.dates import local_day, shift_zone
 from ledgerloom.functions.money import money
-from ledgerloom.functions.numbering import number_within, rank_copies
+from ledgerloom.functions.numbering import number_sorted, rank_copies
 from ledgerloom.functions.text import contains_tax, fold, grouped, is_blank, one_of, same
 from ledgerloom.operators.product_match import attach_products, resolve_by_asin, stock_of_upc
 from ledgerloom.operators.sales import blanks, is_principal, order_channels
@@ -57,7 +57,7 @@ def order_sku_representative(statements: DataFrame, as_of: Column, days: int = 2
     """One line per order and SKU of a day: the smallest by its other columns."""
     wanted = (F.col("posted_date_1") == F.date_sub(as_of, days)) & same("transaction_type", ORDER)
     rest = [c for c in statements.columns if c not in ("order_id", "sku")]
-    best = grouped(statements.where(wanted), [], ["order_id", "sku"], F.min(F.struct(*rest)).alias("row"))
+    best = grouped(statements.where(wanted), [], ["order_id", "sku"], least={"row": F.struct(*rest)})
     return best.select("order_id", "sku", "row.*")
 
 
@@ -74,7 +74,7 @@ def refund_lines_open(statements: DataFrame, as_of: Column, days: int = 20) -> D
 def local_day_totals(statements: DataFrame, day: Column, zone: str = "+03:00", target: str = "+00:00") -> DataFrame:
     """Totals per company and fee of a business day kept on ``target`` clocks."""
     wanted = statements.where(local_day("posted_date", zone, target) == day)
-    return grouped(wanted, ["company_name"], ["transaction_type", "fee_category", "fee_type"], money(F.sum("amount")).alias("amount"))
+    return grouped(wanted, ["company_name"], ["transaction_type", "fee_category", "fee_type"], {"amount": F.col("amount")}).withColumn("amount", money(F.col("amount")))
 
 
 def local_day_ledger(
@@ -88,7 +88,7 @@ def local_day_ledger(
     ranked = rank_copies(lines, group)
     blanked = ranked.withColumns({c: F.coalesce(c, F.lit("")) for c in ("order_id", "sku")})
     order = ["posted_date", "order_id", "sku", "transaction_type", "fee_category", "fee_type", "amount", "quantity_purchased", "ranking"]
-    return number_within(blanked, ["company_name"], order, levels=["posted_date", "order_id"]).withColumns({
+    return number_sorted(blanked, order, ["company_name"]).withColumns({
         "posted_at_target": shift_zone("posted_date", zone, target), "line_count": F.lit(1).cast("bigint"), "status": F.lit(NOT_IMPORTED),
     })
 
@@ -105,7 +105,7 @@ def zone_comparison(statements: DataFrame, day: Column) -> DataFrame:
         "posted_utc": shift_zone("posted_date", "US/Eastern", "UTC"), "posted_plus_five": shift_zone("posted_date", "+00:00", "+05:00"),
     })
     keys = ["settlement_id", "settlement_batch", "posted_utc", "posted_date", "posted_plus_five"]
-    return grouped(shown, keys, ["order_id", "transaction_type"], money(F.sum("amount")).alias("amount"))
+    return grouped(shown, keys, ["order_id", "transaction_type"], {"amount": F.col("amount")}).withColumn("amount", money(F.col("amount")))
 
 
 def statement_discrepancy(statement_lines: DataFrame) -> DataFrame:
@@ -160,9 +160,10 @@ def order_buckets(lines: DataFrame, all_orders: DataFrame) -> DataFrame:
     wanted = same("status", NOT_IMPORTED) & same("transaction_type", ORDER)
     sums = grouped(
         lines.where(wanted), ["company_name"], ["order_id", "sku"],
-        F.min("posted_date").alias("posted_date"), F.sum("quantity_purchased").alias("quantity"), F.sum("amount").alias("total_amount"),
-        *[F.sum(F.when(cond, F.col("amount")).otherwise(0)).alias(name)
-          for name, cond in (("principal", principal), ("freight", freight), ("tax", tax), ("misc", ~principal & ~freight & ~tax))],
+        {"quantity": F.col("quantity_purchased"), "total_amount": F.col("amount"),
+         **{name: F.when(cond, F.col("amount")).otherwise(0)
+            for name, cond in (("principal", principal), ("freight", freight), ("tax", tax), ("misc", ~principal & ~freight & ~tax))}},
+        {"posted_date": F.col("posted_date")},
     )
     channels = order_channels(all_orders).groupBy("order_key", "sku_key").agg(
         F.min("fulfillment_channel").alias("fulfillment_channel"), F.count("*").alias("times")
@@ -225,8 +226,8 @@ def credit_rollup_line_grain(ranked: DataFrame) -> DataFrame:
     wanted = same("status", NOT_IMPORTED) & ~same("transaction_type", ORDER) & ~refund_revenue()
     return grouped(
         ranked.where(wanted), ["company_name", "posted_date", "ranking"], ["order_id", "sku", "transaction_type", "fee_category", "fee_type"],
-        F.sum("quantity_purchased").alias("quantity"), money(F.sum("amount")).alias("total_amount"),
-    )
+        {"quantity": F.col("quantity_purchased"), "total_amount": F.col("amount")},
+    ).withColumn("total_amount", money(F.col("total_amount")))
 
 
 def credit_extract_line_grain(credits: DataFrame, resolved: DataFrame, layout: DraftLayout = DRAFT_LAYOUT) -> DataFrame:
@@ -253,12 +254,13 @@ def refund_rollup(lines: DataFrame) -> DataFrame:
     """Refunded quantity, principal and tax per order and SKU."""
     return grouped(
         lines.where(same("status", NOT_IMPORTED) & refund_revenue()), ["company_name"], ["order_id", "sku"],
-        F.min("posted_date").alias("posted_date"),
-        F.sum(F.when(same("fee_type", PRINCIPAL), F.col("quantity_purchased")).otherwise(0)).alias("quantity"),
-        money(F.sum("amount")).alias("total_amount"),
-        money(F.sum(F.when(is_principal(PRICE_TYPE), F.col("amount")).otherwise(0))).alias("principal"),
-        money(F.sum(F.when(contains_tax("fee_type"), F.col("amount")).otherwise(0))).alias("tax"),
-    )
+        {
+            "quantity": F.when(same("fee_type", PRINCIPAL), F.col("quantity_purchased")).otherwise(0), "total_amount": F.col("amount"),
+            "principal": F.when(is_principal(PRICE_TYPE), F.col("amount")).otherwise(0),
+            "tax": F.when(contains_tax("fee_type"), F.col("amount")).otherwise(0),
+        },
+        {"posted_date": F.col("posted_date")},
+    ).withColumns({c: money(F.col(c)) for c in ("total_amount", "principal", "tax")})
 
 
 def refund_extract(refunds: DataFrame, resolved: DataFrame, layout: DraftLayout = DRAFT_LAYOUT) -> DataFrame:
@@ -308,7 +310,7 @@ def event_products(events: DataFrame, product_data: DataFrame, inventory: DataFr
 def stock_adjustment_draft(ledger: DataFrame, resolved: DataFrame) -> DataFrame:
     """Adjustment lines of distinct events; events without a SKU stay although nothing matches them."""
     keys = ["company_name", "event_date", "transaction_type", "fnsku", "sku", "fulfillment_center_id", "quantity", "disposition"]
-    events = ledger.where(same("status", NOT_IMPORTED)).select(*keys).distinct()
+    events = grouped(ledger.where(same("status", NOT_IMPORTED)), ["event_date", "quantity"], [k for k in keys if k not in ("event_date", "quantity")]).select(*keys)
     merged = attach_products(events, resolved, ["erp_upc", "division", "season", "style", "sku200", "color", "pack_dim", "size"])
     kept = merged.where(F.col("erp_upc").isNotNull() | (F.col("sku") == ""))
     return kept.select(

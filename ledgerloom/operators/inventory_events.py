@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.numbering import rank_copies
-from ledgerloom.functions.text import fold, one_of
+from ledgerloom.functions.text import fold, grouped, one_of, same
 from ledgerloom.operators.product_match import attach_products
 from ledgerloom.params import EVENT_TYPES_SKIPPED, LAYOUT, NOT_IMPORTED, STOCK_ATTRIBUTES, ErpLayout
 
@@ -33,7 +33,8 @@ def inventory_adjustment_conversion(ledger: DataFrame, resolved: DataFrame) -> D
     Equal events share one row, whatever their rank.
     """
     columns = ["product_id", "product_asin", "erp_upc", *[a for a in STOCK_ATTRIBUTES if a != "warehouse"]]
-    events = ledger.where(F.lower("status") == NOT_IMPORTED.lower()).select(*EVENT_KEYS).distinct()
+    plain = ["event_date", "quantity"]
+    events = grouped(ledger.where(same("status", NOT_IMPORTED)), plain, [k for k in EVENT_KEYS if k not in plain]).select(*EVENT_KEYS)
     merged = attach_products(events, resolved, columns)
     product = (
         F.when((F.col("product_asin") == "") & (F.col("product_id") == ""), F.col("fnsku"))
@@ -45,10 +46,8 @@ def inventory_adjustment_conversion(ledger: DataFrame, resolved: DataFrame) -> D
 
 def inventory_adjustment_extract(converted: DataFrame, layout: ErpLayout = LAYOUT) -> DataFrame:
     """Units per product, sorted for the ERP; ``connected`` tells products the ERP knows."""
-    grouped = converted.groupBy("division", "season", "style", "color", "size", "pack_dim", "size_scale").agg(
-        F.sum("quantity").alias("units"), F.min("sku200").alias("sku200")
-    )
-    return grouped.select(
+    units = grouped(converted, ["division"], ["season", "style", "color", "size", "pack_dim", "size_scale"], {"units": F.col("quantity")}, {"sku200": F.col("sku200")})
+    return units.select(
         "division", F.left("season", F.lit(1)).alias("season"), F.right("season", F.lit(2)).alias("season_year"), "style", "sku200",
         F.col("color").alias("color_code"), F.col("pack_dim").alias("pack"), "size_scale", "size", "units",
         F.lit(layout.warehouse).alias("warehouse_in"), F.lit(layout.warehouse).alias("warehouse_out"),

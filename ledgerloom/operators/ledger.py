@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.functions.dates import local_day
-from ledgerloom.functions.numbering import number_within, rank_copies
+from ledgerloom.functions.numbering import number_sorted, number_within, rank_copies
 from ledgerloom.functions.sizing import join_dimension
 from ledgerloom.functions.text import fold, fold_blank, grouped, is_blank, same
 from ledgerloom.params import NOT_IMPORTED, POSTED
@@ -71,7 +71,7 @@ LEDGER_ORDER = [
 
 def line_numbers(ranked: DataFrame) -> DataFrame:
     """Sequence number of each line inside its settlement, by posting time, order and SKU."""
-    return number_within(ranked, ["account_name", "settlement_id"], LEDGER_ORDER, levels=[F.to_date("posted_date"), "posted_date", "order_id"])
+    return number_sorted(ranked, LEDGER_ORDER, ["account_name", "settlement_id"])
 
 
 def fee_ledger(settlements: DataFrame, reference: DataFrame) -> DataFrame:
@@ -166,5 +166,3 @@ def check_single_period(lines: DataFrame) -> DataFrame:
         F.count_distinct("start_date").alias("start_dates"), F.count_distinct("end_date").alias("end_dates"),
         F.count_distinct("currency").alias("currencies"),
     )
-
-

@@ -22,7 +22,7 @@ def is_principal(category: str = ITEM_PRICE) -> Column:
 
 
 def principal_quantity() -> Column:
-    return F.sum(F.when(same("fee_type", PRINCIPAL), F.col("quantity_purchased")))
+    return F.when(same("fee_type", PRINCIPAL), F.col("quantity_purchased"))
 
 
 def order_totals(lines: DataFrame, types: tuple[str, ...]) -> DataFrame:
@@ -33,11 +33,12 @@ def order_totals(lines: DataFrame, types: tuple[str, ...]) -> DataFrame:
     )
     return grouped(
         lines.where(wanted), STATEMENT_KEYS, ["order_id", "sku"],
-        F.min("posted_date").alias("posted_date"),
-        principal_quantity().alias("quantity"),
-        F.sum("amount").alias("total_amount"),
-        F.sum(F.when(is_principal() | liquidated, F.col("amount")).otherwise(0)).alias("principal"),
-        F.sum(F.when(contains_tax("fee_type"), F.col("amount")).otherwise(0)).alias("tax"),
+        {
+            "quantity": principal_quantity(), "total_amount": F.col("amount"),
+            "principal": F.when(is_principal() | liquidated, F.col("amount")).otherwise(0),
+            "tax": F.when(contains_tax("fee_type"), F.col("amount")).otherwise(0),
+        },
+        {"posted_date": F.col("posted_date")},
     )
 
 
@@ -131,13 +132,13 @@ def sales_extract(
     keys = ["account_name", "settlement_id", "currency", "end_date"]
     by_sku = grouped(
         unit_prices(orders, fx), [*keys, "price_2"], ["sku"],
-        F.sum("quantity").alias("units"), F.sum("tax").alias("tax"), F.min("price_4").alias("price_4"),
+        {"units": F.col("quantity"), "tax": F.col("tax")}, {"price_4": F.col("price_4")},
     )
     merged = attach_products(by_sku, resolved, EXTRACT_ATTRIBUTES)
     merged = merged.withColumn("style", F.coalesce("style", "sku"))
     summed = grouped(
         merged, [*keys, "division", "sub_div", "price_2"], ["style", "color", "pack_dim", "size"],
-        F.sum("units").alias("units"), F.sum("tax").alias("tax"), F.min("price_4").alias("price_4"), F.min("season").alias("season"),
+        {"units": F.col("units"), "tax": F.col("tax")}, {"price_4": F.col("price_4"), "season": F.col("season")},
     )
     number = F.concat_ws(
         "_", F.col("settlement_id").cast("string"), F.coalesce(F.col("division").cast("string"), F.lit("")),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.money import half_up_ratio
 from ledgerloom.functions.sizing import join_dimension, unique
-from ledgerloom.functions.text import fold, nonzero_number, one_of, same
+from ledgerloom.functions.text import fold, grouped, nonzero_number, one_of, same
 from ledgerloom.params import EXCLUDED_CLASS, LOOSE_PACKS, PREPACK_SIZE, PREPACK_SLOTS
 
 STOCK_COLUMNS = [
@@ -124,11 +124,10 @@ def sellable_stock(final: DataFrame, warehouses: DataFrame) -> DataFrame:
 
 def style_upc_lookup(sellable: DataFrame) -> DataFrame:
     """One row per style, color, size and UPC with its lookup text, sub division, season letter and year."""
-    keys = ["style", "color", F.col("size_detail").alias("size"), "upc"]
     rest = F.struct("sub_div", "sub_div_desc", F.left("season", F.lit(1)).alias("season"), F.right("season", F.lit(2)).alias("year"))
-    best = sellable.groupBy(*keys).agg(F.min(rest).alias("row"))
+    best = grouped(sellable.withColumn("size", F.col("size_detail")), [], ["style", "color", "size", "upc"], least={"row": rest})
     return best.select(F.concat("style", "color", "size").alias("lookup"), "upc", "style", "color", "size", "row.*")
 
 
 def distinct_styles(sellable: DataFrame) -> DataFrame:
-    return sellable.select("style").distinct()
+    return grouped(sellable, [], ["style"])

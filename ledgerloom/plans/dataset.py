@@ -117,10 +117,10 @@ class Dataset:
         ]) + ")"
         kept = [c for c in SETTLEMENT_COLUMNS if c not in ("amount_type", "amount_description", "amount", "quantity_purchased")]
         items = item.selectExpr(*kept, f"inline({fees}) as (amount_type, amount_description, amount, quantity_purchased)").where("amount is not null")
-        # The same order or SKU is spelled differently from fee to fee.
+        # The same order or SKU is spelled differently from fee to fee, in case and accents.
         items = items.withColumns({
-            "order_id": F.expr("case when amount_description = 'Tax' then lower(order_id) else order_id end"),
-            "sku": F.expr("case when amount_type = 'Promotion' then lower(sku) else sku end"),
+            "order_id": F.expr("case when amount_description = 'Tax' then replace(lower(order_id), 'o', 'ó') else order_id end"),
+            "sku": F.expr("case when amount_type = 'Promotion' then replace(lower(sku), 'u', 'ú') else sku end"),
         })
         account_fees = self.table("orders").selectExpr(
             *_settlement_keys("o_custkey", "o_orderdate"),
@@ -274,8 +274,8 @@ class Dataset:
             "concat('acct_', cast(user_id % 3 as string)) as company_name", "to_date(ts) as event_date",
             "case event_type when 'click' then 'Adjustments' when 'view' then 'Shipments' when 'purchase' then 'CustomerReturns' "
             "when 'signup' then 'VendorReturns' else 'Receipts' end as transaction_type",
-            f"{asin_of('user_id')} as fnsku", f"{sku_of('user_id')} as sku",
-            "concat('FC', cast(user_id % 5 as string)) as fulfillment_center_id",
+            f"{asin_of('user_id')} as fnsku", f"case when event_type = 'click' then replace(lower({sku_of('user_id')}), 'k', 'ķ') else {sku_of('user_id')} end as sku",
+            "concat(case when value < 10 then 'fć' else 'FC' end, cast(user_id % 5 as string)) as fulfillment_center_id",
             "cast(case when value < 20 then -1 else 1 end as int) as quantity",
             "case when value >= 40 then 'DEFECTIVE' else 'SELLABLE' end as disposition",
         )

@@ -174,6 +174,11 @@ def allocated(stock: str, fallback: str) -> str:
 
 
 EVENT = "company_name, event_date, transaction_type, fnsku, sku, fulfillment_center_id, quantity, disposition"
+# Events are compared by folded texts; the derived events vary the spelling of SKU and centre.
+EVENT_KEY = "company_name, event_date, transaction_type, fnsku, lower(sku), lower(fulfillment_center_id), quantity, disposition"
+EVENT_RANK = f"row_number() over (partition by {EVENT_KEY} order by {EVENT}) as ranking"
+DISTINCT_EVENT = ("select company_name, event_date, transaction_type, fnsku, min(sku) as sku, min(fulfillment_center_id) as fulfillment_center_id, quantity, disposition "
+                  f"from {{ledger}} group by {EVENT_KEY}")
 EVENT_WINDOW = "event_date between date '2024-01-03' and date '2024-01-29'"
 DRAFT_LINE = "company_name, posted_date, posted_date_1, order_id, sku, transaction_type, fee_category, fee_type, amount, quantity_purchased"
 DRAFT_RANK = ("row_number() over (partition by company_name, posted_date_1, lower(order_id), lower(sku), transaction_type, fee_category, fee_type, amount, quantity_purchased "
@@ -210,7 +215,7 @@ STEPS: dict[str, str] = {
     "skus": f"select account_name, min(sku) as sku from settlements where sku <> '' and {LOCAL_DAY} between date '1996-01-01' and date '2001-10-31' group by account_name, lower(sku)",
     "r_report": resolved("select account_name, sku from skus", "report", by_account=True),
     "r_listed": resolved("select min(sku) as sku from settlements where sku <> '' group by lower(sku)", "inventory"),
-    "r_events": resolved("select distinct sku from inventory_events", "inventory"),
+    "r_events": resolved("select min(sku) as sku from inventory_events group by lower(sku)", "inventory"),
     "r_two": resolved("select min(sku) as sku from settlements where sku <> '' group by lower(sku)", "two_rung"),
     "pairs_all": "select distinct asin, upc from product_data where asin is not null",
     "r_status": resolved("select min(sku) as sku from settlements where sku <> '' group by lower(sku)", "status"),
@@ -252,19 +257,20 @@ STEPS: dict[str, str] = {
     "style_upcs": """select style || color || size_detail as lookup, upc, style, color, size_detail as size, sub_div, sub_div_desc, left(season, 1) as season, right(season, 2) as year
         from (select *, row_number() over (partition by style, color, size_detail, upc order by sub_div, sub_div_desc, left(season, 1), right(season, 2)) as rn from sellable) q where rn = 1""",
     # inventory events
-    "event_ledger": f"""select {EVENT}, row_number() over (partition by {EVENT}) as ranking, 'Not Imported' as status from inventory_events
+    "event_ledger": f"""select {EVENT}, {EVENT_RANK}, 'Not Imported' as status from inventory_events
         where {EVENT_WINDOW} and transaction_type not in ('Shipments', 'Receipts', 'VendorReturns')""",
-    "draft_event_ledger": f"""select {EVENT}, row_number() over (partition by {EVENT}) as ranking, 'Not Imported' as status from inventory_events
+    "draft_event_ledger": f"""select {EVENT}, {EVENT_RANK}, 'Not Imported' as status from inventory_events
         where {EVENT_WINDOW} and transaction_type not in ('Shipments', 'Receipts', 'WhseTransfers', 'CustomerReturns')""",
     "converted": f"""select e.*, case when r.product_asin = '' and r.product_id = '' then e.fnsku when r.product_id = '' then r.product_asin else r.product_id end as product_asin,
         r.erp_upc, {', '.join(f"coalesce(r.style, e.sku) as style" if c == 'style' else f'r.{c}' for c in STOCK_ATTRIBUTES if c != 'warehouse')}
-        from (select distinct {EVENT} from event_ledger) e left join r_events r on r.sku = e.sku""",
-    "adjustments": """select division, left(season, 1) as season, right(season, 2) as season_year, style, min(sku200) as sku200, color as color_code, pack_dim as pack, size_scale, size,
+        from ({DISTINCT_EVENT.format(ledger='event_ledger')}) e left join r_events r on lower(r.sku) = lower(e.sku)""",
+    "adjustments": """select division, left(min(full_season), 1) as season, right(min(full_season), 2) as season_year, min(style) as style, min(sku200) as sku200,
+        min(color) as color_code, min(pack_dim) as pack, min(size_scale) as size_scale, min(size) as size,
         cast(sum(quantity) as bigint) as units, 297 as warehouse_in, 297 as warehouse_out, division is not null as connected
-        from (select *, season as full_season from converted) c group by division, season, style, color, size, pack_dim, size_scale""",
-    "event_asins": """select s.sku, coalesce(a.asin, i.asin) as asin from (select distinct sku from inventory_events) s
-        left join (select sku, min(asin) as asin from product_data where asin <> '' group by sku) a on a.sku = s.sku
-        left join (select upc, min(asin) as asin from product_data where asin <> '' group by upc) i on i.upc = s.sku""",
+        from (select *, season as full_season from converted) c group by division, lower(season), lower(style), lower(color), lower(size), lower(pack_dim), lower(size_scale)""",
+    "event_asins": """select s.sku, coalesce(a.asin, i.asin) as asin from (select min(sku) as sku from inventory_events group by lower(sku)) s
+        left join (select sku, min(asin) as asin from product_data where asin <> '' group by sku) a on lower(a.sku) = lower(s.sku)
+        left join (select upc, min(asin) as asin from product_data where asin <> '' group by upc) i on lower(i.upc) = lower(s.sku)""",
     "event_upcs": """select e.sku, e.asin as product_asin, coalesce(min(c.upc), min(d.upc)) as erp_upc from event_asins e left join pairs p on p.asin = e.asin
         left join canon c on c.upc = p.upc left join canon d on d.upc = substring(p.upc, 2) group by 1, 2""",
     "event_stock": f"""select e.*, {', '.join(f'coalesce(c.{a}, d.{a}) as {a}' for a in STOCK_ATTRIBUTES)} from event_upcs e
@@ -430,7 +436,7 @@ FINAL: dict[str, str] = {
     "style_upc_lookup": "select * from style_upcs",
     "distinct_styles": "select distinct style from sellable",
     # inventory events
-    "inventory_event_rank": f"select {EVENT}, row_number() over (partition by {EVENT}) as ranking from inventory_events",
+    "inventory_event_rank": f"select {EVENT}, {EVENT_RANK} from inventory_events",
     "inventory_event_ledger": "select * from event_ledger",
     "inventory_adjustment_conversion": "select * from converted",
     "inventory_adjustment_extract": "select * from adjustments",
@@ -472,9 +478,9 @@ FINAL: dict[str, str] = {
         where posted_date_1 > {AS_OF_DAY} - 20 and transaction_type = 'Order' and fee_type = 'Principal'""",
     "settlement_day_lookup": """select *, (posted_date at time zone 'US/Eastern') at time zone 'US/Pacific' as posted_at_target from statements
         where settlement_id in (select settlement_id from exported) and cast((posted_date at time zone 'US/Eastern') at time zone 'US/Pacific' as date) = date '1995-03-15'""",
-    "mark_events_complete": f"select {', '.join('l.' + c for c in EVENT.split(', '))}, ranking, case when e.erp_upc is not null then 'Complete' else status end as status from draft_event_ledger l left join event_stock e on e.sku = l.sku",
+    "mark_events_complete": f"select {', '.join('l.' + c for c in EVENT.split(', '))}, ranking, case when e.erp_upc is not null then 'Complete' else status end as status from draft_event_ledger l left join event_stock e on lower(e.sku) = lower(l.sku)",
     "stock_adjustment_draft": f"""select s.division, left(s.season, 1) as season, right(s.season, 2) as season_year, s.style, s.sku200, '' as blank_1, s.color, s.pack_dim as size_scale, s.size,
-        e.quantity, 297 as warehouse_in, 297 as warehouse_out from (select distinct {EVENT} from draft_event_ledger) e left join event_stock s on s.sku = e.sku
+        e.quantity, 297 as warehouse_in, 297 as warehouse_out from ({DISTINCT_EVENT.format(ledger='draft_event_ledger')}) e left join event_stock s on lower(s.sku) = lower(e.sku)
         where s.erp_upc is not null or e.sku = ''""",
     "local_day_totals": f"""select company_name, transaction_type, fee_category, fee_type, {money('sum(amount)')} as amount from statements
         where cast(posted_date - interval 3 hour as date) = date '1998-06-15' group by 1, 2, 3, 4""",
@@ -564,5 +570,7 @@ def oracle_queries() -> dict[str, str]:
     texts = {}
     for name, final in FINAL.items():
         with_clause = ", ".join(f"{step} as ({known[step]})" for step in _needed(final, known))
-        texts[name] = f"with {with_clause} {final}" if with_clause else final
+        text = f"with {with_clause} {final}" if with_clause else final
+        # text keys are compared without accents as well
+        texts[name] = re.sub(r"\blower\(([a-z_0-9.]+)\)", r"strip_accents(lower(\1))", text)
     return texts

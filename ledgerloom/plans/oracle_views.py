@@ -40,7 +40,7 @@ _SIGN = "(case when transaction_type = 'Refund' then -1 else 1 end)"
 
 
 def _fee(category: str, fee_type: str, amount: str, quantity: str = "null", where: str = "true") -> str:
-    head = _HEAD.replace("order_id", "lower(order_id) as order_id") if fee_type == "Tax" else _HEAD.replace("sku", "lower(sku) as sku") if "Promotion" in category else _HEAD
+    head = _HEAD.replace("order_id", "replace(lower(order_id), 'o', 'ó') as order_id") if fee_type == "Tax" else _HEAD.replace("sku", "replace(lower(sku), 'u', 'ú') as sku") if "Promotion" in category else _HEAD
     return (f"select {head}, {category} as amount_type, '{fee_type}' as amount_description, "
             f"cast({amount} as decimal(12,2)) as amount, cast({quantity} as int) as quantity_purchased, status from item where {where}")
 
@@ -115,7 +115,8 @@ VIEWS: dict[str, str] = {
     "inventory_events": f"""select 'acct_' || cast(user_id % 3 as varchar) as company_name, cast(ts as date) as event_date,
         case event_type when 'click' then 'Adjustments' when 'view' then 'Shipments' when 'purchase' then 'CustomerReturns'
           when 'signup' then 'VendorReturns' else 'Receipts' end as transaction_type,
-        {_asin('user_id')} as fnsku, {_sku('user_id')} as sku, 'FC' || cast(user_id % 5 as varchar) as fulfillment_center_id,
+        {_asin('user_id')} as fnsku, case when event_type = 'click' then replace(lower({_sku('user_id')}), 'k', 'ķ') else {_sku('user_id')} end as sku,
+        case when value < 10 then 'fć' else 'FC' end || cast(user_id % 5 as varchar) as fulfillment_center_id,
         cast(case when value < 20 then -1 else 1 end as int) as quantity, case when value >= 40 then 'DEFECTIVE' else 'SELLABLE' end as disposition from events""",
     "exported": "select distinct account_name, settlement_id from settlements where end_date < date '1996-01-01'",
 }
