@@ -23,7 +23,7 @@ def accents() -> tuple[str, str]:
     for code in range(0xC0, 0x2000):
         letter = chr(code).lower()
         first, *marks = unicodedata.normalize("NFD", letter)
-        if len(letter) == 1 and marks and all(unicodedata.category(m) == "Mn" for m in marks) and letter not in from_:
+        if len(letter) == 1 and marks and not unicodedata.combining(first) and all(unicodedata.category(m) == "Mn" for m in marks) and letter not in from_:
             from_.append(letter)
             to.append(first)
     return "".join(from_) + "".join(map(chr, range(0x300, 0x370))), "".join(to)

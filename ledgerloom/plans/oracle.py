@@ -371,6 +371,9 @@ FINAL: dict[str, str] = {
         from (select account_name, start_date + 1 as start_date, max(end_date) as last_day from settlements group by 1, 2) s) t""",
     "pending_settlements": f"""select distinct account_name, settlement_id, start_date, end_date from settlements s where status = 'POSTED' and {LOCAL_DAY} >= date '1995-06-01'
         and not exists (select 1 from exported e where e.account_name = s.account_name and e.settlement_id = s.settlement_id)""",
+    "pending_from_files": f"""select distinct account_name, settlement_id, start_date, end_date from settlements s where status = 'POSTED' and {LOCAL_DAY} >= date '1995-06-01'
+        and not exists (select 1 from exported e where e.account_name = s.account_name and e.settlement_id = s.settlement_id)""",
+    "exported_from_files": "select distinct account_name, settlement_id, start_date, end_date from settlements where end_date < date '1996-01-01'",
     "fee_reference_refresh": """select * from fee_reference union all
         select cast((select max(id) from fee_reference) + row_number() over (order by transaction_type, fee_category, fee_type) as int), *, '', '', '', '', '' from (
         select distinct transaction_type, coalesce(amount_type, '') as fee_category, coalesce(amount_description, '') as fee_type from settlements s
@@ -412,7 +415,7 @@ FINAL: dict[str, str] = {
     "recon_logic": "select * from logic_side",
     "recon_report": "select * from report",
     "reconcile_pending": "select * from report r where exists (select 1 from pending p where p.account_name = r.account_name and p.settlement_id = r.settlement_id)",
-    "reconciliation_shrinks": "select * from raw_side where settlement_id % 10 <> 2",
+    "reconciliation_shrinks": "select * replace (case when settlement_id % 3 > 0 then account_name end as account_name) from raw_side where settlement_id % 10 <> 2",
     "check_keyed_inputs": " union all ".join(
         f"select '{name}' as input, concat_ws('|', {', '.join(f"coalesce(lower(cast({k} as varchar)), '')" for k in keys)}) as key_text, count(*) as key_count "
         f"from {view} group by {', '.join(keys)} having count(*) > 1 or {' or '.join(f'{k} is null' for k in keys)}"

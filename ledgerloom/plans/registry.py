@@ -295,18 +295,37 @@ def _recon_report(j: Jobs) -> DataFrame:
     path, keys = new_dir(j.spark, "reconciliation"), ["account_name", "settlement_id"]
     for changed in (report, report.where("account_name = 'acct_1'")):
         sinks.replace_keys(changed, changed, path, keys)
-    return j.spark.read.schema(report.schema).parquet(path).select(*report.columns).orderBy("settlement_id", "type")
+    return sinks.read_keyed(j.spark, path, report.schema).orderBy("settlement_id", "type")
 
 
 @query("reconciliation_shrinks")
 def _reconciliation_shrinks(j: Jobs) -> DataFrame:
-    """Raw side stored per settlement; a second run in which settlements in pesos yield nothing removes their rows."""
-    raw = j.kept(j.recon_raw(), "raw-side")
+    """Raw side stored per settlement, some without an account; a second run in which settlements in pesos yield nothing removes their rows."""
+    account = F.when(F.col("settlement_id") % 3 > 0, F.col("account_name")).alias("account_name")
+    raw = j.recon_raw()
+    raw = j.kept(raw.select(*[account if c == "account_name" else c for c in raw.columns]), "raw-side")
     path, keys = new_dir(j.spark, "raw-side-stored"), ["account_name", "settlement_id"]
     pesos = raw.where("settlement_id % 10 = 2")
     for changed, touched in ((raw, raw), (pesos.where("false"), pesos)):
         sinks.replace_keys(changed, touched, path, keys)
-    return j.spark.read.schema(raw.schema).parquet(path).select(*raw.columns)
+    return sinks.read_keyed(j.spark, path, raw.schema)
+
+
+@query("pending_from_files")
+def _pending_from_files(j: Jobs) -> DataFrame:
+    """Pending settlements, the exported ones taken from the names of the files they were exported to."""
+    folder = new_dir(j.spark, "statements")
+    sinks.export_statements(j.data.settlements.where("end_date < date'1996-01-01'"), folder)
+    exported = feeds.exported_statements(j.spark, folder)
+    return ledger.pending_settlements(j.data.settlements, exported, _date(PENDING_FROM))
+
+
+@query("exported_from_files")
+def _exported_from_files(j: Jobs) -> DataFrame:
+    """Account, settlement and period of every settlement exported so far, from file names alone."""
+    folder = new_dir(j.spark, "statements")
+    sinks.export_statements(j.data.settlements.where("end_date < date'1996-01-01'").select("account_name", "settlement_id", "start_date", "end_date", "posted_date", "order_id", "sku"), folder)
+    return feeds.exported_statements(j.spark, folder)
 
 
 @query("check_keyed_inputs")

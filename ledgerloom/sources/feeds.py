@@ -236,6 +236,27 @@ def read_table(spark: SparkSession, source: str | dict[str, str]) -> DataFrame:
     return spark.read.format("jdbc").options(**source).load()
 
 
+# How the reference file of an exported settlement is named.
+STATEMENT_FILE = r"Settlements Data (\S+) - (\S+) (\S+) (\d+)\.csv"
+
+
+def exported_statements(spark: SparkSession, folder: str) -> DataFrame:
+    """(account_name, settlement_id, start_date, end_date) of the settlements that were exported to ``folder``.
+
+    The names of the files (or of the folders they lie in) are the done-marker; no file is opened, and the listing stays
+    distributed. Other files, and names that hold no settlement, are passed over. A folder that does not exist has none.
+    """
+    columns = "account_name string, settlement_id bigint, start_date date, end_date date"
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], columns)
+    # of this source's columns only the content would open the files
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select(F.replace("path", F.lit("%20"), F.lit(" ")).alias("path"))
+    part = [F.regexp_extract("path", STATEMENT_FILE, i) for i in range(1, 5)]
+    found = names.where(F.col("path").rlike(STATEMENT_FILE))
+    return found.select(part[2].alias("account_name"), part[3].cast("bigint").alias("settlement_id"), part[0].try_cast("date").alias("start_date"), part[1].try_cast("date").alias("end_date")).distinct()
+
+
 def union_store_codes(spark: SparkSession, sheets: dict[str, str]) -> DataFrame:
     """All sheets (store name -> CSV path) under each other, store name first, columns aligned by name."""
     frames = [

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ledgerloom.sources.feeds import CSV_WRITE
 
@@ -27,23 +27,30 @@ def replace_partitions(df: DataFrame, path: str, partitions: list[str]) -> None:
     )
 
 
+GONE = "_gone"
+
+
 def replace_keys(df: DataFrame, touched: DataFrame, path: str, keys: list[str]) -> None:
-    """Replaces the rows of all ``touched`` keys in a table partitioned by exactly these keys.
+    """Replaces the rows of all ``touched`` keys in a table partitioned by exactly these keys; ``read_keyed`` reads it.
 
-    A touched key without rows loses its partition. Only such keys come to the driver, one at a time, as names of
-    folders to remove.
+    A touched key without rows gets one row that only says so, in the same write as the others: all touched keys, also
+    null ones, are published by one commit of dynamic partitions, nothing is deleted afterwards and no key passes through
+    the driver. A job that fails before that commit leaves the old rows; running it again gives the new ones.
     """
-    spark, kept = df.sparkSession, df.persist()
-    replace_partitions(kept, path, keys)
-    gone = touched.select(*keys).distinct().join(kept.select(*keys).distinct(), keys, "left_anti")
-    jvm = spark._jvm
-    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for row in gone.select(*[F.col(k).cast("string") for k in keys]).toLocalIterator():
-        folder = jvm.org.apache.hadoop.fs.Path(path, "/".join(f"{k}={escape(row[k])}" for k in keys))
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    kept = df.withColumn(GONE, F.lit(False)).persist()
+    # Structs compare their nulls as equal.
+    key = F.struct(*[F.col(k).cast(df.schema[k].dataType).alias(k) for k in keys])
+    gone = touched.select(key.alias("_key")).distinct().join(kept.select(key.alias("_key")).distinct(), "_key", "left_anti")
+    rows = gone.select(*[F.col(f"_key.{k}").alias(k) if k in keys else F.lit(None).cast(df.schema[k].dataType).alias(k) for k in df.columns], F.lit(True).alias(GONE))
+    replace_partitions(kept.unionByName(rows), path, keys)
     kept.unpersist()
 
 
+def read_keyed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of a table that ``replace_keys`` keeps."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField(GONE, T.BooleanType())])).parquet(path).where(~F.col(GONE)).select(*schema.fieldNames())
+
+
 def _by_partition(df: DataFrame, partitions: list[str]) -> DataFrame:
     """One task per small partition, several for a large one."""
     return df.hint("rebalance", *[F.col(c) for c in partitions])
@@ -61,3 +68,14 @@ def export_partitioned(df: DataFrame, path: str, partitions: list[str], order: l
         _by_partition(df, partitions).sortWithinPartitions(*partitions, *order)
         .write.mode("overwrite").options(**CSV_WRITE).partitionBy(*partitions).csv(path)
     )
+
+
+def statement_file(start: Column, end: Column, account: Column, settlement: Column) -> Column:
+    """Name of the reference file of an exported settlement; ``exported_statements`` reads it back."""
+    return F.concat(F.lit("Settlements Data "), start.cast("string"), F.lit(" - "), end.cast("string"), F.lit(" "), account, F.lit(" "), settlement.cast("string"), F.lit(".csv"))
+
+
+def export_statements(lines: DataFrame, path: str) -> None:
+    """The lines of each settlement below a folder named after account, period and settlement."""
+    name = statement_file(F.col("start_date"), F.col("end_date"), F.col("account_name"), F.col("settlement_id"))
+    export_partitioned(lines.withColumn("file", name), path, ["file"], ["posted_date", "order_id", "sku"])

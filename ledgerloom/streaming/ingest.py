@@ -47,7 +47,7 @@ def refresh_settlements(
     A settlement may arrive in several files, so a batch only tells which settlements to redo; their
     lines are read from the landing table, of which only the partitions of these settlements are opened where it is
     partitioned by ``landed_by``. The target is partitioned by ``keys``: rows the job no longer yields disappear with
-    the old partition, and a repeated batch changes nothing.
+    the old partition, and a repeated batch changes nothing. ``read_keyed`` reads the target.
     """
 
     def redo(batch: DataFrame, _: int) -> None:

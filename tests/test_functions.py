@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import local_day
 from ledgerloom.functions.money import half_up_ratio
-from ledgerloom.functions.numbering import number_within, rank_copies
+from ledgerloom.functions.numbering import number_sorted, number_within, rank_copies
 from ledgerloom.functions.sizing import join_dimension, unique
-from ledgerloom.functions.text import digit_run, drop_first, fold, nonzero_number
+from ledgerloom.functions.text import digit_run, drop_first, fold, folded, nonzero_number
 
 
 def test_ratio_rounds_once_half_away_from_zero(spark):
@@ -98,3 +98,44 @@ def test_repeated_keys_fail_with_their_value(spark):
     assert sorted(map(tuple, unique(df, ["k"], "rates").collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
     with pytest.raises(Exception, match="rates: more than one row for k, v = 2, b"):
         unique(df.unionByName(df.where("k = 2")), ["k", "v"], "rates").collect()
+
+
+def test_fold_drops_case_and_accents_as_the_sql_does(spark):
+    import duckdb
+
+    texts = [chr(c) for c in (*range(0x20, 0x250), *range(0x300, 0x370), *range(0x1E00, 0x1F00)) if chr(c).isprintable()] + ["Principal", "PRÍNCIPAL", "e\u0301te", "ÅÄÖ", "İ", "ß", "ǅ", "Ắ", "ḯ", ""]
+    ours = [r["f"] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", fold("t").alias("f")).orderBy("i").collect()]
+    assert ours == [folded(t) for t in texts]
+    theirs = [duckdb.execute("select strip_accents(lower(?))", [t]).fetchone()[0] for t in texts]
+    differ = [(t, a, b) for t, a, b in zip(texts, ours, theirs) if a != b]
+    # Latin letters; the libraries lower the capital I with a dot differently
+    assert [t for t, *_ in differ if t not in "İ"] == []
+    assert len({folded(t) for t in ("Éte", "ete", "ÈTÉ", "e\u0301te")}) == 1
+
+
+def test_numbers_of_one_hot_key_come_from_many_tasks(spark):
+    """A settlement whose lines all have one time and no order, beside small ones and null keys."""
+    rng = random.Random(7)
+    rows = [("hot", 1, "t", "", rng.randint(1, 10**6)) for _ in range(6000)] + [(rng.choice(["a", None]), rng.randint(1, 3), "t", "", i) for i in range(200)]
+    df = spark.createDataFrame(rows, "account string, settlement int, at string, order_id string, amount int").repartition(5)
+    # adaptive execution would merge what is so small
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    made = number_sorted(df, ["at", "order_id", "amount"], ["account", "settlement"])
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = made.collect()
+    groups = defaultdict(list)
+    for r in got:
+        groups[(r["account"], r["settlement"])].append((r["id"], r["amount"]))
+    for key, numbered in groups.items():
+        assert [n for n, _ in sorted(numbered)] == list(range(1, len(numbered) + 1))
+        assert [a for _, a in sorted(numbered)] == sorted(a for _, a in numbered)
+    assert Counter((r["account"], r["settlement"], r["amount"]) for r in got) == Counter((a, s, n) for a, s, _, _, n in rows)
+    stored = spark.read.parquet(made.inputFiles()[0].rsplit("/", 1)[0])
+    tasks = stored.where("account = 'hot'").groupBy("_task").count().collect()
+    assert len(tasks) >= 2 and max(t["count"] for t in tasks) < 6000
+
+
+def test_numbers_of_a_whole_table_and_of_none(spark):
+    df = spark.range(1000).selectExpr("id * 7919 % 1009 as v")
+    assert sorted((r["id"], r["v"]) for r in number_sorted(df, ["v"]).collect()) == list(enumerate(sorted(r["v"] for r in df.collect()), 1))
+    assert number_sorted(df.where("v < 0"), ["v"], ["v"]).count() == 0

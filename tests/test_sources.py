@@ -47,7 +47,7 @@ def test_late_lines_redo_their_settlement_only(spark, tmp_path):
         refresh_settlements(
             spark, landing, schema, target, state2, lambda lines: lines.groupBy("settlement_id").agg(F.sum("amount").alias("total")),
             ["settlement_id"])
-    assert sorted((r["settlement_id"], r["total"]) for r in spark.read.parquet(target).collect()) == [(1, 11), (2, 7)]
+    assert sorted((r["settlement_id"], r["total"]) for r in spark.read.parquet(target).where('not _gone').collect()) == [(1, 11), (2, 7)]
 
 
 def test_partition_export_writes_no_file_for_empty_groups(spark, tmp_path):
@@ -177,7 +177,7 @@ def test_shrinking_settlement_leaves_nothing_behind(spark, tmp_path):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").options(**feeds.CSV_WRITE).csv(incoming)
         ingest_new_files(spark, incoming, schema, landing, state, partitions=["settlement_id"])
         refresh_settlements(spark, landing, schema, target, state2, job, ["settlement_id"], landed_by="settlement_id")
-    assert sorted((r["settlement_id"], r["currency"], r["total"]) for r in spark.read.parquet(target).collect()) == [(1, "USD", 5), (3, "USD", 1)]
+    assert sorted((r["settlement_id"], r["currency"], r["total"]) for r in spark.read.parquet(target).where('not _gone').collect()) == [(1, "USD", 5), (3, "USD", 1)]
 
 
 def test_a_feed_with_rejects_fails_unless_allowed(spark, tmp_path):
@@ -209,3 +209,38 @@ def test_a_feed_of_a_header_alone_is_empty(spark, tmp_path):
     (tmp_path / "rates.csv").write_text("settlement_id,exchange_value\n")
     feed = feeds.load_feed(spark, str(tmp_path / "rates.csv"), feeds.FX_SCHEMA)
     assert feed.rows.count() == 0 and feed.rejects.count() == 0 and feed.counts["rows"] == 0
+
+
+def test_replaced_keys_lose_their_rows_also_null_ones(spark, tmp_path):
+    schema = "k string, n bigint, v string"
+    rows = lambda *r: spark.createDataFrame(list(r), schema)
+    path, keys = str(tmp_path / "table"), ["k", "n"]
+    first = rows(("a", 1, "x"), ("a", 1, "y"), ("b", 2, "z"), (None, 3, "p"), (None, None, "q"), ("a/b =", 4, "r"))
+    sinks.replace_keys(first, first, path, keys)
+    read = lambda: sorted(map(tuple, sinks.read_keyed(spark, path, first.schema).collect()), key=str)
+    assert read() == sorted(map(tuple, first.collect()), key=str)
+    for _ in range(2):
+        # null keys and one with odd characters get no rows any more, one key gets other rows, one is not touched
+        sinks.replace_keys(rows(("a", 1, "w")), rows(("a", 1, ""), (None, 3, ""), (None, None, ""), ("a/b =", 4, ""), ("new", 9, "")), path, keys)
+        assert read() == [("a", 1, "w"), ("b", 2, "z")]
+    sinks.replace_keys(rows((None, 3, "back")), rows((None, 3, "")), path, keys)
+    assert read() == sorted([("a", 1, "w"), ("b", 2, "z"), (None, 3, "back")], key=str)
+
+
+def test_a_job_that_fails_leaves_the_old_rows(spark, tmp_path):
+    schema = "k string, v int"
+    path = str(tmp_path / "table")
+    first = spark.createDataFrame([("a", 1), ("b", 2)], schema)
+    sinks.replace_keys(first, first, path, ["k"])
+    broken = first.select("k", F.when(F.col("k") == "b", F.raise_error(F.lit("no")).cast("int")).otherwise(F.lit(7)).alias("v"))
+    with pytest.raises(Exception, match="no"):
+        sinks.replace_keys(broken, first, path, ["k"])
+    assert sorted(map(tuple, sinks.read_keyed(spark, path, first.schema).collect())) == [("a", 1), ("b", 2)]
+
+
+def test_exported_settlements_are_known_by_their_file_names(spark, tmp_path):
+    for name in ("Settlements Data 2021-01-01 - 2021-01-14 acct_0 77.csv", "Settlements Data 2021-01-01 - 2021-01-14 acct_1 78.csv", "desktop.ini", "Settlements Data acct_0.csv"):
+        (tmp_path / name).write_text("x\n")
+    found = {tuple(map(str, r)) for r in feeds.exported_statements(spark, str(tmp_path)).collect()}
+    assert found == {("acct_0", "77", "2021-01-01", "2021-01-14"), ("acct_1", "78", "2021-01-01", "2021-01-14")}
+    assert feeds.exported_statements(spark, str(tmp_path / "missing")).count() == 0
