@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 TEXT_WIDTHS = ((256, "TEXT"), (100, "VARCHAR(255)"), (50, "VARCHAR(100)"), (25, "VARCHAR(50)"), (15, "VARCHAR(25)"), (10, "VARCHAR(15)"), (5, "VARCHAR(10)"))
 NARROWEST_TEXT = "VARCHAR(5)"
 BIGINT_CHARS = 10
+#: Digits and sign of the longest whole number a BIGINT, and of the longest number a NUMERIC, can hold for sure.
+BIGINT_LAST, NUMERIC_LAST = 19, 38
+#: How the measures of a column state merge.
+SUMS, MAXIMA = ["nulls", "texts", "fractions", "nonzero", "times"], ["chars", "whole", "depth", "printed"]
 
 NUMBER_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
@@ -18,41 +22,58 @@ def _name(column: str) -> Column:
     return F.col(f"`{column}`")
 
 
-def _printed(number: Column) -> dict[str, Column]:
-    """Measures of a decimal as it prints: digits (and sign) before the point, digits after it without trailing zeros (one at least), both."""
-    text = number.cast("string")
-    whole = F.octet_length(F.substring_index(text, ".", 1))
-    fraction = F.greatest(F.octet_length(F.rtrim(F.regexp_extract(text, r"\.([0-9]*)$", 1), F.lit("0"))), F.lit(1))
+def _printed(number: Column, wide: Column, text: Column) -> dict[str, Column]:
+    """Measures of numbers as they print: digits (and sign) before the point, digits after it without trailing zeros (one at least), both.
+
+    ``number`` is a decimal. ``wide`` marks the numbers that no decimal holds; these are measured on their ``text``, by
+    its digits, or by its magnitude where it has an exponent.
+    """
+    shown = number.cast("string")
+    fraction = F.octet_length(F.rtrim(F.regexp_extract(shown, r"\.([0-9]*)$", 1), F.lit("0")))
+    plain = F.trim(text)
+    exponent = plain.rlike("[eE]")
+    sign = F.when(plain.startswith("-"), 1).otherwise(0)
+    magnitude = F.floor(F.log10(F.abs(plain.try_cast("double")))).cast("int") + 1
+    wide_whole = sign + F.when(exponent, magnitude).otherwise(F.octet_length(F.regexp_extract(plain, r"^[+-]?0*([0-9]*)", 1)))
+    wide_fraction = F.when(exponent, 0).otherwise(F.octet_length(F.rtrim(F.regexp_extract(plain, r"\.([0-9]*)$", 1), F.lit("0"))))
+    whole = F.when(wide, wide_whole).otherwise(F.octet_length(F.substring_index(shown, ".", 1)))
+    digits = F.when(wide, wide_fraction).otherwise(fraction)
     return {
-        "whole": F.max(whole), "depth": F.max(fraction), "printed": F.max(whole + 1 + fraction),
-        "fractions": F.count_if(number != F.floor(number)), "nonzero": F.count_if(number != 0),
+        "whole": F.max(whole), "depth": F.max(F.greatest(digits, F.lit(1))), "printed": F.max(whole + 1 + F.greatest(digits, F.lit(1))),
+        "fractions": F.count_if(digits > 0), "nonzero": F.count_if(wide | (number != 0)),
     }
 
 
 def _number(field: T.StructField) -> Column:
-    """The number a text spells, null for any other text."""
+    """The number a text spells, null for any other text and for numbers of more than 28 digits before the point."""
     text = _name(field.name)
     return F.when(text.rlike(NUMBER_TEXT), F.trim(text).try_cast("decimal(38,10)"))
 
 
 def _measures(field: T.StructField, number: Column) -> dict[str, Column]:
-    """Aggregates one column needs: every measure is a long, so all columns share one aggregation."""
+    """Aggregates one column needs. Every measure is a long, a sum or a maximum, so all columns share one aggregation and states merge."""
     value = _name(field.name)
     kind = field.dataType
     none = F.lit(None).cast("bigint")
     text = value.cast("string")
-    measures = {"nulls": F.count_if(value.isNull()), "chars": none, "texts": none, "fractions": none, "whole": none, "depth": none, "printed": none, "times": none, "nonzero": none}
+    measures = {"nulls": F.count_if(value.isNull()), **dict.fromkeys(MAXIMA + [m for m in SUMS if m != "nulls"], none)}
     if isinstance(kind, T.StringType):
         # Most columns are no numbers: one pattern decides, the others are only tried on numbers.
         blank = value.isNull() | F.lower(text).isin("nan")
+        wide = F.coalesce(number.isNull() & text.rlike(NUMBER_TEXT) & (F.abs(F.trim(text).try_cast("double")) < float("inf")), F.lit(False))
         measures |= {
             # An unknown value prints as "None", four characters.
             "chars": F.max(F.when(value.isNull(), F.lit(4)).otherwise(F.char_length(text))),
-            "texts": F.count_if(~blank & number.isNull()),
-            **_printed(number),
+            "texts": F.count_if(~blank & number.isNull() & ~wide),
+            **_printed(number, wide, text),
         }
-    elif isinstance(kind, (T.DecimalType, T.DoubleType, T.FloatType)):
-        measures |= _printed(value.cast("decimal(38,6)"))
+    elif isinstance(kind, T.DecimalType):
+        measures |= _printed(value, F.lit(False), text)
+    elif isinstance(kind, (T.DoubleType, T.FloatType)):
+        # NaN stands for no value.
+        known = F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+        number = known.try_cast("decimal(38,6)")
+        measures |= {"nulls": F.count_if(value.isNull() | F.isnan(value)), **_printed(number, known.isNotNull() & number.isNull(), text)}
     elif isinstance(kind, T.IntegralType):
         measures |= {"whole": F.max(F.char_length(text)), "nonzero": F.count_if(value != 0), "fractions": F.lit(0).cast("bigint")}
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
@@ -80,12 +101,8 @@ def _text_type(chars: Column) -> Column:
     return _when([(chars >= n, F.lit(name)) for n, name in TEXT_WIDTHS], F.lit(NARROWEST_TEXT))
 
 
-def profile_column_types(df: DataFrame) -> DataFrame:
-    """One row per column with the type a table should give it, from one aggregation over the data.
-
-    Texts that are all numbers become numbers. Numbers without a fraction become INTEGER, or BIGINT
-    from ten characters on; others NUMERIC by the longest number as it prints and by depth. Timestamps without a time part are dates.
-    """
+def profile_state(df: DataFrame) -> DataFrame:
+    """What the profile of ``df`` is made of, one row per column, from one aggregation; states of parts merge to that of the whole."""
     fields = list(enumerate(df.schema.fields))
     measured = [(i, f, _measures(f, F.col(f"_number_{i}"))) for i, f in fields]
     # Each text is parsed once, before its measures are taken.
@@ -94,7 +111,34 @@ def profile_column_types(df: DataFrame) -> DataFrame:
         F.struct(F.lit(i + 1).alias("position"), F.lit(f.name).alias("column_name"), F.lit(_family(f.dataType)).alias("family"), F.col(f"c{i}").alias("m"))
         for i, f, _ in measured
     ])
-    profile = row.select(F.inline(rows)).select("position", "column_name", "family", "m.*")
+    return row.select(F.inline(rows)).select("position", "column_name", "family", *[f"m.{m}" for m in SUMS + MAXIMA])
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """States of parts (files, days, deliveries) of a table as the state of all of it; new parts need no scan of the old ones.
+
+    A column whose parts have different families fails the merge with its name.
+    """
+    families = F.concat(F.lit("a column of different types: "), F.col("column_name"))
+    merged = states.groupBy("column_name").agg(
+        F.min("position").alias("position"), F.min("family").alias("family"), F.max("family").alias("_other"),
+        *[F.sum(m).alias(m) for m in SUMS], *[F.max(m).alias(m) for m in MAXIMA])
+    family = F.when(F.col("family") == F.col("_other"), F.col("family")).otherwise(F.raise_error(families))
+    return merged.select("position", "column_name", family.alias("family"), *SUMS, *MAXIMA)
+
+
+def profile_column_types(df: DataFrame) -> DataFrame:
+    """One row per column with the type a table should give it, from one aggregation over the data."""
+    return profile_types(profile_state(df))
+
+
+def profile_types(profile: DataFrame) -> DataFrame:
+    """The type each column of a state should have.
+
+    Texts that are all numbers become numbers. Numbers without a fraction become INTEGER, or BIGINT from ten characters
+    on, or NUMERIC where a BIGINT is too short; others NUMERIC by the longest number as it prints and by depth. What no
+    NUMERIC holds is DOUBLE, or stays text. Timestamps without a time part are dates.
+    """
     numeric_text = (F.col("family") == "text") & (F.col("texts") == 0)
     is_number = (F.col("family") == "number") | numeric_text
     whole = F.greatest(F.col("whole"), F.lit(1))
@@ -104,6 +148,8 @@ def profile_column_types(df: DataFrame) -> DataFrame:
     precision = F.when(length <= 10, F.lit("12")).when(length <= 20, F.lit("20")).otherwise(F.lit("38"))
     target = _when(
         [
+            (numeric_text & (length > NUMERIC_LAST), _text_type(F.col("chars"))), (is_number & (length > NUMERIC_LAST), F.lit("DOUBLE")),
+            (is_number & ~fractional & (length > BIGINT_LAST), F.lit("NUMERIC(38,2)")),
             (fractional, F.concat(F.lit("NUMERIC("), precision, F.lit(","), scale, F.lit(")"))),
             (is_number & (length >= BIGINT_CHARS), F.lit("BIGINT")), (is_number, F.lit("INTEGER")),
             (F.col("family") == "bool", F.lit("BOOLEAN")), (F.col("family") == "date", F.lit("DATE")),

@@ -507,6 +507,11 @@ FINAL: dict[str, str] = {
     # quality
     "profile_column_types": "select * from profiled",
     "profile_number_texts": "select * from number_profile",
+    "profile_merged": "select * from profiled",
+    "profile_wide_numbers": """select unnest([1, 2, 3, 4, 5, 6]) as position, unnest(['thirty_digits', 'huge', 'huge_text', 'wide_fraction', 'too_wide', 'halves']) as column_name,
+        unnest(['NUMERIC(38,2)', 'DOUBLE', 'VARCHAR(10)', 'NUMERIC(38,2)', 'VARCHAR(50)', 'NUMERIC(12,2)']) as target_type,
+        unnest([31, digits + 40, digits + 40, 33, 45, 3]) as max_length, unnest([0, 0, 0, 0, 0, evens]) as null_count, false as zero_or_null
+        from (select max(length(cast(p_partkey as varchar))) as digits, count(*) filter (p_partkey % 2 = 0) as evens from part)""",
     "schema_missing_columns": f"""select column_name, case when target_type like 'NUMERIC%' then replace(target_type, 'NUMERIC', 'FLOAT') when target_type = 'INTEGER' then 'INT'
         when target_type = 'DATETIME' then 'DATE' when target_type = 'BOOLEAN' then 'BOOL' else target_type end as ddl_type
         from profiled where column_name not in ({', '.join(f"'{c}'" for c in STATEMENT_NAMES)})""",

@@ -274,6 +274,13 @@ _register({
         "case p_partkey % 3 when 0 then '.5' when 1 then '1e3' else ' 7' end as spellings", "case p_partkey % 2 when 0 then '12345.6' else '1.2345' end as mixed",
         "case when p_partkey % 50 = 1 then '12345678901234567890.5' else '1' end as long_number", "'007' as padded",
         "case p_partkey % 2 when 0 then '-3.10' else '2' end as signed", "case when p_partkey % 4 = 0 then 'x1' else cast(p_partkey as string) end as words")),
+    "profile_wide_numbers": lambda j: quality.profile_column_types(j.data.table("part").selectExpr(
+        "concat('1234567890123456789012345', lpad(cast(p_partkey as string), 6, '0')) as thirty_digits", "cast(p_partkey as double) * 1e40 as huge",
+        "concat(cast(p_partkey as string), 'e40') as huge_text", "concat('-', repeat('9', 29), '.25') as wide_fraction", "repeat('7', 45) as too_wide",
+        "case when p_partkey % 2 = 0 then double('NaN') else 0.5D end as halves")),
+    # one state per currency, as if they were deliveries, and their merge
+    "profile_merged": lambda j: quality.profile_types(quality.merge_states(reduce(DataFrame.unionByName, [
+        quality.profile_state(j.data.settlements.where(F.col("currency") == c)) for c in ("USD", "CAD", "MXN")]))),
     "profile_column_types": lambda j: quality.profile_column_types(j.data.settlements),
     "schema_missing_columns": lambda j: quality.schema_missing_columns(
         quality.profile_column_types(j.data.settlements), quality.profile_column_types(j.data.statements)),
@@ -485,18 +492,9 @@ def _union_store_codes(j: Jobs) -> DataFrame:
     folder = new_dir(j.spark, "stores")
     customers = j.data.table("customer").selectExpr(
         "c_mktsegment as store", "cast(c_custkey as string) as code", "c_name as name", "cast(c_nationkey as string) as region")
-    # One scan writes the sheets of all segments, whatever segments there are.
-    sinks.export_partitioned(customers, f"{folder}/sheets", ["store"], ["code"])
-    stores = [r["store"] for r in customers.select("store").distinct().collect()]
-    sheets = {}
-    for store in stores:
-        sheet = j.spark.read.options(**feeds.CSV_READ).csv(f"{folder}/sheets/store={store}")
-        lacking = {"AUTOMOBILE": "region", "BUILDING": "name"}.get(store)
-        sheets[store] = f"{folder}/sheets/store={store}"
-        if lacking:
-            sheets[store] = f"{folder}/{store}.csv"
-            sinks.export_csv(sheet.drop(lacking), sheets[store])
-    return feeds.union_store_codes(j.spark, sheets)
+    for lacking, sheets in (("region", "store = 'AUTOMOBILE'"), ("name", "store = 'BUILDING'"), ("", "store not in ('AUTOMOBILE', 'BUILDING')")):
+        sinks.export_partitioned(customers.where(sheets).drop(lacking), f"{folder}/{lacking or 'all'}", ["store"], ["code"])
+    return feeds.union_sheets(j.spark, folder, ["code", "name", "region"], F.regexp_extract("path", "store=([^/]+)/", 1))
 
 
 @query("ingest_new_files")

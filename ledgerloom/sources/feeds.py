@@ -258,8 +258,33 @@ def exported_statements(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def union_store_codes(spark: SparkSession, sheets: dict[str, str]) -> DataFrame:
-    """All sheets (store name -> CSV path) under each other, store name first, columns aligned by name."""
+    """A few named sheets (store name -> CSV path) under each other, store name first, columns aligned by name; ``union_sheets`` takes any number."""
     frames = [
         spark.read.options(**CSV_READ).csv(path).select(F.lit(store).alias("store"), "*") for store, path in sheets.items()
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def union_sheets(spark: SparkSession, folder: str, columns: list[str], store: Column | None = None, max_columns: int = 64) -> DataFrame:
+    """All sheets below ``folder`` under each other: the store, then ``columns`` by the names in each sheet's own header, null where it has none.
+
+    One scan reads the values of all sheets by position, whatever their headers; the first line of every sheet, from a
+    scan of their beginnings, says which position a name has there. Nothing comes to the driver and no sheet is named in
+    the code. ``store`` is taken from the column ``path``, by default the name of the file. A header of more than
+    ``max_columns`` names fails the read.
+    """
+    folders = {**CSV_READ, "multiLine": "false", "recursiveFileLookup": "true"}
+    path = F.replace(F.col("_metadata.file_path"), F.lit("%20"), F.lit(" ")).alias("path")
+    generic = [f"_c{i}" for i in range(max_columns + 1)]
+    schema = ", ".join(f"{c} string" for c in generic)
+    lines = spark.read.option("recursiveFileLookup", "true").text(folder).where("_metadata.file_block_start = 0")
+    first = lines.select(path, "value", F.monotonically_increasing_id().alias("_at")).groupBy("path").agg(F.min_by("value", "_at").alias("_header"))
+    header = first.withColumn("_names", F.from_csv("_header", F.lit(schema), {"quote": '"', "escape": '"'})).withColumn("_names", F.array(*[F.lower(F.trim(f"_names.{c}")) for c in generic]))
+    wide = F.raise_error(F.concat(F.lit(f"more than {max_columns} columns in "), F.col("path")))
+    header = header.select("path", F.when(F.get("_names", F.lit(max_columns)).isNotNull(), wide).otherwise(F.col("_names")).alias("_names"))
+    # the reader drops the first line of every file
+    rows = spark.read.schema(schema).options(**folders | {"enforceSchema": "true"}).csv(folder).select(path, F.array(*generic).alias("_values"))
+    joined = rows.join(header, "path")
+    place = [F.array_position("_names", F.lit(c.lower())) for c in columns]
+    named = F.regexp_extract("path", r"([^/]+?)(\.csv)?$", 1) if store is None else store
+    return joined.select(named.alias("store"), *[F.when(at > 0, F.get("_values", at.cast("int") - 1)).alias(c) for at, c in zip(place, columns)])

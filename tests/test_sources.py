@@ -244,3 +244,30 @@ def test_exported_settlements_are_known_by_their_file_names(spark, tmp_path):
     found = {tuple(map(str, r)) for r in feeds.exported_statements(spark, str(tmp_path)).collect()}
     assert found == {("acct_0", "77", "2021-01-01", "2021-01-14"), ("acct_1", "78", "2021-01-01", "2021-01-14")}
     assert feeds.exported_statements(spark, str(tmp_path / "missing")).count() == 0
+
+
+def test_sheets_with_unlike_headers_are_read_by_name(spark, tmp_path):
+    (tmp_path / "North 1.csv").write_text('Code,Name\n1,"a, b"\n2,\n')
+    (tmp_path / "South.csv").write_text("City , CODE\nx,3\n")
+    (tmp_path / "Empty.csv").write_text("Code,Name\n")
+    df = feeds.union_sheets(spark, str(tmp_path), ["code", "name", "city"])
+    assert sorted(map(tuple, df.collect()), key=str) == [("North 1", "1", "a, b", None), ("North 1", "2", None, None), ("South", "3", None, "x")]
+    with pytest.raises(Exception, match="more than 1 columns"):
+        feeds.union_sheets(spark, str(tmp_path), ["code"], max_columns=1).collect()
+
+
+def test_profile_of_numbers_no_decimal_holds(spark):
+    df = spark.createDataFrame([(1e40, "123456789012345678901234567890", "1e400", 0.5), (float("nan"), "1", "2", -1e300), (None, None, None, 2.0)], "a double, b string, c string, d double")
+    got = {r["column_name"]: (r["target_type"], r["max_length"], r["null_count"]) for r in quality.profile_column_types(df).collect()}
+    # 1e400 is no number that anything here holds, so its column stays text
+    assert got == {"a": ("DOUBLE", 41, 2), "b": ("NUMERIC(38,2)", 30, 1), "c": ("VARCHAR(10)", 5, 1), "d": ("DOUBLE", 304, 0)}
+
+
+def test_profile_states_merge(spark):
+    rows = [(str(i) if i % 3 else "x" * i, i * 0.25, None if i % 4 else i) for i in range(40)]
+    df = spark.createDataFrame(rows, "a string, b double, c int")
+    parts = [quality.profile_state(df.where(f"b % 3 {op}")) for op in ("< 1", "between 1 and 1.99", ">= 2")]
+    merged = quality.profile_types(quality.merge_states(parts[0].unionByName(parts[1]).unionByName(parts[2])))
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, quality.profile_column_types(df).collect()))
+    with pytest.raises(Exception, match="different types"):
+        quality.merge_states(quality.profile_state(df).unionByName(quality.profile_state(df.selectExpr("cast(b as string) as b")))).collect()
