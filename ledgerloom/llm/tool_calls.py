@@ -8,11 +8,13 @@ an ancestor after that many rounds hang on a cycle. Arguments are parsed as vari
 sorted, so writing them again is canonical; they are validated field by field against the tool's schema.
 
 Cases: exact repeats of a call are one call; other calls with an id used before in the conversation are
-``duplicate_call`` (the first by turn, name, arguments and parent is the call); of several results of a call the first
-by turn and content counts; a result without a call is ``orphan_result``; a call without an id is ``no_id`` and links to
-nothing; a parent that is no call leaves the call at depth 0; a null conversation is one conversation; empty tables
-give no rows; other columns are not read. The status is the first that applies of: no_id, duplicate_call, cycle,
-unknown_tool, invalid_arguments, missing_result, ok.
+``duplicate_call`` (the first by turn, name, arguments and parent is the call); exact repeats of a result are one result; of several results
+with an id the first by turn and content counts and the others are rows of their own, ``repeated_result``; a first result
+without a call is ``orphan_result``; a result without an id is ``result_without_id``; a call without an id is ``no_id``;
+neither links to anything; a parent that is no call leaves the call at depth 0; a null conversation is one conversation;
+empty tables give no rows; other columns are not read. The status of a call is the first that applies of: no_id,
+duplicate_call, cycle, unknown_tool, invalid_arguments, missing_result, ok. So every call and every result is in the
+output: as a row, or as the result of the one call that it answers.
 """
 
 from __future__ import annotations
@@ -63,7 +65,7 @@ def depths(calls: DataFrame) -> DataFrame:
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
-    """(conv_id, call_id, turn, depth, status, message) of every call and every orphan result.
+    """(conv_id, call_id, turn, depth, status, message) of every call and of every result that no call takes up.
 
     ``calls``: conv_id, turn, call_id, parent_id, name, arguments (JSON text). ``results``: conv_id, turn, call_id,
     content. ``message`` is one JSON object with sorted keys and no white space; fields without a value are left out.
@@ -75,21 +77,29 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
     marked = written(marked.select(*called.columns, F.coalesce(body.eqNullSafe(F.col("first")) & F.col("call_id").isNotNull(), F.lit(False)).alias("leads")), "tool-calls")
     placed = depths(marked.where("leads").select("conv", "call_id", "parent_id")).select(F.col("conv").alias("d_conv"), F.col("call_id").alias("d_id"), "depth")
 
-    answer = results.where("call_id is not null").select("conv_id", id_key("conv_id").alias("r_conv"), F.col("call_id").alias("r_id"), "turn", "content")
-    answers = answer.groupBy("r_conv", "r_id").agg(F.min(F.struct("turn", "content")).alias("answer"), F.min("conv_id").alias("r_conv_id"))
+    said = results.select("conv_id", id_key("conv_id").alias("r_conv"), F.col("call_id").alias("r_id"), "turn", "content").distinct()
+    said = written(said, "tool-results")
+    answer = F.struct("turn", "content")
+    answers = said.where("r_id is not null").groupBy("r_conv", "r_id").agg(F.min(answer).alias("answer"))
     whole = marked.join(placed, F.col("leads") & (F.col("conv") == F.col("d_conv")) & (F.col("call_id") == F.col("d_id")), "left")
-    whole = whole.join(answers.drop("r_conv_id"), F.col("leads") & (F.col("conv") == F.col("r_conv")) & (F.col("call_id") == F.col("r_id")), "left")
+    whole = whole.join(answers, F.col("leads") & (F.col("conv") == F.col("r_conv")) & (F.col("call_id") == F.col("r_id")), "left")
     broken = violations(F.col("name"), F.col("arguments"), schemas)
     status = (
         F.when(F.col("call_id").isNull(), "no_id").when(~F.col("leads"), "duplicate_call").when(F.col("depth").isNull(), "cycle")
         .when(broken.isNull(), "unknown_tool").when(broken > 0, "invalid_arguments").when(F.col("answer").isNull(), "missing_result").otherwise("ok")
     )
     judged = whole.select("conv_id", "call_id", "turn", F.coalesce("depth", F.lit(0).cast("bigint")).alias("depth"), "parent_id", "name", "arguments", F.col("answer.content").alias("result"), status.alias("status"))
-    orphans = answers.join(marked.where("leads").select("conv", "call_id"), (F.col("r_conv") == F.col("conv")) & (F.col("r_id") == F.col("call_id")), "left_anti")
-    lost = orphans.select(
-        F.col("r_conv_id").alias("conv_id"), F.col("r_id").alias("call_id"), F.col("answer.turn").alias("turn"), F.lit(0).cast("bigint").alias("depth"),
-        F.lit(None).cast("string").alias("parent_id"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("arguments"),
-        F.col("answer.content").alias("result"), F.lit("orphan_result").alias("status"),
+    first = answers.select(F.col("r_conv").alias("f_conv"), F.col("r_id").alias("f_id"), "answer")
+    asked = marked.where("leads").select("conv", "call_id")
+    identified = said.where("r_id is not null").join(first, (F.col("r_conv") == F.col("f_conv")) & (F.col("r_id") == F.col("f_id")))
+    identified = identified.join(asked, (F.col("r_conv") == F.col("conv")) & (F.col("r_id") == F.col("call_id")), "left")
+    kind = F.when(~answer.eqNullSafe(F.col("answer")), "repeated_result").when(F.col("call_id").isNull(), "orphan_result")
+    identified = identified.select(*said.columns, kind.alias("status")).where("status is not null")
+    unlinked = identified.unionByName(said.where("r_id is null").withColumn("status", F.lit("result_without_id")))
+    nothing = F.lit(None).cast("string")
+    lost = unlinked.select(
+        "conv_id", F.col("r_id").alias("call_id"), "turn", F.lit(0).cast("bigint").alias("depth"), nothing.alias("parent_id"),
+        nothing.alias("name"), nothing.alias("arguments"), F.col("content").alias("result"), "status",
     )
     message = F.to_json(F.struct(
         F.call_function("try_parse_json", F.col("arguments")).alias("arguments"), F.col("call_id").alias("call_id"), F.col("name").alias("name"),
@@ -137,15 +147,17 @@ depths as (with recursive d as (
     select conv_id, call_id, 0::bigint as depth from ranked r where leads and not exists (select 1 from ranked p where p.leads and p.conv_id = r.conv_id and p.call_id = r.parent_id)
     union all select r.conv_id, r.call_id, d.depth + 1 from ranked r join d on r.conv_id = d.conv_id and r.parent_id = d.call_id where r.leads)
   select * from d),
-results as (select conv_id, 'c' || conv_id || '-' || (turn - 1) as call_id, min(turn) as turn, arg_min(text, row(turn, text)) as content from conversations where role = 'user' group by 1, 2),
+said as (select distinct conv_id, 'c' || conv_id || '-' || (turn - 1) as call_id, turn, text as content from conversations where role = 'user'),
+numbered as (select *, row_number() over (partition by conv_id, call_id order by turn nulls first, content nulls first) as nth from said),
+results as (select * from numbered where nth = 1 and call_id is not null),
 judged as (select r.conv_id, r.call_id, r.turn, coalesce(d.depth, 0) as depth, r.parent_id, r.name,
     '{"limit":' || case when bad then '"many"' else cast(r.turn as varchar) end || ',"text":' || cast(to_json(r.text) as varchar) || '}' as arguments,
     case when leads then s.content end as result,
     case when not leads then 'duplicate_call' when r.name = 'browse' then 'unknown_tool' when bad then 'invalid_arguments' when s.call_id is null then 'missing_result' else 'ok' end as status
   from ranked r left join depths d on r.leads and r.conv_id = d.conv_id and r.call_id = d.call_id
   left join results s on r.leads and r.conv_id = s.conv_id and r.call_id = s.call_id
-  union all select conv_id, call_id, turn, 0, null, null, null, content, 'orphan_result' from results s
-  where not exists (select 1 from ranked r where r.leads and r.conv_id = s.conv_id and r.call_id = s.call_id))
+  union all select conv_id, call_id, turn, 0, null, null, null, content, case when call_id is null then 'result_without_id' when nth > 1 then 'repeated_result' else 'orphan_result' end from numbered s
+  where nth > 1 or not exists (select 1 from ranked r where r.leads and r.conv_id = s.conv_id and r.call_id = s.call_id))
 select conv_id, call_id, turn, depth, status, '{' || concat_ws(',', '"arguments":' || arguments, '"call_id":' || cast(to_json(call_id) as varchar),
   '"name":' || cast(to_json(name) as varchar), '"parent_id":' || cast(to_json(parent_id) as varchar), '"result":' || cast(to_json(result) as varchar),
   '"status":"' || status || '"') || '}' as message from judged"""

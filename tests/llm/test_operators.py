@@ -520,13 +520,21 @@ def test_tool_calls(spark):
         (3, 1, None, None, "answer", None), (None, 1, "n", None, "answer", "{bad"), (3, 2, "e", None, "answer", '{"text": "t", "limit": 1, "more": 1}'), (3, 3, "f", None, "search", '{"text": "t", "limit": 1, "strict": true}'),
         (3, 4, "g", None, "search", "[1]"), (3, 5, "h", None, None, '{"text": "t", "limit": 1}'),
     ]
-    results = [(1, 2, "a", "late"), (1, 1, "a", "early"), (1, 6, "lost", "alone"), (1, 4, None, "no id"), (None, 2, "n", "answer"), (3, 4, "f", None)]
+    results = [(1, 2, "a", "late"), (1, 1, "a", "early"), (1, 6, "lost", "alone"), (1, 4, None, "no id"), (1, 4, None, "no id"), (1, 4, None, "other"),
+               (None, 2, "n", "answer"), (3, 4, "f", None), (3, 4, "f", "later"), (1, 7, "lost", "again"), (None, 8, None, None)]
     frame = tool_calls.link(
         spark.createDataFrame(calls, "conv_id bigint, turn bigint, call_id string, parent_id string, name string, arguments string").withColumn("status", F.lit("x")),
         spark.createDataFrame(results, "conv_id bigint, turn bigint, call_id string, content string").withColumn("depth", F.lit(9)), tool_calls.SCHEMAS,
     )
-    rows = {(r["conv_id"], r["call_id"], r["turn"]): r for r in frame.collect()}
-    assert len(rows) == frame.count() == 15
+    everything = frame.collect()
+    taken = {"no_id", "duplicate_call", "cycle", "unknown_tool", "invalid_arguments", "missing_result", "ok"}
+    unlinked = Counter((r["conv_id"], r["call_id"], r["turn"], r["status"], json.loads(r["message"]).get("result")) for r in everything if r["status"] not in taken)
+    assert unlinked == Counter([
+        (1, "lost", 6, "orphan_result", "alone"), (1, "lost", 7, "repeated_result", "again"), (1, "a", 2, "repeated_result", "late"), (3, "f", 4, "repeated_result", "later"),
+        (1, None, 4, "result_without_id", "no id"), (1, None, 4, "result_without_id", "other"), (None, None, 8, "result_without_id", None),
+    ])
+    rows = {(r["conv_id"], r["call_id"], r["turn"]): r for r in everything if r["status"] in taken or r["status"] == "orphan_result"}
+    assert len(rows) == 15 and len(everything) == 21
     said = {k: (r["status"], r["depth"]) for k, r in rows.items()}
     assert said == {
         (1, "a", 1): ("ok", 0), (1, "b", 3): ("invalid_arguments", 1), (1, "c", 5): ("missing_result", 2), (1, "a", 9): ("duplicate_call", 0), (1, "t", 2): ("unknown_tool", 0),
@@ -549,7 +557,8 @@ def test_tool_calls_empty(spark):
     empty = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
     assert tool_calls.link(*tool_calls.from_conversations(empty), tool_calls.SCHEMAS).count() == 0
     nulls = spark.createDataFrame([(None, None, None, None), (None, 1, "assistant", None), (1, None, "user", "x")], empty.schema)
-    assert tool_calls.link(*tool_calls.from_conversations(nulls), tool_calls.SCHEMAS).count() == 1
+    rows = tool_calls.link(*tool_calls.from_conversations(nulls), tool_calls.SCHEMAS).collect()
+    assert sorted(r["status"] for r in rows) == ["no_id", "result_without_id"]
 
 
 # 8 search
