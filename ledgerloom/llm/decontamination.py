@@ -15,8 +15,11 @@ the item's words have to be edited.
 Items of fewer than ``SHORT`` words are looked up by pieces: an item that may have k edits is cut into k + 1 pieces, and
 one of them stands unedited in whatever matches, so all of these items are found.
 
+Hits of one item that lie close together are verified by one window that holds the windows of all of them.
+
 The benchmark is read in blocks of a bounded number of words, one pass over the documents per block, so what is sent to
-the tasks has a bound whatever its size. Documents are not shuffled.
+the tasks has a bound whatever its size. Repeats of an item are indexed once, with their number, and unfolded in the
+found rows. Documents are not shuffled.
 
 Cases: null or empty texts hold nothing; items without words match nothing; an item of fewer than five words is
 held only without edits, so a match of a few words is possible only for an item of a few words; repeated documents
@@ -87,14 +90,16 @@ def repetitions(n_words: int, repeats: int, steps: int, sampled: int, seed: int)
 class Index:
     """Items of a block, their words numbered from 1 (0 is any other word), and the sampled embeddings of their stretches."""
 
-    def __init__(self, items: list[tuple[int | None, str | None]], similarity: float, repeats: int, steps: int, sampled: int, stride: int, seed: int = 11) -> None:
+    def __init__(self, items: list[tuple[int | None, str | None]], similarity: float, repeats: int, steps: int, sampled: int, stride: int, seed: int = 11, times: list[int] | None = None) -> None:
         self.similarity, self.steps = similarity, steps
         self.words: dict[str, int] = {}
-        self.ids, self.items = [], []
-        for item_id, text in items:
+        #: Per item its id, its words and how often the benchmark repeats it.
+        self.ids, self.items, self.times = [], [], []
+        for (item_id, text), n in zip(items, times or [1] * len(items)):
             found = re.findall(WORD, (text or "").lower())
             if found:
                 self.ids.append(item_id)
+                self.times.append(n)
                 self.items.append(np.array([self.words.setdefault(w, len(self.words) + 1) for w in found], np.int32))
         self.sets = [frozenset(item.tolist()) for item in self.items]
         self.end = len(self.words) + 1
@@ -222,13 +227,15 @@ def matches(index: Index, texts: list[str | None]) -> Iterator[tuple[int, int, i
         done: dict[tuple[int, int], list[int]] = {}
         for item, at in zip(*(x.tolist() for x in index.candidates(flat))):
             slack = index.allowed(item)
+            # a window looked at reaches far enough to hold those of all hits at most this far away
+            near = slack // 2 if len(index.items[item]) >= SHORT else 0
             # a start before the run belongs to the document its hit lies in
             doc = int(np.searchsorted(starts, min(max(at, 0) + len(index.items[item]) - 1, len(flat) - 1), "right")) - 1
             for d in {int(np.searchsorted(starts, max(at, 0), "right")) - 1, doc}:
-                if best.get((d, item)) == 0 or any(abs(at - seen) * 2 <= (slack if len(index.items[item]) >= SHORT else 0) for seen in done.get((d, item), ())):
+                if best.get((d, item)) == 0 or any(abs(at - seen) <= near for seen in done.get((d, item), ())):
                     continue
                 low, high = starts[d], starts[d + 1] - steps
-                window = flat[max(low, at - slack) : min(high, at + len(index.items[item]) + slack)]
+                window = flat[max(low, at - slack - near) : max(0, min(high, at + len(index.items[item]) + slack + near))]
                 if not len(window):
                     continue
                 done.setdefault((d, item), []).append(at)
@@ -258,16 +265,18 @@ def indexes(benchmark: DataFrame, similarity: float = SIMILARITY, words_per_bloc
     """The benchmark's items in blocks of about ``words_per_block`` words."""
     walk = {"repeats": REPEATS, "steps": STEPS, "sampled": SAMPLED, "stride": STRIDE} | walk
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    items = items.groupBy("item_id", "text").agg(F.count("*").alias("times"))
     words = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-words // (6 * words_per_block)) or 1
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        yield Index(sorted(((r["item_id"], r["text"]) for r in part.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])), similarity, **walk)
+        rows = sorted(((r["item_id"], r["text"], r["times"]) for r in part.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        yield Index([r[:2] for r in rows], similarity, times=[r[2] for r in rows], **walk)
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, **walk: int) -> DataFrame:
     """(doc_id, item_id, edits, item_words) of every row of ``docs`` and every item it holds."""
-    schema = "doc_id bigint, item_id bigint, edits int, item_words int"
+    schema = "doc_id bigint, item_id bigint, edits int, item_words int, times bigint"
     texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     found = None
     for index in indexes(benchmark, similarity, **walk):
@@ -279,12 +288,12 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, similarity: float = SI
                 ids = batch.column(0).take(pa.array([r[0] for r in rows], pa.int64()))
                 yield pa.RecordBatch.from_arrays([
                     ids, pa.array([index.ids[r[1]] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int32()),
-                    pa.array([len(index.items[r[1]]) for r in rows], pa.int32()),
-                ], ["doc_id", "item_id", "edits", "item_words"])
+                    pa.array([len(index.items[r[1]]) for r in rows], pa.int32()), pa.array([index.times[r[1]] for r in rows], pa.int64()),
+                ], ["doc_id", "item_id", "edits", "item_words", "times"])
 
         part = texts.mapInArrow(run, schema)
         found = part if found is None else found.unionByName(part)
-    return found
+    return found.select("doc_id", "item_id", "edits", "item_words", F.explode(F.sequence(F.lit(1), "times"))).drop("col")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, **walk: int) -> DataFrame:

@@ -476,7 +476,34 @@ def test_decontamination_edge_cases(make_docs, spark):
     assert decontamination.contaminations(docs, items.where("false")).count() == 0
     assert decontamination.drop_contaminated(docs, items.where("false")).count() == len(pairs)
     blocks = list(decontamination.indexes(items, words_per_block=10))
-    assert len(blocks) > 1 and sum(len(b.items) for b in blocks) == 3
+    # a repeated item is held once, with its number
+    assert len(blocks) > 1 and sum(len(b.items) for b in blocks) == 2 and sum(sum(b.times) for b in blocks) == 3
+
+
+def test_decontamination_edits_are_the_least_of_the_text():
+    """Edits reported of long items equal the exact distance to the whole text, where copies stand close to each other."""
+    rnd = random.Random(12)
+    vocabulary = [f"v{i}" for i in range(12)] + [f"w{i}" for i in range(200)]
+    items = [(n, " ".join(rnd.choices(vocabulary, k=size))) for n, size in enumerate(s for s in (24, 40, 75, 120) for _ in range(8))]
+    texts = []
+    for _, text in items:
+        words = text.split()
+        most = int(0.2 * len(words) + 1e-9)
+        copies = [edited(words, n, rnd, vocabulary) for n in (most + 2, most, rnd.randint(0, most))]
+        rnd.shuffle(copies)
+        gap = lambda: rnd.choices(vocabulary, k=rnd.choice([0, 2, 9]))
+        # broken copies, and a part of the item before the whole, bring hits that lie near each other
+        texts.append(" ".join([*gap(), *words[: len(words) // 2], *gap(), *copies[0], *gap(), *copies[1], *gap(), *words[len(words) // 3 :], *gap(), *copies[2]]))
+    index = decontamination.Index(items, 0.8, decontamination.REPEATS, decontamination.STEPS, decontamination.SAMPLED, decontamination.STRIDE)
+    brute = {}
+    for d, text in enumerate(texts):
+        words = np.array([index.words.get(w, 0) for w in text.split()], np.int32)
+        for n, item in enumerate(index.items):
+            cost = decontamination.edits(item, words)
+            if cost <= index.allowed(n):
+                brute[d, n] = cost
+    found = {(d, n): cost for d, n, cost in decontamination.matches(index, texts)}
+    assert found == brute and len(brute) >= len(items)
 
 
 # 6 line dedup
