@@ -109,6 +109,19 @@ def pending_settlements(settlements: DataFrame, exported: DataFrame, start: Colu
     )
 
 
+def settlement_months(stored: DataFrame, settlements: DataFrame) -> DataFrame:
+    """Every month that lines of these settlements are stored under; a settlement whose lines differ in end date has several."""
+    keys = ["account_name", "settlement_id"]
+    return stored.select(*keys, "end_month").distinct().join(settlements.select(*keys), keys, "left_semi")
+
+
+def lines_of(stored: DataFrame, months: DataFrame) -> DataFrame:
+    """The stored lines of some settlements. While ``months`` (stored itself, so its size is known) is small enough to be
+    broadcast, it prunes the months read from ``stored``; beyond that it is an ordinary semi-join with the same rows."""
+    # The planner prunes by a side only if that is filtered; every month is more than the empty text.
+    return stored.join(months.where(F.col("end_month") > ""), ["account_name", "settlement_id", "end_month"], "left_semi")
+
+
 def settlement_calendar(settlements: DataFrame) -> DataFrame:
     """Periods per account: the day after a settlement starts up to the day before the next period starts.
 

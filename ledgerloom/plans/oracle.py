@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from ledgerloom.params import PREPACK_SLOTS, STOCK_ATTRIBUTES
-from ledgerloom.plans.dataset import AS_OF, FIXTURE_LAYOUT as LAYOUT
+from ledgerloom.plans.dataset import AS_OF, FIXTURE_LAYOUT as LAYOUT, SETTLEMENT_COLUMNS
 from ledgerloom.plans.oracle_views import VIEWS
 
 ATTRIBUTES = ["erp_upc", *STOCK_ATTRIBUTES]
@@ -371,6 +371,9 @@ FINAL: dict[str, str] = {
         from (select account_name, start_date + 1 as start_date, max(end_date) as last_day from settlements group by 1, 2) s) t""",
     "pending_settlements": f"""select distinct account_name, settlement_id, start_date, end_date from settlements s where status = 'POSTED' and {LOCAL_DAY} >= date '1995-06-01'
         and not exists (select 1 from exported e where e.account_name = s.account_name and e.settlement_id = s.settlement_id)""",
+    "pending_lines": f"""select {', '.join(SETTLEMENT_COLUMNS)} from settlements s where exists (select 1 from settlements p
+        where p.account_name = s.account_name and p.settlement_id = s.settlement_id and p.status = 'POSTED' and {LOCAL_DAY.replace('posted_date', 'p.posted_date')} >= date '1995-06-01')
+        and not exists (select 1 from exported e where e.account_name = s.account_name and e.settlement_id = s.settlement_id)""",
     "pending_from_files": f"""select distinct account_name, settlement_id, start_date, end_date from settlements s where status = 'POSTED' and {LOCAL_DAY} >= date '1995-06-01'
         and not exists (select 1 from exported e where e.account_name = s.account_name and e.settlement_id = s.settlement_id)""",
     "exported_from_files": "select distinct account_name, settlement_id, start_date, end_date from settlements where end_date < date '1996-01-01'",

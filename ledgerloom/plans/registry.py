@@ -44,14 +44,16 @@ class Jobs:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def batch(self, pending_only: bool = False) -> Jobs:
-        """The same jobs over stored steps: statement lines, order channels and resolved products are computed once."""
+        """The same jobs over stored steps: statement lines, order channels and resolved products are computed once.
+
+        Of pending settlements only the lines are stored, so what each job of the batch reads shrinks with their share.
+        """
         jobs = Jobs(self.spark, self.data.sf_dir)
-        lines = self.kept(self.data.settlements, "batch-lines")
-        jobs.data.__dict__["settlements"] = lines
+        lines = self.data.settlements
         if pending_only:
             pending = ledger.pending_settlements(lines, jobs.data.exported, _date(PENDING_FROM)).select("account_name", "settlement_id")
-            pending = self.kept(pending, "batch-pending")
-            jobs.data.__dict__["settlements"] = lines.join(pending, ["account_name", "settlement_id"], "left_semi")
+            lines = lines.join(self.kept(pending.distinct(), "batch-pending"), ["account_name", "settlement_id"], "left_semi")
+        jobs.data.__dict__["settlements"] = self.kept(lines, "batch-lines")
         channels = sales.order_channels(self.data.all_orders).withColumnsRenamed({"order_key": "order_id", "sku_key": "sku"})
         jobs.data.__dict__["all_orders"] = self.kept(channels, "batch-channels")
         wanted = dict.fromkeys([*sales.EXTRACT_ATTRIBUTES, *credits.EXTRACT_ATTRIBUTES])
@@ -327,6 +329,17 @@ def _pending_from_files(j: Jobs) -> DataFrame:
     return ledger.pending_settlements(j.data.settlements, exported, _date(PENDING_FROM))
 
 
+@query("pending_lines")
+def _pending_lines(j: Jobs) -> DataFrame:
+    """Lines of the pending settlements, out of statements stored by month: the list of pending ones prunes the scan."""
+    path = new_dir(j.spark, "statements-by-month")
+    sinks.store_statements(j.data.settlements, path)
+    stored = sinks.read_statements(j.spark, path, j.data.settlements.schema)
+    pending = ledger.pending_settlements(stored, j.data.exported, _date(PENDING_FROM))
+    months = j.kept(ledger.settlement_months(stored, pending), "pending-months")
+    return ledger.lines_of(stored, months).select(*SETTLEMENT_COLUMNS)
+
+
 @query("exported_from_files")
 def _exported_from_files(j: Jobs) -> DataFrame:
     """Account, settlement and period of every settlement exported so far, from file names alone."""

@@ -56,6 +56,22 @@ def _by_partition(df: DataFrame, partitions: list[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in partitions])
 
 
+MONTH = "end_month"
+
+
+def store_statements(lines: DataFrame, path: str) -> None:
+    """Statement lines stored by the month their settlement ends in; lines without an end date have a month of their own.
+
+    Months that occur in ``lines`` are replaced as a whole, so a delivery that holds a month completely can be repeated.
+    """
+    replace_partitions(lines.withColumn(MONTH, F.coalesce(F.date_format("end_date", "yyyy-MM"), F.lit("none"))), path, [MONTH])
+
+
+def read_statements(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What ``store_statements`` stored, with the month."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())])).parquet(path)
+
+
 def export_csv(df: DataFrame, path: str, order: list[str] | None = None, separator: str = ",") -> None:
     """A CSV export with a header, globally sorted where an order is given."""
     rows = df.orderBy(*order) if order else df

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.classic.dataframe import DataFrame
 
-from ledgerloom.operators import reconciliation
+from ledgerloom.operators import ledger, reconciliation
 from ledgerloom.plans.registry import QUERIES, Jobs
 from ledgerloom.sources import sinks
 
@@ -36,6 +36,35 @@ def test_statement_lines_are_scanned_once_in_a_batch(spark):
     assert "l_orderkey" not in plan and "l_partkey" not in plan
 
 
+def _files_read(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().executedPlan()
+    while plan.nodeName().startswith("ResultQueryStage"):
+        plan = plan.plan()
+    leaves = plan.collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.size()) if leaves.apply(i).nodeName().startswith("Scan parquet")]
+    return sum(scan.metrics().apply("numFiles").value() for scan in scans)
+
+
+def test_pending_settlements_prune_the_stored_months(spark, tmp_path):
+    lines = Jobs(spark, FOLDER).data.settlements
+    path, listed = str(tmp_path / "stored"), tmp_path / "months"
+    sinks.store_statements(lines.withColumn("end_date", F.when(F.col("settlement_id") % 50 != 0, F.col("end_date"))), path)
+    stored = sinks.read_statements(spark, path, lines.schema)
+    ids = [r[0] for r in stored.select("settlement_id").distinct().orderBy("settlement_id").collect()]
+    files = len(list((tmp_path / "stored").glob("*/*.parquet")))
+    read = []
+    # the last ones hold settlements without an end date
+    for n, wanted in enumerate((ids[:2], ids[: len(ids) // 3], ids, [i for i in ids if i % 50 == 0])):
+        chosen = stored.where(F.col("settlement_id").isin(wanted))
+        ledger.settlement_months(stored, chosen).write.parquet(f"{listed}{n}")
+        found = ledger.lines_of(stored, spark.read.parquet(f"{listed}{n}"))
+        read.append(_files_read(found))
+        assert found.count() == chosen.count() > 0
+    assert read[0] <= 4 and read[0] <= read[1] <= read[2] == files and read[3] < files
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_both_sides_agree_but_for_liquidations_rates_and_rounding(spark):
     """Nothing is lost: a statement's total stands, and orders, tax and credits come out the same on both sides."""
     jobs = Jobs(spark, FOLDER).batch()
