@@ -547,6 +547,7 @@ FINAL: dict[str, str] = {
     "export_styles": "select distinct style from sellable",
     "export_reconciliation": "select * from report",
     "src_inventory_feed": "select * from inventory",
+    "src_statements_in_blocks": """select * replace (amount_description || chr(10) || '"' || coalesce(order_id, '') || '",' as amount_description) from settlements""",
     "src_prepack_feed": "select * from prepack",
     "src_upc_sku": "select * from upc_sku",
     "src_warehouse_info": "select * from warehouse_info",

@@ -456,6 +456,16 @@ def _src_inventory_feed(j: Jobs) -> DataFrame:
     return feeds.read_inventory_feed(j.spark, folder, DAY)
 
 
+@query("src_statements_in_blocks")
+def _src_statements_in_blocks(j: Jobs) -> DataFrame:
+    """Statement lines whose descriptions hold line breaks and quotes, from files that several tasks may read."""
+    path = new_dir(j.spark, "feed")
+    lines = j.data.settlements.select(*SETTLEMENT_COLUMNS)
+    noted = lines.withColumn("amount_description", F.concat("amount_description", F.lit('\n"'), F.coalesce("order_id", F.lit("")), F.lit('",')))
+    sinks.export_csv(noted, path)
+    return feeds.load_feed(j.spark, path, feeds.SETTLEMENT_SCHEMA, in_blocks=True).rows
+
+
 @query("src_prepack_feed")
 def _src_prepack_feed(j: Jobs) -> DataFrame:
     folder = new_dir(j.spark, "feed")

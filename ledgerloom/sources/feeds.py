@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from ledgerloom.functions.sizing import unique
 from ledgerloom.params import PREPACK_SLOTS
+from ledgerloom.sources.records import read_records
 from ledgerloom.sources.workspace import new_dir
 
 # File name stems of the feeds; dated feeds carry the day as mmddyy.
@@ -108,10 +109,13 @@ def _parted(rows: DataFrame, wanted: T.StructType) -> tuple[DataFrame, DataFrame
     return good, rows.where(F.col("_faults") != "").select(F.col("_faults").alias("faults"), F.col("_record").alias("record"))
 
 
-def feed_texts(spark: SparkSession, path: str, schema: str | T.StructType, separator: str = ",", by_position: bool = False) -> tuple[DataFrame, T.StructType, dict[str, str]]:
+def feed_texts(
+    spark: SparkSession, path: str, schema: str | T.StructType, separator: str = ",", by_position: bool = False, in_blocks: bool = False
+) -> tuple[DataFrame, T.StructType, dict[str, str]]:
     """The rows of CSV files as text, the wanted schema and the name of each wanted column in the files.
 
-    All files of ``path`` must have the header of the first; another one fails the read.
+    All files of ``path`` must have the header of the first; another one fails the read. ``in_blocks`` lets several tasks
+    read one file, at the price of a shuffle of its lines: for few large files.
     """
     wanted = _struct(spark, schema)
     header = spark.read.options(**CSV_READ).option("sep", separator).csv(path).columns
@@ -125,13 +129,17 @@ def feed_texts(spark: SparkSession, path: str, schema: str | T.StructType, separ
         if missing:
             raise ValueError(f"{path}: no column {', '.join(missing)} in the header {', '.join(header)}")
         names = {f.name: known[plain_name(f.name)] for f in wanted.fields}
+    if in_blocks:
+        return read_records(spark, path, text_schema(header), separator, CSV_READ, BROKEN), wanted, names
     reader = spark.read.schema(text_schema(header)).options(**CSV_READ).option("sep", separator).option("columnNameOfCorruptRecord", BROKEN)
     return reader.csv(path), wanted, names
 
 
-def read_feed(spark: SparkSession, path: str, schema: str | T.StructType, separator: str = ",", by_position: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(rows, rejects) of CSV files, both lazy: each scans the files when it is read."""
-    return typed(*feed_texts(spark, path, schema, separator, by_position))
+def read_feed(
+    spark: SparkSession, path: str, schema: str | T.StructType, separator: str = ",", by_position: bool = False, in_blocks: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of CSV files, both lazy: each scans the files (or their stored lines) when it is read."""
+    return typed(*feed_texts(spark, path, schema, separator, by_position, in_blocks))
 
 
 class RejectedRows(ValueError):
@@ -159,13 +167,14 @@ class Feed:
 
 
 def load_feed(
-    spark: SparkSession, path: str, schema: str | T.StructType, separator: str = ",", by_position: bool = False, max_share: float = 0.0
+    spark: SparkSession, path: str, schema: str | T.StructType, separator: str = ",", by_position: bool = False, max_share: float = 0.0,
+    in_blocks: bool = False,
 ) -> Feed:
     """Reads CSV files in one pass that stores sound rows and rejects apart and counts both.
 
     More rejects than ``max_share`` of the rows raise ``RejectedRows``. A header without rows is an empty feed.
     """
-    texts, wanted, names = feed_texts(spark, path, schema, separator, by_position)
+    texts, wanted, names = feed_texts(spark, path, schema, separator, by_position, in_blocks)
     rows = checked(texts, wanted, names).withColumn("_rejected", F.col("_faults") != "")
     kinds = [f.name for f in wanted.fields if not isinstance(f.dataType, T.StringType)] + [BROKEN]
     held = F.split("_faults", ",")

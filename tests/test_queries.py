@@ -17,7 +17,7 @@ FOLDER = os.environ.get("LEDGERLOOM_TESTDATA", "/root/testdata/sf0.001")
 CHECKED = ["fee_ledger", "settlement_line_id", "missing_upc_report", "order_rollup_fba", "sales_extract_mxn", "credit_rollup", "credit_extract_usd", "credit_extract_mxn",
            "recon_raw", "recon_logic", "reconcile_pending", "reconciliation_shrinks", "check_keyed_inputs", "pending_settlements", "fee_reference_refresh",
            "prepack_join", "sellable_stock", "inventory_adjustment_extract", "order_buckets", "refund_extract", "zone_comparison", "mark_orders_by_status_rungs",
-           "sku_match_list_since", "recent_order_principals", "settlement_day_lookup", "profile_column_types", "profile_number_texts", "src_inventory_feed",
+           "sku_match_list_since", "recent_order_principals", "settlement_day_lookup", "profile_column_types", "profile_number_texts", "src_inventory_feed", "src_statements_in_blocks",
            "src_fx_rates", "feed_rejects", "feed_fault_counts", "feed_rejected_rows", "feed_sound_rows", "pending_from_files", "exported_from_files", "inventory_event_rank", "mark_events_complete", "union_store_codes", "ingest_new_files", "export_inventory_adjustments"]
 
 pytestmark = pytest.mark.skipif(not pathlib.Path(FOLDER).exists(), reason="test tables not present")
