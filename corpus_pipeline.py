@@ -10,9 +10,9 @@ where lines were cut. Between stages the rows are written to the shared folder a
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import decontamination, line_dedup, near_copies, packing, toxicity
+from ledgerloom.llm import decontamination, line_dedup, near_copies, packing, simhash, toxicity
 from ledgerloom.llm.tables import table, written
 
 
@@ -27,8 +27,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id."""
-    return near_copies.keep_one(docs)
+    """One document of each group of near duplicates, the one with the smallest id.
+
+    Near duplicates are linked by SimHash, as by ``simhash.near_duplicates``, and by the similarity of their shingles, which
+    finds those whose fingerprints differ in more bits; groups are closed over the links of both.
+    """
+    prints = simhash.near_duplicates(docs).select("doc_id", "version", F.col("root").alias("part"))
+    return near_copies.keep_one(docs, also=prints)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

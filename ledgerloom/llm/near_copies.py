@@ -182,12 +182,22 @@ def checked(pairs: DataFrame, docs: DataFrame, distinct: DataFrame, width: int =
     return both.where(F.col("common") >= F.lit(similarity) * (F.col("total") - F.col("common")) - 1e-9).select("u", "v")
 
 
-def near_duplicates(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMILARITY, block: int = BLOCK, named: int = NAMED) -> DataFrame:
-    """(doc_id, version, root) of every row; rows of one root are one component."""
+def shared_links(made: DataFrame, also: DataFrame) -> DataFrame:
+    """(u, v): links among the sets of rows that have the same ``part`` in ``also`` (doc_id, version, part)."""
+    key = [id_key("doc_id").alias("id"), "version"]
+    held = made.select(*key, "node").join(also.select(*key, "part").distinct(), ["id", "version"]).select("part", "node").distinct()
+    first = held.groupBy(F.col("part").alias("of")).agg(F.min("node").alias("least"))
+    return held.join(first, F.col("part") == F.col("of")).where("node > least").select(F.col("least").alias("u"), F.col("node").alias("v"))
+
+
+def near_duplicates(
+    docs: DataFrame, width: int = SHINGLE, similarity: float = SIMILARITY, block: int = BLOCK, named: int = NAMED, also: DataFrame | None = None
+) -> DataFrame:
+    """(doc_id, version, root) of every row; rows of one root are one component. Rows of one ``part`` in ``also`` are linked as well."""
     made = written(sketches(docs, width), "sketches")
     distinct = made.groupBy("node").agg(F.min("size").alias("size"), F.min("bands").alias("bands"), F.min("sketch").alias("sketch"), F.min(F.struct(id_key("doc_id").alias("id"), "version")).alias("one"))
     distinct = written(distinct, "distinct-sketches").withColumn("root", F.col("node"))
-    bare, links = distinct, None
+    bare, links = distinct, None if also is None else shared_links(made, also)
     while True:
         named_pairs = written(candidates(distinct, similarity, block, named), "candidates")
         passed = checked(named_pairs.where("v is not null"), docs, bare, width, similarity)
@@ -202,6 +212,6 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, similarity: float = S
     return joined.select("doc_id", "version", F.coalesce("least", "node").alias("root"))
 
 
-def keep_one(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+def keep_one(docs: DataFrame, width: int = SHINGLE, similarity: float = SIMILARITY, also: DataFrame | None = None) -> DataFrame:
     """``docs``, with all columns, with one row of each component: its smallest id, and of that the text with the smallest hash."""
-    return keep_least(docs, near_duplicates(docs, width, similarity))
+    return keep_least(docs, near_duplicates(docs, width, similarity, also=also))

@@ -110,3 +110,14 @@ def test_pipeline_stages_keep_what_they_should(spark, sf_dir):
     whole = corpus_pipeline.run(spark, sf_dir).collect()
     assert {(p["doc_id"], p["start"], p["length"], p["ids_crc32"]) for p in whole} == {(p["doc_id"], p["start"], p["length"], p["ids_crc32"]) for p in pieces}
     assert zlib.crc32(b"") == 0
+
+
+def test_pipeline_links_by_simhash_and_by_shingles(spark, make_docs):
+    """Fingerprints count repeated shingles, so these two are equal to SimHash alone; two others only share most of their shingles."""
+    words = lambda seed, n: " ".join(f"w{seed}x{i}" for i in range(n))
+    same_print = [(4, "one two three " * 400 + words(1, 20)), (7, "one two three " * 400 + words(2, 20))]
+    text = words(3, 60)
+    same_set = [(9, text), (5, text.rsplit(" ", 5)[0])]
+    docs = make_docs([*same_print, *same_set, (8, words(4, 60)), (None, words(5, 60))])
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert sorted((r["doc_id"] is None, r["doc_id"]) for r in kept.collect()) == [(False, 4), (False, 5), (False, 8), (True, None)]
