@@ -139,3 +139,39 @@ def test_numbers_of_a_whole_table_and_of_none(spark):
     df = spark.range(1000).selectExpr("id * 7919 % 1009 as v")
     assert sorted((r["id"], r["v"]) for r in number_sorted(df, ["v"]).collect()) == list(enumerate(sorted(r["v"] for r in df.collect()), 1))
     assert number_sorted(df.where("v < 0"), ["v"], ["v"]).count() == 0
+
+
+def _plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_copies_travel_once(spark):
+    """Rows are dealt by the hash of their group alone; no second shuffle by all columns, unless a group is large."""
+    df = spark.createDataFrame([(f"k{i % 50}", f"text {i}") for i in range(500)], "k string, note string")
+    ranked = rank_copies(df, [fold("k")])
+    shuffles = [line for line in _plan(ranked).splitlines() if "Exchange hashpartitioning" in line]
+    assert shuffles and not [line for line in shuffles if "note" in line]
+    assert sorted((r["k"], r["ranking"]) for r in ranked.collect()) == sorted((f"k{i}", n) for i in range(50) for n in range(1, 11))
+
+
+def test_copies_of_large_and_small_groups_and_null_keys(spark):
+    rows = [("Hot", "a")] * 7 + [("hot", "b")] * 5 + [(None, "c")] * 4 + [(None, None), ("cold", "d"), ("cold", "d"), ("COLD", None)]
+    df = spark.createDataFrame(rows, "k string, v string").repartition(3)
+    got = rank_copies(df, [fold("k")], copies_per_piece=6).collect()
+    assert Counter((r["k"], r["v"]) for r in got) == Counter(rows)
+    ranks = defaultdict(list)
+    for r in got:
+        ranks[(r["k"] or "").lower()].append(r["ranking"])
+    assert {k: sorted(v) for k, v in ranks.items()} == {"hot": list(range(1, 13)), "": list(range(1, 6)), "cold": [1, 2, 3]}
+
+
+def test_numbered_rows_are_not_shuffled_to_their_sums(spark):
+    df = spark.range(2000).selectExpr("id % 7 as k", "cast(id as string) as v")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(number_sorted(df, ["v"], ["k"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
