@@ -106,3 +106,9 @@ def test_files_are_sorted_inside(spark, tmp_path):
     for file in files:
         numbers = [int(line.split(",")[0]) for line in file.read_text().splitlines()[1:]]
         assert numbers == sorted(numbers)
+
+
+@pytest.mark.parametrize("name", ["raw_settlement_extract", "join_null_blank"])
+def test_lines_are_not_shuffled_to_meet_the_fee_reference(spark, name):
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
