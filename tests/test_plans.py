@@ -112,3 +112,10 @@ def test_files_are_sorted_inside(spark, tmp_path):
 def test_lines_are_not_shuffled_to_meet_the_fee_reference(spark, name):
     plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("name", ["credit_rollup", "credit_rollup_line_grain"])
+def test_only_credits_travel_to_be_ranked(spark, name):
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    dealt = plan.index("RepartitionByExpression [_dealt")
+    assert "Contains(" in plan[dealt:plan.index("RepartitionByExpression [l_", dealt) if "RepartitionByExpression [l_" in plan[dealt:] else None]
