@@ -119,3 +119,10 @@ def test_only_credits_travel_to_be_ranked(spark, name):
     plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
     dealt = plan.index("RepartitionByExpression [_dealt")
     assert "Contains(" in plan[dealt:plan.index("RepartitionByExpression [l_", dealt) if "RepartitionByExpression [l_" in plan[dealt:] else None]
+
+
+def test_raw_side_parts_its_buckets_after_adding_up_the_orders(spark):
+    """Channels and currencies are told apart on a few sums per settlement: no bucket is among the sums taken over the orders."""
+    jobs = Jobs(spark, FOLDER)
+    plan = jobs.recon_raw()._jdf.queryExecution().optimizedPlan().toString()
+    assert [line for line in plan.splitlines() if "Aggregate [account_name" in line and "fulfillment_channel" in line.split("], [")[0]]
