@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.dates import local_day
 from ledgerloom.functions.money import half_up_ratio
 from ledgerloom.functions.numbering import number_sorted, number_within, rank_copies
-from ledgerloom.functions.sizing import join_dimension, unique
+from ledgerloom.functions.sizing import join_dimension, perhaps_listed, unique
 from ledgerloom.functions.text import digit_run, drop_first, fold, folded, nonzero_number
 
 
@@ -175,3 +175,13 @@ def test_numbered_rows_are_not_shuffled_to_their_sums(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 10, 1 << 26])
+def test_a_map_of_hashes_passes_all_that_is_listed(spark, bits):
+    listed = spark.range(500).select(F.concat(F.lit("o"), F.col("id") * 3).alias("k")).union(spark.sql("select cast(null as string)"))
+    facts = spark.range(3000).select("id", F.concat(F.lit("o"), F.col("id")).alias("k"))
+    passed = {r["id"] for r in perhaps_listed(facts, F.col("k"), listed, bits).collect()}
+    assert passed >= {i for i in range(1500) if i % 3 == 0}
+    if bits == 1 << 26:
+        assert len(passed) <= 510

@@ -11,6 +11,8 @@ from pyspark.sql.classic.dataframe import DataFrame
 from ledgerloom.operators import ledger, reconciliation
 from ledgerloom.plans.registry import QUERIES, Jobs
 from ledgerloom.sources import sinks
+from ledgerloom.sources.feeds import dealt_out
+from ledgerloom.sources.workspace import shared_dir
 
 FOLDER = os.environ.get("LEDGERLOOM_TESTDATA", "/root/testdata/sf0.001")
 
@@ -126,3 +128,44 @@ def test_raw_side_parts_its_buckets_after_adding_up_the_orders(spark):
     jobs = Jobs(spark, FOLDER)
     plan = jobs.recon_raw()._jdf.queryExecution().optimizedPlan().toString()
     assert [line for line in plan.splitlines() if "Aggregate [account_name" in line and "fulfillment_channel" in line.split("], [")[0]]
+
+
+@pytest.mark.parametrize("name", ["profile_column_types", "profile_merged"])
+def test_profiles_add_up_cells_per_column(spark, name):
+    """Aggregates side by side for every column are a method too long to be compiled."""
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    cells = [line for line in plan.splitlines() if "Aggregate [_column" in line]
+    assert len(cells) == (3 if name == "profile_merged" else 1)
+    assert plan.count("regexp_extract") + plan.count("RLIKE") <= 8 * len(cells)
+
+
+def test_deliveries_to_ingest_are_packed(spark):
+    def files():
+        return set(pathlib.Path(shared_dir(spark)).glob("ingest-*/incoming/part-*"))
+
+    before = files()
+    QUERIES["ingest_new_files"](spark, FOLDER)
+    new = files() - before
+    assert new and all(f.name.endswith(".csv.gz") for f in new)
+
+
+def test_orders_looked_up_are_told_by_a_map_of_hashes_first(spark):
+    plan = QUERIES["order_lookup"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftSemi") == 2 and "bit_or" in plan and "strategy=broadcast" in plan
+
+
+def test_a_finely_cut_table_is_read_as_it_lies(spark, tmp_path):
+    def dealt(df, **options):
+        plan = dealt_out(df, **options)._jdf.queryExecution().optimizedPlan().toString()
+        return "Repartition" in plan
+
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "one"))
+    # as many files as cores; small files would share tasks, so their opening counts for nothing
+    spark.range(1000).repartition(2 * spark.sparkContext.defaultParallelism).write.parquet(str(tmp_path / "many"))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+    try:
+        one, many = (spark.read.parquet(str(tmp_path / n)) for n in ("one", "many"))
+        assert dealt(one) and not dealt(many) and dealt(many, rows_a_task=50)
+        assert sorted(r[0] for r in dealt_out(one).collect()) == sorted(r[0] for r in dealt_out(many).collect()) == list(range(1000))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
