@@ -169,3 +169,47 @@ def test_a_finely_cut_table_is_read_as_it_lies(spark, tmp_path):
         assert sorted(r[0] for r in dealt_out(one).collect()) == sorted(r[0] for r in dealt_out(many).collect()) == list(range(1000))
     finally:
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+
+
+def test_lines_are_dealt_by_their_order_and_not_sorted_to_be_dealt_in_turn(spark):
+    plan = _optimized(Jobs(spark, FOLDER).data.settlements)
+    assert [line for line in plan if "RepartitionByExpression [l_orderkey" in line] and not [line for line in plan if "Repartition " in line]
+    rows = spark.range(100).selectExpr("cast(null as bigint) as a", "id % 3 as b", "id")
+    assert rows.repartition(4, "a", "b").count() == 100
+
+
+@pytest.mark.parametrize("name", ["credit_extract_mxn", "sales_extract_mxn"])
+def test_facts_meet_the_product_list_as_they_are(spark, name):
+    """No sums per SKU, which are about as many as the facts, are shuffled before the join; the join's own exchanges can be split."""
+    df = QUERIES[name](spark, FOLDER)
+    keys = [line.split("Aggregate [", 1)[1].split("], [")[0] for line in _optimized(df) if "Aggregate [account_name" in line]
+    assert keys and not [k for k in keys if "sku" in k and "order_id" not in k]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(_sku_key") == 2
+
+
+def test_spellings_of_an_order_travel_as_one_row_to_the_raw_side(spark):
+    plan = _optimized(Jobs(spark, FOLDER).recon_raw())
+    assert [line for line in plan if "Join LeftOuter" in line and "(_order#" in line and "(_sku#" in line and "translate" not in line]
+
+
+def test_channel_keys_are_made_distinct_once(spark):
+    plan = _optimized(QUERIES["order_rollup_fba"](spark, FOLDER))
+    assert len([line for line in plan if "Aggregate [order_key" in line]) == 1
+
+
+def test_exported_settlements_are_listed_from_the_stored_lines(spark, monkeypatch):
+    kept = []
+    store = sinks.full_refresh
+
+    def seen(df, path):
+        kept.append(df._jdf.queryExecution().optimizedPlan().toString())
+        store(df, path)
+
+    monkeypatch.setattr(sinks, "full_refresh", seen)
+    QUERIES["pending_lines"](spark, FOLDER)
+    assert len(kept) == 1 and "l_shipdate" not in kept[0]
