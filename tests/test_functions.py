@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import local_day
-from ledgerloom.functions.money import half_up_ratio
+from ledgerloom.functions.money import cents, half_up_ratio, of_cents
 from ledgerloom.functions.numbering import number_sorted, number_within, rank_copies
 from ledgerloom.functions.sizing import join_dimension, perhaps_listed, unique
 from ledgerloom.functions.text import digit_run, drop_first, fold, folded, nonzero_number
@@ -28,6 +28,17 @@ def test_ratio_rounds_once_half_away_from_zero(spark):
             assert row[name] == (row["n"] / row["d"]).quantize(Decimal(step), ROUND_HALF_UP)
 
 
+def test_sums_of_cents_are_the_sums_of_amounts(spark):
+    big = Decimal("9999999999.99")
+    rows = [(i % 3, v) for i, v in enumerate([big, -big, Decimal("0.01"), Decimal("-0.01"), None, big, big, Decimal("-7.30"), big])] + [(3, None)]
+    for kind in ("decimal(12,2)", "decimal(14,3)"):
+        df = spark.createDataFrame(rows, f"k int, amount {kind}")
+        short = df.schema["amount"].dataType
+        got = df.groupBy("k").agg(of_cents(F.sum(cents(F.col("amount"), short)), short).alias("total"))
+        want = df.groupBy("k").agg(F.sum("amount").alias("total"))
+        assert got.schema == want.schema and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def test_number_texts(spark):
     values = ["0", "00", "B0AB", "12", "0.05", "12AB", "", None, " 7", "-3", ".0"]
     df = spark.createDataFrame([(v,) for v in values], "upc string")

@@ -11,7 +11,7 @@ from pyspark.sql.classic.dataframe import DataFrame
 from ledgerloom.operators import ledger, reconciliation
 from ledgerloom.plans.registry import QUERIES, Jobs
 from ledgerloom.sources import sinks
-from ledgerloom.sources.feeds import dealt_out
+from ledgerloom.sources.feeds import cut_finely, dealt_out
 from ledgerloom.sources.workspace import shared_dir
 
 FOLDER = os.environ.get("LEDGERLOOM_TESTDATA", "/root/testdata/sf0.001")
@@ -213,3 +213,45 @@ def test_exported_settlements_are_listed_from_the_stored_lines(spark, monkeypatc
     monkeypatch.setattr(sinks, "full_refresh", seen)
     QUERIES["pending_lines"](spark, FOLDER)
     assert len(kept) == 1 and "l_shipdate" not in kept[0]
+
+
+def test_a_table_read_many_times_is_cut_once_in_its_order(spark, tmp_path):
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "one"))
+    one = spark.read.parquet(str(tmp_path / "one"))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1m")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        cut = cut_finely(one, str(tmp_path / "cut"), rows_a_task=200)
+        assert "Repartition" not in "".join(_optimized(cut)) and cut.schema == one.schema
+        rows = cut.select("id", F.input_file_name().alias("file"), F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(r.id for r in rows) == list(range(1000))
+    files = {}
+    for r in rows:
+        files.setdefault(r.file, []).append(r.id)
+    assert all(len(ids) <= 50 and ids == list(range(ids[0], ids[0] + len(ids))) for ids in files.values())
+    assert max(sum(r.task == task for r in rows) for task in {r.task for r in rows}) <= 200
+
+
+@pytest.mark.parametrize("pending_only", [False, True])
+def test_a_batch_deals_no_rows_out(spark, pending_only):
+    """Items are cut once; neither side of the reconciliation shuffles them to read them on enough tasks."""
+    jobs = Jobs(spark, FOLDER).batch(pending_only=pending_only)
+    for df in (jobs.recon_raw(), jobs.recon_logic()):
+        assert not [line for line in _optimized(df) if "Repartition" in line and "l_orderkey" in line]
+
+
+def test_exported_reconciliation_takes_a_batch(spark, monkeypatch):
+    seen = []
+    batch = Jobs.batch
+    monkeypatch.setattr(Jobs, "batch", lambda self, **options: seen.append(options) or batch(self, **options))
+    assert QUERIES["export_reconciliation"](spark, FOLDER).count() and seen == [{}]
+
+
+def test_merchant_orders_are_added_up_without_their_spellings_where_none_is_shown(spark):
+    jobs = Jobs(spark, FOLDER)
+    sums = reconciliation._labelled(jobs.orders_fbm(), {"fbm_orders": F.col("principal")})
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "min(order_id" not in plan
