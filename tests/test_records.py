@@ -1,12 +1,17 @@
 """CSV records read in blocks give what the reader of whole files gives."""
 
+import bz2
+import pathlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.sources import feeds
-from ledgerloom.sources.records import lines_of, records_of
+from ledgerloom.plans.registry import QUERIES
+from ledgerloom.sources.records import lines_of, records_of, states_before
+from ledgerloom.sources.workspace import shared_dir
 
 SCHEMA = "id int, note string, amount decimal(12,2)"
 
@@ -85,3 +90,40 @@ def test_a_value_over_many_blocks_is_one_record(spark, small_blocks, tmp_path):
     (tmp_path / "f.csv").write_text("id,note,amount\n" + '1,"' + "x\n" * 500 + '",1\n' + "2,b,2\n")
     records = records_of(lines_of(spark, str(tmp_path)), ",").where("not _header")
     assert sorted(r[0] for r in records.select(F.length("_record")).collect()) == [5, 1006]
+
+
+def test_states_before_lines_are_a_fold():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 50):
+        for inside in (False, True):
+            to_0, to_1 = rng.random(n) < 0.4, rng.random(n) < 0.6
+            state, want = inside, []
+            for a, b in zip(to_0, to_1):
+                want.append(state)
+                state = bool(b if state else a)
+            assert states_before(to_0, to_1, inside).tolist() == want
+
+
+def test_a_packed_file_is_read_in_blocks_too(spark, tmp_path):
+    draw = random.Random(9)
+    rows = "".join(f'{i},"{draw.getrandbits(400):x}\n""{draw.getrandbits(400):x}""",{i}.25\n' for i in range(14_000))
+    (tmp_path / "f.csv.bz2").write_bytes(bz2.compress(("id,note,amount\n" + rows).encode(), 1))
+    keys = {"spark.sql.files.maxPartitionBytes": "300k", "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+    for key, value in keys.items():
+        spark.conf.set(key, value)
+    try:
+        assert lines_of(spark, str(tmp_path)).select("_block").distinct().count() > 3
+        whole, blocks = both(spark, str(tmp_path))
+        assert texts(whole) == texts(blocks)
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
+
+
+def test_lines_of_a_feed_in_blocks_are_not_shuffled_and_its_files_are_packed(spark):
+    folder = pathlib.Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    assert QUERIES["src_statements_in_blocks"](spark, "/root/testdata/sf0.001").count() > 20_000
+    new = {f.name.rsplit("-", 1)[0] for f in set(folder.iterdir()) - before}
+    assert "csv-lines" not in new and "csv-records" in new
+    assert [f for d in set(folder.iterdir()) - before for f in d.glob("part-*.csv.bz2")] and not [f for d in set(folder.iterdir()) - before for f in d.glob("part-*.csv")]
