@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.dates import local_day
 from ledgerloom.functions.money import cents, half_up_ratio, of_cents
 from ledgerloom.functions.numbering import number_sorted, number_within, rank_copies
-from ledgerloom.functions.sizing import join_dimension, perhaps_listed, unique
-from ledgerloom.functions.text import digit_run, drop_first, fold, folded, nonzero_number
+from ledgerloom.functions.sizing import join_dimension, perhaps_listed, told_apart, unique
+from ledgerloom.functions.text import digit_run, drop_first, fold, folded, grouped, grouped_apart, nonzero_number
 
 
 def test_ratio_rounds_once_half_away_from_zero(spark):
@@ -196,3 +196,34 @@ def test_a_map_of_hashes_passes_all_that_is_listed(spark, bits):
     assert passed >= {i for i in range(1500) if i % 3 == 0}
     if bits == 1 << 26:
         assert len(passed) <= 510
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 26])
+def test_rows_alone_under_their_key_are_told_apart_where_they_lie(spark, bits):
+    rows = [(f"k{i}", i) for i in range(300)] + [("k7", -1), ("K8", -2), (None, -3), (None, -4)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    alone, others, counts = told_apart(df, [fold("k")], bits)
+    apart, rest = ({r["v"] for r in part.collect()} for part in (alone, others))
+    assert apart | rest == {v for _, v in rows} and not apart & rest
+    assert rest >= {7, -1, 8, -2, -3, -4} and counts.where("_n > 1").count() == 3
+    if bits == 1 << 26:
+        assert len(rest) <= 10
+    plan = _plan(alone)
+    assert "Exchange" not in plan.split("BroadcastExchange")[0]
+
+
+def test_copies_that_have_no_equal_do_not_travel(spark):
+    df = spark.createDataFrame([(f"k{i}", f"text {i}") for i in range(500)] + [("K3", "text")], "k string, note string")
+    ranked = rank_copies(df, [fold("k")])
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan.split("RepartitionByExpression")[0]
+    assert Counter((r["k"].lower(), r["ranking"]) for r in ranked.collect()) == Counter([(f"k{i}", 1) for i in range(500)] + [("k3", 2)])
+
+
+def test_sums_of_keys_that_rows_have_alone_are_the_sums_of_all(spark):
+    rows = [(1, "A", "x", 3, "1.10"), (1, "a", "X", 4, "2.20"), (1, None, "x", None, "0.30"), (None, None, "x", 5, None), (None, None, "X", 1, "7.00"), (2, "b", None, None, None)]
+    df = spark.createDataFrame(rows, "k int, s string, t string, n int, a string").withColumn("a", F.col("a").cast("decimal(12,2)"))
+    wanted = (df, ["k"], ["s", "t"], {"n_sum": F.col("n"), "a_sum": F.col("a")})
+    got, plain = grouped_apart(*wanted), grouped(*wanted)
+    assert got.dtypes == plain.dtypes
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, plain.collect()))
