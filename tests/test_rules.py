@@ -2,12 +2,14 @@
 
 import datetime as dt
 from decimal import Decimal
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.sizing import marked_listed
 from ledgerloom.operators import credits, drafts, inventory_events, ledger, products, reconciliation, sales, stock
-from ledgerloom.operators.product_match import attach_products, canonical_inventory, resolve_products
+from ledgerloom.operators.product_match import attach_products, canonical_inventory, resolve_products, with_known
 from ledgerloom.params import ErpLayout
 from ledgerloom.sources.feeds import INVENTORY_SCHEMA, PREPACK_SCHEMA, REFERENCE_SCHEMA, SETTLEMENT_SCHEMA
 
@@ -252,6 +254,33 @@ def test_status_marking(spark, make):
         ("Fee", "S2", "Not Imported"), ("Order", "S1", "Complete"), ("Order", "S2", "Not Imported"), ("Refund", "", "Not Imported"), ("Storage Fee", "", "Complete")]
 
 
+def test_known_skus_are_those_the_list_has_a_product_for(spark, monkeypatch):
+    """By maps of hashes and, where both let a SKU pass, by the list; maps of 64 bits let nearly all pass."""
+    facts = spark.range(600).selectExpr("id", "case id % 20 when 0 then null when 1 then '' when 2 then concat('š', id) else concat('S', id % 250) end as sku")
+    resolved = spark.range(250).selectExpr("concat('s', id) as sku_key", "case when id % 3 > 0 then cast(id as string) end as erp_upc")
+    wanted = {r["id"]: r["erp_upc"] is not None for r in attach_products(facts, resolved, ["erp_upc"]).collect()}
+    for bits in (64, 1 << 26):
+        with monkeypatch.context() as m:
+            m.setattr("ledgerloom.operators.product_match.marked_listed", partial(marked_listed, bits=bits))
+            told = with_known(facts, resolved, "known")
+        assert told.columns == ["id", "sku", "known"] and {r["id"]: r["known"] for r in told.collect()} == wanted and told.count() == 600
+    plan = told._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lstrip().startswith("Union")
+
+
+def test_an_order_counts_once_per_channel_also_under_none(spark):
+    rows = [("c", 1, POSTED, "Order", "PRICE_TYPE", "Principal", o, "S", Decimal("0.10"), 2, "Not Imported") for o in ("o1", "O1", "o2", "o3")]
+    lines = spark.createDataFrame(rows, "company_name string, settlement_id int, posted_date timestamp_ntz, transaction_type string, fee_category string, fee_type string, "
+                                        "order_id string, sku string, amount decimal(12,2), quantity_purchased int, status string")
+    orders = spark.createDataFrame([("O1", "s", "Amazon"), ("o1", "S", "Amazon"), ("o1", "S", None), ("o1", "S", None), ("o1", "S", "Merchant"), ("o2", "S", None)],
+                                   "order_id string, sku string, fulfillment_channel string")
+    out = drafts.order_buckets(lines, orders)
+    assert {r["order_id"].lower(): (r["fulfillment_channel"], r["quantity"], r["principal"]) for r in out.collect()} == {
+        "o1": ("Amazon", 12, Decimal("0.60")), "o2": (None, 2, Decimal("0.10")), "o3": (None, 2, Decimal("0.10"))}
+    aggregates = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [" in x]
+    assert len(aggregates) == 2
+
+
 def test_spellings_of_one_order_share_a_unit_price(spark, make):
     s = make["settlements"](line(quantity=1, amount="10.00", sku="AB"), line(quantity=1, amount="20.00", order="o1", sku="ab"))
     listed = spark.createDataFrame([("O1", "Ab", "Amazon")], "order_id string, sku string, fulfillment_channel string")
