@@ -255,3 +255,29 @@ def test_merchant_orders_are_added_up_without_their_spellings_where_none_is_show
     sums = reconciliation._labelled(jobs.orders_fbm(), {"fbm_orders": F.col("principal")})
     plan = sums._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "min(order_id" not in plan
+
+
+@pytest.mark.parametrize("name, folder", [("export_raw_settlement", "raw"), ("export_sales_files", "sales")])
+def test_files_of_a_round_trip_are_packed(spark, name, folder):
+    def files():
+        return {f for d in pathlib.Path(shared_dir(spark)).glob(f"{folder}-*") for f in d.rglob("part-*")}
+
+    before = files()
+    assert QUERIES[name](spark, FOLDER).columns
+    new = files() - before
+    assert new and all(f.name.endswith(".csv.gz") for f in new)
+
+
+def test_raw_lines_are_dealt_out_without_their_reference(spark, monkeypatch):
+    plans = []
+    deal = sinks._by_partition
+    monkeypatch.setattr(sinks, "_by_partition", lambda df, partitions: plans.append(df.columns) or deal(df, partitions))
+    out = QUERIES["export_raw_settlement"](spark, FOLDER)
+    assert "class_code" in out.columns and "class_code" not in plans[0]
+
+
+def test_marking_lines_complete_shuffles_few_of_them(spark):
+    """All lines that the maps of SKUs settle stay where they lie: the first branch meets nothing but broadcast maps."""
+    plan = QUERIES["mark_complete"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    first = plan.split("\n:- ")[1].split("\n+- ")[0]
+    assert "rightHint=(strategy=broadcast)" in first.splitlines()[1] + first.splitlines()[2] + first.splitlines()[3]
